@@ -111,6 +111,15 @@ def bills_summary(bills: DataFrame) -> DataFrame:
     )
 
 
+def bills_summary_flat(bills: DataFrame, actions: DataFrame, sponsors: DataFrame) -> DataFrame:
+    """The same over flat tables: only counts are joined, no list is ever built."""
+    out = bills
+    for rows, name in ((actions, "action_count"), (sponsors, "sponsor_count")):
+        counts = rows.groupBy("bill_id").agg(F.count("*").alias(name))
+        out = out.join(counts, "bill_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
+
+
 def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """What to create, update and delete to get from actual to expected."""
     e = expected.select(key).distinct().withColumn("_e", F.lit(True))
