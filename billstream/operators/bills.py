@@ -81,6 +81,11 @@ def incremental_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> Da
     return untouched.select(columns).unionByName(merged.select(columns))
 
 
+def action_order(bills: DataFrame, actions: str = "actions") -> DataFrame:
+    """One row per action with its position in the list of its bill; no window needed."""
+    return bills.select("*", F.posexplode(actions).alias("ordinal", "action")).drop(actions)
+
+
 def last_write_wins(logs: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows with the same output name overwrite each other; the last in input order stays."""
     return top_per_key(logs, keys, [F.desc(c) for c in order], 1)

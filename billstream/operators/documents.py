@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from billstream.functions import arrow
 from billstream.functions.text import html_title, html_to_text, media_ext
 from billstream.operators.common import top_per_key
 
@@ -112,13 +111,11 @@ def extracted_document(title: Column, official: Column, sections: Column, source
 
 # -- struck characters ------------------------------------------------------------------
 
-LINE = Window.partitionBy("page", "line").orderBy("x0", "pos")
-
-
 def strike_gaps(chars: DataFrame) -> DataFrame:
     """Inner characters of a line with a gap above 2 on one side."""
-    before = F.col("x0") - F.lag("x1").over(LINE)
-    after = F.lead("x0").over(LINE) - F.col("x1")
+    line = Window.partitionBy("page", "line").orderBy("x0", "pos")
+    before = F.col("x0") - F.lag("x1").over(line)
+    after = F.lead("x0").over(line) - F.col("x1")
     inner = before.isNotNull() & after.isNotNull()
     return chars.withColumn("gap", inner & ((before > 2) | (after > 2)))
 
@@ -158,32 +155,13 @@ def strike_text(chars: DataFrame) -> DataFrame:
 XML_RESULT = "struct<title:string,official_title:string,sections:array<string>,raw_text:string,error:string>"
 
 
-def _xml_parts(xml: str | None) -> dict:
-    try:
-        root = ET.fromstring(xml or "")
-    except ET.ParseError as exc:
-        return dict.fromkeys(("title", "official_title", "sections", "raw_text")) | {"error": str(exc)}
-
-    def head(tag: str) -> str:
-        return (root.findtext(f".//{tag}") or "").strip()
-
-    texts = ("".join(s.itertext()).strip() for s in root.iterfind(".//section"))
-    return {
-        "title": head("title"),
-        "official_title": head("official-title"),
-        "sections": [t for t in texts if t],
-        "raw_text": "".join(root.itertext()).strip(),
-        "error": None,
-    }
+def xml_bill_text(xml: Column) -> Column:
+    """Titles, sections and text of bill XML; ``error`` is set for damaged input."""
 
+    def parse(batch: pd.Series) -> pd.DataFrame:
+        return arrow.xml_frame(batch)
 
-@F.pandas_udf(XML_RESULT)
-def xml_bill_text(xml: pd.Series) -> pd.DataFrame:
-    """Titles, sections and text of bill XML; ``error`` is set for damaged input."""
-    return pd.DataFrame(
-        [_xml_parts(x) for x in xml],
-        columns=["title", "official_title", "sections", "raw_text", "error"],
-    )
+    return F.pandas_udf(parse, XML_RESULT)(xml)
 
 
 def extract_dispatch(docs: DataFrame) -> DataFrame:
@@ -204,7 +182,7 @@ def extract_dispatch(docs: DataFrame) -> DataFrame:
     )
     xml = (
         known.filter("ext = 'xml'")
-        .withColumn("_x", xml_bill_text("content"))
+        .withColumn("_x", xml_bill_text(F.col("content")))
         .select(*keep, "_x.title", "_x.raw_text", "_x.error")
     )
     pdf = line_structure(known.filter("ext = 'pdf'"), "content").select(
@@ -213,12 +191,42 @@ def extract_dispatch(docs: DataFrame) -> DataFrame:
     return html.unionByName(xml).unionByName(pdf)
 
 
+def extract_batch(bills: DataFrame, links: DataFrame, contents: DataFrame, run: Column) -> tuple[DataFrame, DataFrame]:
+    """One extraction run: (bills with ``status`` and new stamp, extracted documents).
+
+    ``bills(bill_key, logs_update, text_update, files)``, ``links(bill_key, version_id,
+    pos, url, media_type)``, ``contents(version_id, ext, content)``. A bill without
+    versions is fine; one whose versions all fail is an error.
+    """
+    need = needs_extraction(F.col("logs_update"), F.col("text_update"), F.col("files"))
+    todo = bills.filter(need).select("bill_key")
+    open_links = links.join(todo, "bill_key", "left_semi")
+    owners = open_links.select("bill_key", "version_id").distinct()
+    chosen = best_links(open_links).withColumn("ext", media_ext(F.col("media_type")))
+    done = extract_dispatch(chosen.join(contents, ["version_id", "ext"]).drop("ext"))
+    good = done.filter(F.col("error").isNull()).select("version_id", F.lit(1).alias("_ok"))
+    outcome = (
+        owners.join(good, "version_id", "left").groupBy("bill_key").agg(F.max(F.coalesce("_ok", F.lit(0))).alias("_ok"))
+    )
+    status = (
+        F.when(~need, "skipped").when(F.coalesce(F.col("_ok"), F.lit(1)) == 1, "ok").otherwise("error")
+    )
+    after = (
+        bills.join(outcome, "bill_key", "left")
+        .withColumn("status", status)
+        .withColumn("text_update", F.when(F.col("status") == "ok", run).otherwise(F.col("text_update")))
+        .drop("_ok")
+    )
+    return after, done
+
+
 def extraction_stats(status: DataFrame) -> DataFrame:
-    """One row of counters over a per-bill ``status`` column."""
+    """One row of counters over a per-bill ``status``; skipped bills count as processed,
+    bills the run did not reach have no status."""
     s = F.col("status")
     return status.agg(
         F.count("*").alias("total"),
-        F.count_if(s != "skipped").alias("processed"),
+        F.count("status").alias("processed"),
         F.count_if(s == "ok").alias("successful"),
         F.count_if(s == "error").alias("errors"),
         F.count_if(s == "skipped").alias("skipped"),

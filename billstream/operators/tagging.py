@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billstream.functions import arrow
 from billstream.functions.text import WORD, text_hash
 from billstream.operators.common import top_per_key
 
@@ -154,8 +156,7 @@ def rank_tags(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
 # -- vectors -----------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class TagVectors:
+class TagVectors(NamedTuple):
     """Vectors of the configured tags; configuration, so it lives with the plan."""
 
     names: Sequence[str]
@@ -175,7 +176,7 @@ def collect_tag_vectors(tags: DataFrame) -> TagVectors:
         raise ValueError(f"more than {MAX_TAGS} tags; split the tag configuration")
 
     def unit(vectors) -> np.ndarray:
-        return np.asarray(vectors, dtype="float64").reshape(len(vectors), -1)
+        return np.asarray(vectors, dtype="float64") if vectors else np.empty((0, 0))
 
     return TagVectors(
         [str(r["tag"]) for r in rows],
@@ -185,43 +186,15 @@ def collect_tag_vectors(tags: DataFrame) -> TagVectors:
     )
 
 
-def _cosine(batch: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    norms = np.outer(np.linalg.norm(batch, axis=1), np.linalg.norm(matrix, axis=1))
-    return (batch @ matrix.T) / np.maximum(norms, 1e-9)
-
-
 def similarity_columns(vector: Column, tags: TagVectors) -> Column:
     """Per entry an array of ``(tag_no, base, example, negative)``, one Arrow batch at a time."""
-    names = len(tags.names)
+    _, tag, examples, negatives = tags
 
-    @F.pandas_udf("array<struct<tag_no:int,base:double,example:double,negative:double>>")
     def score(vectors: pd.Series) -> pd.Series:
-        batch = np.vstack(vectors.to_numpy()).astype("float64") if len(vectors) else np.zeros((0, 1))
-        base = _cosine(batch, tags.tag)
-
-        def best(groups: Sequence[np.ndarray]) -> np.ndarray:
-            out = np.full((len(batch), names), np.nan)
-            for i, group in enumerate(groups):
-                if group.size:
-                    out[:, i] = np.maximum(_cosine(batch, group).max(axis=1), 0.0)
-            return out
-
-        example, negative = best(tags.examples), best(tags.negatives)
-
-        def cell(x: float) -> float | None:
-            return None if np.isnan(x) else float(x)
-
-        return pd.Series(
-            [
-                [
-                    {"tag_no": i, "base": float(b[i]), "example": cell(e[i]), "negative": cell(n[i])}
-                    for i in range(names)
-                ]
-                for b, e, n in zip(base, example, negative)
-            ]
-        )
+        return arrow.score_cells(vectors, tag, examples, negatives)
 
-    return score(vector)
+    cells = "array<struct<tag_no:int,base:double,example:double,negative:double>>"
+    return F.pandas_udf(score, cells)(vector)
 
 
 def composite_score(base: Column, example: Column, negative: Column, hit: Column, threshold: Column) -> Column:

@@ -97,7 +97,7 @@ def orphan_counts(t):
 @query(
     "extraction_stats",
     """WITH s AS (SELECT CASE WHEN text_update IS NOT NULL AND NOT logs_update > text_update AND files > 0 THEN 'skipped' WHEN bill_key % 8 = 0 THEN 'error' ELSE 'ok' END AS s FROM b_extract)
-  SELECT count(*) AS total, count(*) FILTER (s <> 'skipped') AS processed, count(*) FILTER (s = 'ok') AS successful, count(*) FILTER (s = 'error') AS errors, count(*) FILTER (s = 'skipped') AS skipped FROM s""",
+  SELECT count(*) AS total, count(s) AS processed, count(*) FILTER (s = 'ok') AS successful, count(*) FILTER (s = 'error') AS errors, count(*) FILTER (s = 'skipped') AS skipped FROM s""",
 )
 def extraction_stats(t):
     need = D.needs_extraction(F.col("logs_update"), F.col("text_update"), F.col("files"))

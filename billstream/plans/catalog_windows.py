@@ -91,13 +91,12 @@ def strike_gap(t):
 
 @query(
     "action_order",
-    "SELECT bill_id, CAST(row_number() OVER (PARTITION BY bill_id ORDER BY ord) - 1 AS BIGINT) AS ordinal, description FROM b_action",
+    """SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS ordinal, unnest(string_split(text, chr(10))) AS description FROM documents""",
 )
 def action_order(t):
-    # The ordinal is the position in the stored list; posexplode gives it without a window.
-    docs = t("b_action").select("bill_id", "ord", F.array("description").alias("actions"))
-    return docs.select("bill_id", "ord", F.posexplode("actions").alias("pos", "description")).select(
-        "bill_id", (F.col("ord") - 1 + F.col("pos")).cast("bigint").alias("ordinal"), "description"
+    # The lines of a document stand for the stored list of a bill.
+    return B.action_order(t("documents").select("doc_id", F.split("text", "\n").alias("actions"))).select(
+        "doc_id", F.col("ordinal").cast("bigint"), F.col("action").alias("description")
     )
 
 

@@ -36,10 +36,12 @@ def state_dir(spark: SparkSession, name: str) -> str:
     """Folder for state tables and stream checkpoints.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; a temporary
-    folder is only taken where that is unset, as in tests on one machine.
+    folder is only taken where that is unset and the master is one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder for state tables")
         root = tempfile.mkdtemp(prefix="billstream-")
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
