@@ -41,35 +41,28 @@ def cosine_matrix(batch: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return (batch @ matrix.T) / np.maximum(norms, 1e-9)
 
 
-def best_of(batch: np.ndarray, groups: Sequence[np.ndarray]) -> np.ndarray:
-    """Best similarity per group of vectors, never negative; NaN for empty groups."""
-    out = np.full((len(batch), len(groups)), np.nan)
-    for i, group in enumerate(groups):
-        if group.size:
-            out[:, i] = np.maximum(cosine_matrix(batch, group).max(axis=1), 0.0)
-    return out
+def best_of(batch: np.ndarray, groups: Sequence[np.ndarray]) -> list[list[float | None]]:
+    """Best similarity per group of vectors, never negative; null for empty groups."""
+    columns = [
+        np.maximum(cosine_matrix(batch, g).max(axis=1), 0.0).tolist() if g.size else [None] * len(batch)
+        for g in groups
+    ]
+    return [list(row) for row in zip(*columns)]
 
 
-def score_cells(
+def score_frame(
     vectors: pd.Series, tag: np.ndarray, examples: Sequence[np.ndarray], negatives: Sequence[np.ndarray]
-) -> pd.Series:
-    """Per vector one ``(tag_no, base, example, negative)`` for every tag."""
+) -> pd.DataFrame:
+    """Similarities of a batch of vectors to every tag, its examples and negatives."""
     if not len(vectors):
-        return pd.Series([], dtype="object")
+        return pd.DataFrame({"base": [], "example": [], "negative": []}, dtype="object")
     batch = np.vstack(vectors.to_numpy()).astype("float64")
-    base, best, worst = cosine_matrix(batch, tag), best_of(batch, examples), best_of(batch, negatives)
-
-    def known(x: float) -> float | None:
-        return None if np.isnan(x) else float(x)
-
-    return pd.Series(
-        [
-            [
-                {"tag_no": i, "base": float(b), "example": known(e), "negative": known(n)}
-                for i, (b, e, n) in enumerate(zip(*row))
-            ]
-            for row in zip(base, best, worst)
-        ]
+    return pd.DataFrame(
+        {
+            "base": cosine_matrix(batch, tag).tolist(),
+            "example": best_of(batch, examples),
+            "negative": best_of(batch, negatives),
+        }
     )
 
 

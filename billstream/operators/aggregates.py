@@ -75,11 +75,12 @@ def footprint(files: DataFrame, key: str, size: str) -> DataFrame:
     )
 
 
-def snapshot_manifest(files: DataFrame, key: str, content: str) -> DataFrame:
+def snapshot_manifest(files: DataFrame, key: str, content: str, depth: int = 2) -> DataFrame:
     """Count of files and one digest per snapshot.
 
-    Digests are combined in a tree over their leading hex digits, so no task holds
-    all digests of a large snapshot: leaves by four digits, then by two, then all.
+    Digests are combined in a tree over pairs of leading hex digits, so no task holds
+    all digests of a large snapshot. ``depth`` is the number of levels and part of the
+    manifest format; every level splits a snapshot by 256.
     """
 
     def combine(df: DataFrame, *keys: str) -> DataFrame:
@@ -87,10 +88,10 @@ def snapshot_manifest(files: DataFrame, key: str, content: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.sha2(joined, 256).alias("digest"), F.sum("n").alias("n"))
 
     leaves = files.select(key, F.sha2(content, 256).alias("digest"), F.lit(1).cast("bigint").alias("n"))
-    level = combine(
-        leaves.withColumns({"p2": F.substring("digest", 1, 2), "p4": F.substring("digest", 3, 2)}), key, "p2", "p4"
-    )
-    level = combine(level, key, "p2")
+    parts = [f"part{i}" for i in range(depth)]
+    level = leaves.withColumns({p: F.substring("digest", 2 * i + 1, 2) for i, p in enumerate(parts)})
+    for n in range(depth, 0, -1):
+        level = combine(level, key, *parts[:n])
     return combine(level, key).select(key, F.col("n").alias("files"), F.col("digest").alias("sha256"))
 
 

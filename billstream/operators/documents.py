@@ -48,9 +48,11 @@ MARK = "\x1e"
 
 
 def text_lines(text: Column) -> Column:
-    """Trimmed lines that are not empty."""
-    trimmed = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
-    return F.filter(trimmed, lambda x: x != "")
+    """Trimmed lines that are not empty: blanks around line ends shrink in one pass."""
+    blank = r"[\s\p{Z}]"
+    shrunk = F.regexp_replace(text, rf"{blank}*\n{blank}*", "\n")
+    shrunk = F.regexp_replace(shrunk, rf"^{blank}+|{blank}+$", "")
+    return F.filter(F.split(shrunk, "\n"), lambda x: x != "")
 
 
 def _title_like(line: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from billstream.functions import entries as E
 from billstream.functions import stamps as S
 from billstream.functions.text import title_case_tag
-from billstream.operators.logs import dedup_guid, tag_filter
+from billstream.operators.logs import tag_filter
 
 FEED_LIMIT = 100
 
@@ -41,12 +41,18 @@ def top_entries(
 ) -> DataFrame:
     """Tag filter, first entry per guid, newest first, missing stamps last, top ``limit``.
 
-    Only log columns are needed here; bills and texts join to the few rows left.
+    A guid fixes its stamp, so guids are found by a hash aggregate over three narrow
+    columns. Whole rows join back only for the few winners.
     """
     if bill_tags is not None:
         logs = tag_filter(logs, bill_tags, tag_names)
-    unique = dedup_guid(logs, [F.asc(order)], guid)
-    return unique.orderBy(F.desc(F.coalesce("log_ts", F.lit(""))), F.asc(guid)).limit(limit)
+    winners = (
+        logs.groupBy(guid, "log_ts")
+        .agg(F.min(order).alias(order))
+        .orderBy(F.desc(F.coalesce("log_ts", F.lit(""))), F.asc(guid))
+        .limit(limit)
+    )
+    return logs.join(F.broadcast(winners.select(guid, order)), [guid, order], "left_semi")
 
 
 def feed_title(tags: DataFrame) -> DataFrame:

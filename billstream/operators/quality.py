@@ -88,11 +88,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def coverage(gated: DataFrame, column: str = "gate") -> DataFrame:
     """Rows and share per category."""
     counts = gated.groupBy(column).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("_total"))
-    # The total is a single row, so this join carries no data growth.
-    return counts.join(F.broadcast(total)).select(
-        column, "n", F.round(F.col("n") / F.col("_total"), 6).alias("share")
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(column, "n", F.round(F.col("n") / total, 6).alias("share"))
 
 
 def path_params(df: DataFrame, path: str, template: str, patterns: Mapping[str, str]) -> DataFrame:

@@ -56,8 +56,9 @@ def routine_filter(
     """Entries no rule of their locale denies; unknown locales keep everything."""
     if alias.lower() == "none":
         return logs
-    rules = rules if rules is not None else builtin_rules(logs.sparkSession)
-    r = rules.select(
+    # The built-in table has a fixed size; a table passed in is measured first.
+    small = broadcast_if_small(rules) if rules is not None else F.broadcast(builtin_rules(logs.sparkSession))
+    r = small.select(
         F.col("locale").alias("_locale"),
         "deny_class",
         "equals",
@@ -77,7 +78,7 @@ def routine_filter(
         match = match & _holds(F.contains(text, F.col(f"part{i}")), F.col(f"part{i}"))
     # An entry without a description only ever meets class rules.
     match = match & (F.col("deny_class").isNotNull() | text.isNotNull())
-    return logs.join(broadcast_if_small(r), match, "left_anti")
+    return logs.join(r, match, "left_anti")
 
 
 # -- single tests -----------------------------------------------------------------

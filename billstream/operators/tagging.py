@@ -81,9 +81,12 @@ def config_hash(*columns: str) -> Column:
 def keyword_pattern(keyword: str) -> str:
     """Whole-word pattern; a plus sign may follow. Boundaries are written out."""
     edge = re.compile(r"^\w$")
-    left = rf"(^|[^{WORD}])" if edge.match(keyword[0]) else rf"[{WORD}]"
-    right = rf"($|[^{WORD}])" if edge.match(keyword[-1]) else rf"(\+|[{WORD}])"
-    return left + re.escape(keyword) + right
+    word = re.escape(keyword)
+    # The literal comes first and is checked backwards, which is far cheaper than
+    # trying a boundary at every place of the text.
+    left = rf"(?<![{WORD}]{word})" if edge.match(keyword[0]) else rf"(?<=[{WORD}]{word})"
+    right = rf"(?![{WORD}])" if edge.match(keyword[-1]) else rf"(?:\+|(?=[{WORD}]))"
+    return word + left + right
 
 
 def keyword_hit(lowered: Column, keyword: str) -> Column:
@@ -95,31 +98,37 @@ def keyword_hit(lowered: Column, keyword: str) -> Column:
     return lowered.contains(keyword) & lowered.rlike(keyword_pattern(keyword))
 
 
-def matched_keywords(text: Column, keywords: Sequence[str]) -> Column:
-    """Keywords found in the text, in configuration order."""
+def matched_keywords(lowered: Column, keywords: Sequence[str]) -> Column:
+    """Keywords found in the lower-case text, in configuration order."""
     if not keywords:
         return F.array().cast("array<string>")
-    lowered = F.lower(text)
     return F.array_compact(F.array(*[F.when(keyword_hit(lowered, k), F.lit(k)) for k in keywords]))
 
 
-def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
+def any_keyword(lowered: Column, keywords: Sequence[str]) -> Column:
     hit = F.lit(False)
-    lowered = F.lower(text)
     for k in keywords:
         hit = hit | keyword_hit(lowered, k)
     return hit
 
 
-def keyword_score(text: Column, tag: Tag) -> Column:
+def with_keyword_flags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFrame:
+    """Adds ``_found<i>`` and ``_block<i>`` per tag; the text is lowered once."""
+    flags = {}
+    for i, tag in enumerate(tags):
+        flags[f"_found{i}"] = matched_keywords(F.col("_low"), tag.include_keywords)
+        flags[f"_block{i}"] = any_keyword(F.col("_low"), tag.exclude_keywords)
+    return entries.withColumn("_low", F.lower(text)).withColumns(flags).drop("_low")
+
+
+def keyword_score(i: int, tag: Tag) -> Column:
     """Score of one tag, null where it does not apply."""
-    found = matched_keywords(text, tag.include_keywords)
     return F.when(
-        ~any_keyword(text, tag.exclude_keywords) & (F.size(found) > 0),
+        (F.size(f"_found{i}") > 0) & ~F.col(f"_block{i}"),
         F.struct(
             F.lit(tag.name).alias("tag"),
             F.lit(max(float(tag.threshold), KEYWORD_SCORE)).alias("final_score"),
-            found.alias("keyword_match"),
+            F.col(f"_found{i}").alias("keyword_match"),
         ),
     )
 
@@ -130,9 +139,10 @@ def keyword_tags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFram
     Every tag is a literal column over the one pass of the texts; no join, no
     shuffle, and entries without a tag leave at the explode.
     """
-    scores = F.array_compact(F.array(*[keyword_score(F.col(text), t) for t in tags]))
+    scores = F.array_compact(F.array(*[keyword_score(i, t) for i, t in enumerate(tags)]))
     return (
-        entries.withColumn("_hit", F.explode(scores))
+        with_keyword_flags(entries, text, tags)
+        .withColumn("_hit", F.explode(scores))
         .select(*entries.columns, "_hit.*")
     )
 
@@ -186,15 +196,18 @@ def collect_tag_vectors(tags: DataFrame) -> TagVectors:
     )
 
 
-def similarity_columns(vector: Column, tags: TagVectors) -> Column:
-    """Per entry an array of ``(tag_no, base, example, negative)``, one Arrow batch at a time."""
+SIMILARITY = "struct<base:array<double>,example:array<double>,negative:array<double>>"
+
+
+def similarities(vector: Column, tags: TagVectors) -> Column:
+    """Per entry three arrays over the tags, one Arrow batch at a time; null where a
+    tag has no examples or no negatives."""
     _, tag, examples, negatives = tags
 
-    def score(vectors: pd.Series) -> pd.Series:
-        return arrow.score_cells(vectors, tag, examples, negatives)
+    def score(vectors: pd.Series) -> pd.DataFrame:
+        return arrow.score_frame(vectors, tag, examples, negatives)
 
-    cells = "array<struct<tag_no:int,base:double,example:double,negative:double>>"
-    return F.pandas_udf(score, cells)(vector)
+    return F.pandas_udf(score, SIMILARITY)(vector)
 
 
 def composite_score(base: Column, example: Column, negative: Column, hit: Column, threshold: Column) -> Column:
@@ -218,52 +231,65 @@ def composite_score(base: Column, example: Column, negative: Column, hit: Column
     return F.greatest(F.least(lowered, F.lit(1.0)), zero)
 
 
+#: Tags scored in one pass; more tags add passes, which bounds the Arrow batches.
+TAG_BLOCK = 500
+
+
 def score_entries(
     entries: DataFrame, text: str, vector: str, vectors: TagVectors, tags: Sequence[Tag], keep_all: bool = False
 ) -> DataFrame:
     """(entry columns, tag, parts, final_score) of tags at or above their threshold.
 
-    ``vectors`` and ``tags`` are in the same order. ``keep_all`` keeps scores below
-    the threshold too.
+    ``keep_all`` keeps scores below the threshold too.
     """
     by_name = {t.name: t for t in tags}
-    ordered = [by_name[n] for n in vectors.names]
-    lowered = F.col(text)
-
-    def literals(values: list) -> Column:
-        return F.array(*[F.lit(v) for v in values])
-
-    flags = [
-        F.struct(
-            any_keyword(lowered, t.exclude_keywords).alias("blocked"),
-            matched_keywords(lowered, t.include_keywords).alias("found"),
-        )
-        for t in ordered
-    ]
+    out = None
+    for start in range(0, len(vectors.names), TAG_BLOCK):
+        block = TagVectors(*[part[start : start + TAG_BLOCK] for part in vectors])
+        scored = _score_block(entries, text, vector, block, [by_name[n] for n in block.names], keep_all)
+        out = scored if out is None else out.unionByName(scored)
+    if out is None:
+        raise ValueError("no tags configured")
+    return out
+
+
+def _score_block(
+    entries: DataFrame, text: str, vector: str, vectors: TagVectors, tags: Sequence[Tag], keep_all: bool
+) -> DataFrame:
     plain = [c for c in entries.columns if c not in (text, vector)]
-    scored = (
-        entries.withColumn("_flags", F.array(*flags))
-        .withColumn("_sim", similarity_columns(F.col(vector), vectors))
-        .select(*plain, "_flags", F.explode("_sim").alias("_s"))
-        .withColumn("_f", F.get("_flags", F.col("_s.tag_no")))
-        .withColumn("tag", F.get(literals(list(vectors.names)), F.col("_s.tag_no")))
-        .withColumn("threshold", F.get(literals([float(t.threshold) for t in ordered]), F.col("_s.tag_no")))
+    per_tag = F.array(
+        *[
+            F.struct(
+                F.lit(t.name).alias("tag"),
+                F.lit(float(t.threshold)).alias("threshold"),
+                F.col(f"_found{i}").alias("found"),
+                F.col(f"_block{i}").alias("blocked"),
+                F.get("_sim.base", F.lit(i)).alias("base"),
+                F.get("_sim.example", F.lit(i)).alias("example"),
+                F.get("_sim.negative", F.lit(i)).alias("negative"),
+            )
+            for i, t in enumerate(tags)
+        ]
     )
-    blocked = F.col("_f.blocked")
-    hit = F.size("_f.found") > 0
-    final = composite_score(
-        F.col("_s.base"), F.col("_s.example"), F.col("_s.negative"), hit, F.col("threshold")
+    cells = (
+        with_keyword_flags(entries, text, tags)
+        .withColumn("_sim", similarities(F.col(vector), vectors))
+        .select(*plain, F.explode(per_tag).alias("s"))
+        .select(*plain, "s.*")
     )
-    out = scored.select(
+    blocked = F.col("blocked")
+    hit = F.size("found") > 0
+    final = composite_score(F.col("base"), F.col("example"), F.col("negative"), hit, F.col("threshold"))
+    out = cells.select(
         *plain,
         "tag",
         "threshold",
         F.when(blocked, F.lit(0.0)).otherwise(final).alias("final_score"),
-        F.when(~blocked, F.col("_s.base")).alias("base_embedding"),
-        F.when(~blocked, F.col("_s.example")).alias("example_similarity"),
-        F.when(blocked, F.array().cast("array<string>")).otherwise(F.col("_f.found")).alias("keyword_match"),
+        F.when(~blocked, F.col("base")).alias("base_embedding"),
+        F.when(~blocked, F.col("example")).alias("example_similarity"),
+        F.when(blocked, F.array().cast("array<string>")).otherwise(F.col("found")).alias("keyword_match"),
         F.when(blocked, F.lit(0.0))
-        .otherwise(F.coalesce(F.col("_s.negative") * NEGATIVE_WEIGHT, F.lit(0.0)))
+        .otherwise(F.coalesce(F.col("negative") * NEGATIVE_WEIGHT, F.lit(0.0)))
         .alias("negative_penalty"),
     )
     return out if keep_all else out.filter(F.col("final_score") >= F.col("threshold"))

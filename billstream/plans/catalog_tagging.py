@@ -24,8 +24,8 @@ def has_sql(word: str, text: str = "text") -> str:
     "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN {has_sql(k)} THEN '{k}' END" for k in KEYWORDS) + ") AS found FROM documents",
 )
 def keyword_match(t):
-    found = G.matched_keywords(F.col("text"), KEYWORDS)
-    return t("documents").select("doc_id", F.array_join(found, ",").alias("found"))
+    lowered = t("documents").select("doc_id", F.lower("text").alias("low"))
+    return lowered.select("doc_id", F.array_join(G.matched_keywords(F.col("low"), KEYWORDS), ",").alias("found"))
 
 
 TAGS = [
@@ -204,5 +204,6 @@ def semantic_tags_fallback(t):
 def example_max_similarity(t):
     vectors = G.collect_tag_vectors(tag_vector_table(t))
     names = F.array(*[F.lit(n) for n in vectors.names])
-    rows = t("embeddings").select("vec_id", F.explode(G.similarity_columns(F.col("embedding"), vectors)).alias("s"))
-    return rows.select("vec_id", F.get(names, F.col("s.tag_no")).alias("tag"), F.round("s.example", 5).alias("similarity"))
+    rows = t("embeddings").withColumn("sim", G.similarities(F.col("embedding"), vectors))
+    pairs = rows.select("vec_id", F.posexplode("sim.example").alias("no", "similarity"))
+    return pairs.select("vec_id", F.get(names, F.col("no")).alias("tag"), F.round("similarity", 5).alias("similarity"))
