@@ -129,6 +129,7 @@ def human_size(size: Column) -> Column:
         .when(value < 1024.0**4, 3)
         .otherwise(4)
     )
-    scaled = F.format_string("%.1f", value / F.pow(F.lit(1024.0), step))
+    # Ties go to the even digit.
+    scaled = F.format_string("%.1f", F.bround(value / F.pow(F.lit(1024.0), step), 1))
     number = F.when(step == 0, size.cast("string")).otherwise(scaled)
     return F.concat_ws(" ", number, F.element_at(units, step + 1))

@@ -65,20 +65,26 @@ def merge_actions(stored: DataFrame, incoming: DataFrame, carried: Sequence[str]
     )
 
 
+STORED_COLUMNS = ["bill_id", "ord", "description", "date", "created"]
+
+
+def merged_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> DataFrame:
+    """Rows of the incoming bills that changed, merged; only new actions get ``run``."""
+    changed = changed_bills(stored, incoming).select("bill_id")
+    merged = merge_actions(stored, incoming.join(changed, "bill_id", "left_semi"), ["created"])
+    created = F.when(F.col("is_new"), run).otherwise(F.col("created"))
+    return merged.withColumn("created", created).select(STORED_COLUMNS)
+
+
 def incremental_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> DataFrame:
     """One run over whole bills; returns the stored table after the run.
 
     ``stored`` has ``bill_id, ord, description, date, created``. Bills that did
-    not change, or are not part of the run, keep their rows; changed bills are
-    replaced by the merge, where only new actions get ``created = run``.
+    not change, or are not part of the run, keep their rows.
     """
     changed = changed_bills(stored, incoming).select("bill_id")
-    merged = merge_actions(
-        stored, incoming.join(changed, "bill_id", "left_semi"), ["created"]
-    ).withColumn("created", F.when(F.col("is_new"), run).otherwise(F.col("created")))
     untouched = stored.join(changed, "bill_id", "left_anti")
-    columns = ["bill_id", "ord", "description", "date", "created"]
-    return untouched.select(columns).unionByName(merged.select(columns))
+    return untouched.select(STORED_COLUMNS).unionByName(merged_bills(stored, incoming, run))
 
 
 def action_order(bills: DataFrame, actions: str = "actions") -> DataFrame:
