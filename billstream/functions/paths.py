@@ -18,7 +18,7 @@ def is_log_json(path: Column) -> Column:
 
 def is_session_log(path: Column) -> Column:
     """The segments must come in this order: country, state, sessions, logs."""
-    return path.rlike(r"country:.*/state:.*/sessions/.*/logs/.*\.json$")
+    return path.endswith(".json") & path.rlike("country:.*?/state:.*?/sessions/.*?/logs/")
 
 
 def is_vote_log(path: Column) -> Column:

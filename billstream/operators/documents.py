@@ -42,22 +42,22 @@ def needs_extraction(logs_update: Column, text_update: Column, files: Column) ->
 
 # -- structure of plain text -----------------------------------------------------------
 
+# Blank signs stripped from line ends.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 HEADER = r"(?i)^(section|§|\d+\.)"
-#: Separator no stored text contains: an ASCII control sign.
+#: Starts a section in joined text; trimmed lines never start with it.
 MARK = "\x1e"
 
 
 def text_lines(text: Column) -> Column:
-    """Trimmed lines that are not empty: blanks around line ends shrink in one pass."""
-    blank = r"[\s\p{Z}]"
-    shrunk = F.regexp_replace(text, rf"{blank}*\n{blank}*", "\n")
-    shrunk = F.regexp_replace(shrunk, rf"^{blank}+|{blank}+$", "")
-    return F.filter(F.split(shrunk, "\n"), lambda x: x != "")
+    """Trimmed lines that are not empty."""
+    trimmed = F.transform(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS)))
+    return F.filter(trimmed, lambda x: x != "")
 
 
 def _title_like(line: Column) -> Column:
     upper = F.upper(line)
-    return upper.contains("AN ACT") | upper.contains("BILL") | (F.length(line) > 50)
+    return (F.length(line) > 50) | upper.contains("AN ACT") | upper.contains("BILL")
 
 
 def line_structure(df: DataFrame, text: str) -> DataFrame:
@@ -90,6 +90,15 @@ def line_structure(df: DataFrame, text: str) -> DataFrame:
     ).drop("_lines", "_title", "_body")
 
 
+def section_rows(df: DataFrame, text: str) -> DataFrame:
+    """One row per section with its number. A text always has one section, so the
+    outer explode adds no rows; it spares a second evaluation in a filter."""
+    keep = [c for c in df.columns if c != text]
+    return line_structure(df, text).select(
+        *keep, F.posexplode_outer("sections").alias("_i", "section")
+    ).select(*keep, (F.col("_i") + 1).cast("bigint").alias("section_no"), "section")
+
+
 def extracted_document(title: Column, official: Column, sections: Column, source: Column, media_type: Column, raw: Column) -> Column:
     """The stored text file: head, numbered sections, raw text."""
     rule = "\n" + "=" * 80 + "\n\n"

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billstream.functions import entries as E
 from billstream.functions import stamps as S
 from billstream.functions.text import title_case_tag
-from billstream.operators.logs import tag_filter
+from billstream.operators.common import SALTS
+from billstream.operators.logs import dedup_guid, tag_filter
 
 FEED_LIMIT = 100
 
 
-def feed_items(entries: DataFrame, base_url: str) -> DataFrame:
-    """Entries ``(id, log, bill, tags, sources, timestamp)`` to feed items."""
+def feed_items(entries: DataFrame, base_url: str, keep: Sequence[Column] = ()) -> DataFrame:
+    """Entries ``(id, log, bill, tags, sources, timestamp)`` to feed items, with ``keep``."""
     ident, log, bill, tags, sources, ts = (
         F.col(c) for c in ("id", "log", "bill", "tags", "sources", "timestamp")
     )
@@ -28,6 +29,7 @@ def feed_items(entries: DataFrame, base_url: str) -> DataFrame:
         S.pub_date_rss(S.parse_stamp(ts)).alias("pubDate"),
         F.array_sort(F.map_keys(tags)).alias("category"),
         ts.alias("timestamp"),
+        *keep,
     )
 
 
@@ -41,18 +43,28 @@ def top_entries(
 ) -> DataFrame:
     """Tag filter, first entry per guid, newest first, missing stamps last, top ``limit``.
 
-    A guid fixes its stamp, so guids are found by a hash aggregate over three narrow
-    columns. Whole rows join back only for the few winners.
+    One scan. A guid fixes its stamp, so a winner is among the first ``limit`` guids
+    of every group of rows it occurs in; the ranking over salted groups drops all
+    other rows ahead of the shuffle, and only then copies are removed.
     """
     if bill_tags is not None:
         logs = tag_filter(logs, bill_tags, tag_names)
-    winners = (
-        logs.groupBy(guid, "log_ts")
-        .agg(F.min(order).alias(order))
-        .orderBy(F.desc(F.coalesce("log_ts", F.lit(""))), F.asc(guid))
-        .limit(limit)
-    )
-    return logs.join(F.broadcast(winners.select(guid, order)), [guid, order], "left_semi")
+    newest = [F.desc(F.coalesce("log_ts", F.lit(""))), F.asc(guid)]
+    salted = Window.partitionBy(F.pmod(F.xxhash64(order), F.lit(SALTS))).orderBy(*newest)
+    near = logs.withColumn("_rank", F.dense_rank().over(salted)).filter(F.col("_rank") <= limit).drop("_rank")
+    return dedup_guid(near, [F.asc(order)], guid).orderBy(*newest).limit(limit)
+
+
+#: Feeds up to this size are brought to the driver before they join to bills.
+FEW_ROWS = 10_000
+
+
+def hold_few(top: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
+    """The rows of a small top-k result as a local table, so later joins start from
+    known few rows and do not repeat the scan behind them."""
+    if limit > FEW_ROWS:
+        return top
+    return top.sparkSession.createDataFrame(top.limit(limit).toArrow())
 
 
 def feed_title(tags: DataFrame) -> DataFrame:

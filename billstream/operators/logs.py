@@ -107,6 +107,15 @@ def join_bill(logs: DataFrame, bills: DataFrame, keys: Sequence[str] = ("state",
     return logs.join(bills, list(keys), "left")
 
 
+def join_bill_few(few: DataFrame, bills: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``join_bill`` for a result of bounded size, such as a feed.
+
+    The few keys reach the bill scan as a broadcast filter, so bills never shuffle.
+    """
+    wanted = F.broadcast(few.select(*keys).distinct())
+    return join_bill(few, F.broadcast(bills.join(wanted, list(keys), "left_semi")), keys)
+
+
 def nest_tags(bill_tags: DataFrame, keys: Sequence[str] = ("bill_id",)) -> DataFrame:
     """One row per bill with a tag to score map, tag names sorted."""
     pairs = F.array_sort(F.collect_list(F.struct("tag", "score")))

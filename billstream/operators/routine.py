@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,20 +21,27 @@ RULE_SCHEMA = (
     "locale STRING, deny_class STRING, equals STRING, prefix STRING, "
     "contains ARRAY<STRING>, shorter_than INT"
 )
+RULE_ARROW = pa.schema(
+    [
+        ("locale", pa.string()),
+        ("deny_class", pa.string()),
+        ("equals", pa.string()),
+        ("prefix", pa.string()),
+        ("contains", pa.list_(pa.string())),
+        ("shorter_than", pa.int32()),
+    ]
+)
 #: A row may name this many substrings.
 MAX_CONTAINS = 3
 
 
 def builtin_rules(spark: SparkSession) -> DataFrame:
     rows = [
-        (loc, cls, None, None, None, None) for loc, classes in DENIED_CLASSES.items() for cls in classes
-    ]
-    rows += [
-        (loc, None, r.get("equals"), r.get("prefix"), r.get("contains"), r.get("shorter_than"))
-        for loc, phrases in DENIED_PHRASES.items()
-        for r in phrases
+        {"locale": loc, "deny_class": cls} for loc, classes in DENIED_CLASSES.items() for cls in classes
     ]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    rows += [{"locale": loc, **r} for loc, phrases in DENIED_PHRASES.items() for r in phrases]
+    # An Arrow table becomes a local relation, so the planner knows its size.
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=RULE_ARROW))
 
 
 def load_rules(spark: SparkSession, path: str) -> DataFrame:

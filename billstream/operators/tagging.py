@@ -140,9 +140,12 @@ def keyword_tags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFram
     shuffle, and entries without a tag leave at the explode.
     """
     scores = F.array_compact(F.array(*[keyword_score(i, t) for i, t in enumerate(tags)]))
+    # The outer form keeps the optimizer from testing the array, and with it every
+    # pattern, once more in a filter ahead of the explode.
     return (
         with_keyword_flags(entries, text, tags)
-        .withColumn("_hit", F.explode(scores))
+        .withColumn("_hit", F.explode_outer(scores))
+        .filter(F.col("_hit").isNotNull())
         .select(*entries.columns, "_hit.*")
     )
 
@@ -274,7 +277,7 @@ def _score_block(
     cells = (
         with_keyword_flags(entries, text, tags)
         .withColumn("_sim", similarities(F.col(vector), vectors))
-        .select(*plain, F.explode(per_tag).alias("s"))
+        .select(*plain, F.explode_outer(per_tag).alias("s"))
         .select(*plain, "s.*")
     )
     blocked = F.col("blocked")

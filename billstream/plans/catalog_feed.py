@@ -41,17 +41,20 @@ def activity(t):
   FROM n LEFT JOIN {BILLS_SQL} b ON b.bill_id = n.bill_id""",
 )
 def feed_latest_activity(t):
-    top = Fd.top_entries(routine_filter(activity(t)))
-    items = L.join_bill(top, bill_docs(t), ["bill_id"])
+    top = Fd.hold_few(Fd.top_entries(routine_filter(activity(t))))
+    items = L.join_bill_few(top, bill_docs(t), ["bill_id"])
     entry = feed_entry(items, F.create_map().cast("map<string,double>"))
-    made = Fd.feed_items(entry, "https://example.org/data")
-    texts = entry.select("id", "log", "bill", F.col("sources.log").alias("guid"))
-    return made.join(texts, "guid").select(
+    kept = [
+        F.col("log.action.description").alias("activity"),
+        F.col("id").alias("bill_id"),
+        F.trim("bill.title").alias("bill_title"),
+    ]
+    return Fd.feed_items(entry, "https://example.org/data", kept).select(
         "guid",
         "timestamp",
-        F.col("log.action.description").alias("description"),
-        F.col("id").alias("bill_id"),
-        F.trim("bill.title").alias("title"),
+        F.col("activity").alias("description"),
+        "bill_id",
+        F.col("bill_title").alias("title"),
         F.col("title").alias("item_title"),
     )
 
@@ -96,7 +99,7 @@ def feed_top_n(t):
 )
 def sink_feed_xml(t):
     tags = t("b_tagged").select("bill_id", "tag", F.col("evidence").cast("double").alias("score"))
-    top = Fd.top_entries(activity(t), tags)
-    rows = L.join_bill(L.join_tags(top, tags), bill_docs(t), ["bill_id"])
+    top = Fd.hold_few(Fd.top_entries(activity(t), tags))
+    rows = L.join_bill_few(L.join_tags(top, tags), bill_docs(t), ["bill_id"])
     items = Fd.feed_items(feed_entry(rows, F.col("tags")), "https://example.org/data/")
     return items.select("guid", "title", "link", "pubDate", F.array_join("category", ", ").alias("category"))

@@ -77,8 +77,9 @@ def xml_bill_text(t):
 
 
 # Structure of whole texts: trimmed lines, the title line taken out, a running section number.
+BLANKS_SQL = D.BLANKS
 STRUCTURE_CTE = """l AS (SELECT doc_id, i, line FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i,
-    regexp_replace(unnest(string_split(text, chr(10))), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS line FROM documents) x WHERE line <> ''),
+    trim(unnest(string_split(text, chr(10))), '{BLANKS_SQL}') AS line FROM documents) x WHERE line <> ''),
   tl AS (SELECT doc_id, min(i) AS i FROM l WHERE contains(upper(line), 'AN ACT') OR contains(upper(line), 'BILL') OR length(line) > 50 GROUP BY 1),
   t AS (SELECT l.doc_id, line AS title FROM l JOIN tl USING (doc_id, i)),
   b AS (SELECT l.doc_id, l.i, l.line, sum(CASE WHEN regexp_matches(line, '(?i)^(section|§|\\d+\\.)') THEN 1 ELSE 0 END) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS sec
@@ -86,7 +87,7 @@ STRUCTURE_CTE = """l AS (SELECT doc_id, i, line FROM (SELECT doc_id, generate_su
   s AS (SELECT doc_id, sec, string_agg(line, chr(10) ORDER BY i) AS section FROM b GROUP BY 1, 2),
   d AS (SELECT doc_id, count(*) AS n, string_agg(section, '@@' ORDER BY sec) AS joined FROM s GROUP BY 1),
   z AS (SELECT doc_id, text, coalesce(title, 'PDF Document') AS title, coalesce(title, '') AS official_title, coalesce(n, 1) AS n_sections, coalesce(joined, text) AS sections
-    FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN d USING (doc_id))"""
+    FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN d USING (doc_id))""".replace("{BLANKS_SQL}", BLANKS_SQL)
 
 
 @query("pdf_lines_structure", f"WITH {STRUCTURE_CTE} SELECT doc_id, title, official_title, n_sections, sections FROM z")
@@ -106,8 +107,7 @@ def pdf_lines_structure(t):
   UNION ALL SELECT doc_id, 1, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM s)""",
 )
 def section_split(t):
-    rows = D.line_structure(t("documents"), "text").select("doc_id", F.posexplode("sections").alias("i", "section"))
-    return rows.select("doc_id", (F.col("i") + 1).cast("bigint").alias("section_no"), "section")
+    return D.section_rows(t("documents"), "text").select("doc_id", "section_no", "section")
 
 
 FLAG_SQL = """f AS (SELECT page, line, pos, x0, ch, font LIKE '%Strike%' OR coalesce(a > 2 OR b > 2, FALSE) AND a IS NOT NULL AND b IS NOT NULL OR gray < 0.03 AS struck FROM (
