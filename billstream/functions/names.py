@@ -25,22 +25,19 @@ def action_key(description: Column, date: Column) -> Column:
 
 
 def action_log_name(date: Column, classes: Column, org: Column, description: Column) -> Column:
-    stamp = stamp_or_unknown(date)
     first = F.get(classes, F.lit(0))
-    named = F.concat(
-        stamp, F.lit(".classification."), first, F.lit("."), org_class(org), F.lit(".json")
-    )
-    slug = slugify(F.coalesce(description, F.lit("no_description")))
-    plain = F.concat(stamp, F.lit("_"), slug, F.lit(".json"))
-    return F.when(first.isin(TRACKED_CLASSIFICATIONS), named).otherwise(plain)
+    named = F.concat(F.lit(".classification."), first, F.lit("."), org_class(org))
+    plain = F.concat(F.lit("_"), slugify(F.coalesce(description, F.lit("no_description"))))
+    tail = F.when(first.isin(TRACKED_CLASSIFICATIONS), named).otherwise(plain)
+    return F.concat(stamp_or_unknown(date), tail, F.lit(".json"))
 
 
 def vote_log_name(date: Column, result: Column, org: Column) -> Column:
-    stamp = stamp_or_unknown(date)
     result = F.coalesce(result, F.lit("unknown"))
-    passed = F.concat(stamp, F.lit(".vote_event.pass."), org_class(org), F.lit(".json"))
-    other = F.concat(stamp, F.lit("_vote_event_"), slugify(result), F.lit(".json"))
-    return F.when(result == "pass", passed).otherwise(other)
+    passed = F.concat(F.lit(".vote_event.pass."), org_class(org))
+    other = F.concat(F.lit("_vote_event_"), slugify(result))
+    tail = F.when(result == "pass", passed).otherwise(other)
+    return F.concat(stamp_or_unknown(date), tail, F.lit(".json"))
 
 
 def event_log_name(date: Column, name: Column) -> Column:

@@ -194,7 +194,8 @@ def flat_log_names(files: DataFrame) -> DataFrame:
     """Names for one folder per session: later users of a name get their bill id appended."""
     one = files.select("session_id", "bill_id", "name").distinct()
     owner = one.groupBy("session_id", "name").agg(F.min("bill_id").alias("owner"))
-    stem, ext = F.regexp_extract("name", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("name", r"(\.[^.]*)$", 1)
+    ext = F.regexp_extract("name", r"(\.[^.]*)$", 1)
+    stem = F.left("name", F.length("name") - F.length(ext))
     return (
         one.join(owner, ["session_id", "name"])
         .withColumn(
