@@ -38,5 +38,5 @@ def first_non_empty(*sources: DataFrame) -> DataFrame:
     united = ranked[0]
     for df in ranked[1:]:
         united = united.unionByName(df, allowMissingColumns=True)
-    best = united.agg(F.min("_rank").alias("_rank"))
-    return united.join(best, "_rank", "left_semi").drop("_rank")
+    best = united.agg(F.min("_rank")).scalar()
+    return united.filter(F.col("_rank") == best).drop("_rank")

@@ -175,31 +175,50 @@ def xml_bill_text(xml: Column) -> Column:
     return F.pandas_udf(parse, XML_RESULT)(xml)
 
 
-def extract_dispatch(docs: DataFrame) -> DataFrame:
-    """Chosen documents ``(version_id, media_type, content)`` to ``(…, title, raw_text, error)``.
+def extract_texts(docs: DataFrame) -> DataFrame:
+    """Adds ``ext, title, raw_text, error`` to ``(media_type, content)`` in one pass.
 
-    One branch per format; plain text is a possible choice but not extracted.
+    Each format sees only its own contents; for other rows its input is null, which
+    costs next to nothing. So the input is read once, not once per format.
     """
     kind = F.lower("media_type")
-    known = docs.filter(kind.contains("xml") | kind.contains("html") | kind.contains("pdf")).withColumn(
-        "ext", media_ext(F.col("media_type"))
-    )
-    keep = ["version_id", "media_type", "ext"]
-    html = known.filter("ext = 'html'").select(
-        *keep,
-        html_title(F.col("content")).alias("title"),
-        html_to_text(F.col("content")).alias("raw_text"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    xml = (
-        known.filter("ext = 'xml'")
-        .withColumn("_x", xml_bill_text(F.col("content")))
-        .select(*keep, "_x.title", "_x.raw_text", "_x.error")
-    )
-    pdf = line_structure(known.filter("ext = 'pdf'"), "content").select(
-        *keep, "title", F.col("content").alias("raw_text"), F.lit(None).cast("string").alias("error")
-    )
-    return html.unionByName(xml).unionByName(pdf)
+    known = kind.contains("xml") | kind.contains("html") | kind.contains("pdf")
+
+    def only(ext: str) -> Column:
+        return F.when(F.col("ext") == ext, F.col("content"))
+
+    df = docs.withColumn("ext", F.when(known, media_ext(F.col("media_type"))))
+    df = df.withColumns({"_html": only("html"), "_xml": only("xml"), "_pdf": only("pdf")})
+    df = df.withColumn("_x", F.when(F.col("_xml").isNotNull(), xml_bill_text(F.col("_xml"))))
+    df = line_structure(df, "_pdf")
+    missing = F.when(F.col("ext").isNull(), "unsupported media type").when(F.col("content").isNull(), "download failed")
+    result = {
+        "title": F.when(F.col("ext") == "html", html_title(F.col("_html")))
+        .when(F.col("ext") == "xml", F.col("_x.title"))
+        .when(F.col("_pdf").isNotNull(), F.col("title")),
+        "raw_text": F.when(F.col("ext") == "html", html_to_text(F.col("_html")))
+        .when(F.col("ext") == "xml", F.col("_x.raw_text"))
+        .otherwise(F.col("_pdf")),
+        "error": F.coalesce(missing, F.col("_x.error")),
+    }
+    return df.withColumns(result).drop("_html", "_xml", "_pdf", "_x", "official_title", "sections")
+
+
+def extract_dispatch(docs: DataFrame) -> DataFrame:
+    """Chosen documents ``(version_id, media_type, content)`` to ``(…, ext, title, raw_text, error)``.
+
+    Plain text is a possible choice but not extracted.
+    """
+    done = extract_texts(docs).filter(F.col("ext").isNotNull())
+    return done.select("version_id", "media_type", "ext", "title", "raw_text", "error")
+
+
+def best_link_of(*keys: str, accept_application_xml: bool = False):
+    """``best_links`` as an aggregate that keeps versions without a usable link."""
+    rank = media_rank(F.col("media_type"), accept_application_xml)
+    usable = rank.isNotNull() & (F.coalesce(F.col("url"), F.lit("")) != "")
+    best = F.min(F.when(usable, F.struct(rank.alias("rank"), "pos", "url", "media_type"))).alias("_l")
+    return lambda links: links.groupBy(*keys).agg(best).select(*keys, "_l.url", "_l.media_type")
 
 
 def extract_batch(bills: DataFrame, links: DataFrame, contents: DataFrame, run: Column) -> tuple[DataFrame, DataFrame]:
@@ -211,24 +230,18 @@ def extract_batch(bills: DataFrame, links: DataFrame, contents: DataFrame, run:
     """
     need = needs_extraction(F.col("logs_update"), F.col("text_update"), F.col("files"))
     todo = bills.filter(need).select("bill_key")
-    open_links = links.join(todo, "bill_key", "left_semi")
-    owners = open_links.select("bill_key", "version_id").distinct()
-    chosen = best_links(open_links).withColumn("ext", media_ext(F.col("media_type")))
-    done = extract_dispatch(chosen.join(contents, ["version_id", "ext"]).drop("ext"))
-    good = done.filter(F.col("error").isNull()).select("version_id", F.lit(1).alias("_ok"))
-    outcome = (
-        owners.join(good, "version_id", "left").groupBy("bill_key").agg(F.max(F.coalesce("_ok", F.lit(0))).alias("_ok"))
-    )
-    status = (
-        F.when(~need, "skipped").when(F.coalesce(F.col("_ok"), F.lit(1)) == 1, "ok").otherwise("error")
-    )
+    chosen = links.join(todo, "bill_key", "left_semi").transform(best_link_of("bill_key", "version_id"))
+    chosen = chosen.withColumn("ext", media_ext(F.col("media_type")))
+    done = extract_texts(chosen.join(contents, ["version_id", "ext"], "left").drop("ext"))
+    outcome = done.groupBy("bill_key").agg(F.bool_or(F.col("error").isNull()).alias("_ok"))
+    status = F.when(~need, "skipped").when(F.coalesce("_ok", F.lit(True)), "ok").otherwise("error")
     after = (
         bills.join(outcome, "bill_key", "left")
         .withColumn("status", status)
         .withColumn("text_update", F.when(F.col("status") == "ok", run).otherwise(F.col("text_update")))
         .drop("_ok")
     )
-    return after, done
+    return after, done.select("bill_key", "version_id", "media_type", "ext", "title", "raw_text", "error")
 
 
 def extraction_stats(status: DataFrame) -> DataFrame:

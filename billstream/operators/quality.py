@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billstream.functions.paths import parse_template
@@ -88,7 +88,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def coverage(gated: DataFrame, column: str = "gate") -> DataFrame:
     """Rows and share per category."""
     counts = gated.groupBy(column).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    # The window spans the handful of category rows, not the data.
+    total = F.sum("n").over(Window.partitionBy())
     return counts.select(column, "n", F.round(F.col("n") / total, 6).alias("share"))
 
 

@@ -7,6 +7,7 @@ from billstream.operators import links as K
 from billstream.operators.routine import routine_filter
 from billstream.operators.tagging import Tag, keyword_tags
 from billstream.plans.registry import query
+from billstream.session import saved
 from billstream.streaming import jobs as J
 
 RUN_SQL = "CASE WHEN {0} < TIMESTAMP '2024-01-11' THEN 1 WHEN {0} < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END"
@@ -48,7 +49,8 @@ def incremental_votes_events(t):
 def incremental_bills(t):
     a = t("b_action")
     empty = a.select("bill_id", "ord", "description", "date", F.lit("").alias("created")).limit(0)
-    after_one = B.incremental_bills(empty, a.filter("ord <= 3").select("bill_id", "ord", "description", "date"), F.lit("run1"))
+    first = a.filter("ord <= 3").select("bill_id", "ord", "description", "date")
+    after_one = saved(B.incremental_bills(empty, first, F.lit("run1")))
     text = F.when(F.col("ord") % 5 == 2, F.concat("description", F.lit(" (amended)"))).otherwise(F.col("description"))
     second = a.filter(F.substring("bill_id", 3, 20).cast("bigint") % 7 != 0).select("bill_id", "ord", text.alias("description"), "date")
     after_two = B.incremental_bills(after_one, second, F.lit("run2"))
@@ -74,7 +76,7 @@ def orphan_runs(t, runs):
     state = t.spark.createDataFrame([], K.ORPHAN_STATE)
     for run in range(1, runs + 1):
         current, arrived = orphan_inputs(t, run)
-        state = K.update_orphans(state, current, arrived, F.lit(f"run{run}"))
+        state = saved(K.update_orphans(state, current, arrived, F.lit(f"run{run}")))
     return state
 
 
@@ -127,8 +129,9 @@ def event_pending_state(t):
     number = F.substring("bill_id", 3, 20).cast("bigint")
     sessions = t("b_billsession").withColumn("seen", F.when(number % 97 == 0, 1).when(number % 31 == 0, 2).otherwise(3))
     even = F.col("event_id") % 2 == 0
-    one, rest = K.pending_after_run(agenda.limit(0), agenda.filter(even), sessions.filter("seen = 1"))
-    two, rest = K.pending_after_run(rest, agenda.filter(~even), sessions.filter("seen <= 2"))
+    agenda = saved(agenda)
+    one, rest = map(saved, K.pending_after_run(agenda.limit(0), agenda.filter(even), sessions.filter("seen = 1")))
+    two, rest = map(saved, K.pending_after_run(rest, agenda.filter(~even), sessions.filter("seen <= 2")))
     linked = one.withColumn("run", F.lit(1)).unionByName(two.withColumn("run", F.lit(2)))
     done = linked.select("event_id", F.lit("linked").alias("state"), F.col("run").cast("bigint"))
     waiting = rest.select("event_id").distinct().select("event_id", F.lit("pending").alias("state"), F.lit(None).cast("bigint").alias("run"))

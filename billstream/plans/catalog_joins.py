@@ -8,6 +8,7 @@ from billstream.operators import links as K
 from billstream.operators import logs as L
 from billstream.operators.tagging import Tag, keyword_tags
 from billstream.plans.registry import query
+from billstream.session import saved
 
 SCORES = "(SELECT bill_id, string_agg(tag || '=' || evidence, ',' ORDER BY tag) AS tags FROM b_tagged GROUP BY 1)"
 
@@ -77,7 +78,8 @@ def event_pending(t):
 )
 def relink_second_pass(t):
     agenda, full = t("b_agenda"), t("b_billsession")
-    first, rest = K.pending_after_run(agenda.limit(0), agenda, full.filter("session_id = '1999' and bill_id like '%7'"))
+    some = full.filter("session_id = '1999' and bill_id like '%7'")
+    first, rest = map(saved, K.pending_after_run(agenda.limit(0), agenda, some))
     second, _ = K.pending_after_run(rest, agenda.limit(0), full)
     both = first.withColumn("pass", F.lit(1)).unionByName(second.withColumn("pass", F.lit(2)))
     return both.select("event_id", F.col("pos").cast("bigint"), F.col("pass").cast("bigint").alias("pass"))

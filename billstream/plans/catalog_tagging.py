@@ -7,6 +7,7 @@ from billstream.operators import tagging as G
 from billstream.operators.common import top_per_key
 from billstream.operators.tagging import Tag
 from billstream.plans.registry import query
+from billstream.session import saved
 
 KEYWORDS = ["then", "the", "que de", "der"]
 EDGE = "(^|[^\\p{L}\\p{N}_])"
@@ -84,7 +85,7 @@ def empty_tags(t):
 def tag_job(t):
     entries = tag_entries(t)
     # First run: one tag over two thirds of the bills. Second run: all tags over all bills.
-    after_one = G.tag_job(entries.filter("doc_id % 3 <> 0"), empty_tags(t), TAGS, only="water")
+    after_one = saved(G.tag_job(entries.filter("doc_id % 3 <> 0"), empty_tags(t), TAGS, only="water"))
     return G.tag_job(entries, after_one, TAGS)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def saved(df: DataFrame, name: str = "run") -> DataFrame:
+    """Write a table to the shared state folder and read it back.
+
+    Runs hand their state to the next run this way, so a chain of runs does not
+    repeat the work of the earlier ones.
+    """
+    spark = df.sparkSession
+    path = state_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Upper row bound for a side that a plan hints to broadcast.
 BROADCAST_ROWS = 200_000
 
