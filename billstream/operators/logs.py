@@ -110,10 +110,11 @@ def join_bill(logs: DataFrame, bills: DataFrame, keys: Sequence[str] = ("state",
 def join_bill_few(few: DataFrame, bills: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``join_bill`` for a result of bounded size, such as a feed.
 
-    The few keys reach the bill scan as a broadcast filter, so bills never shuffle.
+    The few keys reach the bill scan as a broadcast filter, so whole bills never
+    shuffle; what is left joins by real sizes.
     """
-    wanted = F.broadcast(few.select(*keys).distinct())
-    return join_bill(few, F.broadcast(bills.join(wanted, list(keys), "left_semi")), keys)
+    wanted = broadcast_if_small(few.select(*keys).distinct())
+    return join_bill(few, bills.join(wanted, list(keys), "left_semi"), keys)
 
 
 def nest_tags(bill_tags: DataFrame, keys: Sequence[str] = ("bill_id",)) -> DataFrame:

@@ -89,36 +89,58 @@ def keyword_pattern(keyword: str) -> str:
     return word + left + right
 
 
-def keyword_hit(lowered: Column, keyword: str) -> Column:
-    """A phrase is found anywhere, a single word only as a whole word."""
+#: With more plain words than this, texts are cut into words once and looked up.
+WORD_LOOKUP = 24
+PLAIN_WORD = re.compile(r"^\w+$")
+
+
+def keyword_hit(lowered: Column, keyword: str, present: Column | None = None) -> Column:
+    """A phrase is found anywhere, a single word only as a whole word.
+
+    ``present`` holds the plain words known to be in the text, if they were looked up.
+    """
     keyword = keyword.lower()
     if " " in keyword:
         return lowered.contains(keyword)
+    if present is not None and PLAIN_WORD.match(keyword):
+        return F.array_contains(present, keyword)
     # The plain search is cheap and spares most texts the pattern.
     return lowered.contains(keyword) & lowered.rlike(keyword_pattern(keyword))
 
 
-def matched_keywords(lowered: Column, keywords: Sequence[str]) -> Column:
+def matched_keywords(lowered: Column, keywords: Sequence[str], present: Column | None = None) -> Column:
     """Keywords found in the lower-case text, in configuration order."""
     if not keywords:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(keyword_hit(lowered, k), F.lit(k)) for k in keywords]))
+    return F.array_compact(F.array(*[F.when(keyword_hit(lowered, k, present), F.lit(k)) for k in keywords]))
 
 
-def any_keyword(lowered: Column, keywords: Sequence[str]) -> Column:
+def any_keyword(lowered: Column, keywords: Sequence[str], present: Column | None = None) -> Column:
     hit = F.lit(False)
     for k in keywords:
-        hit = hit | keyword_hit(lowered, k)
+        hit = hit | keyword_hit(lowered, k, present)
     return hit
 
 
 def with_keyword_flags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFrame:
-    """Adds ``_found<i>`` and ``_block<i>`` per tag; the text is lowered once."""
+    """Adds ``_found<i>`` and ``_block<i>`` per tag; the text is lowered once.
+
+    A whole-word hit of a plain word means that it is one of the words of the text.
+    With many keywords one pass over the words replaces one search per keyword.
+    """
+    entries = entries.withColumn("_low", F.lower(text))
+    words = {k.lower() for t in tags for k in (*t.include_keywords, *t.exclude_keywords)}
+    plain = sorted(w for w in words if PLAIN_WORD.match(w))
+    present = None
+    if len(plain) > WORD_LOOKUP:
+        found = F.regexp_extract_all("_low", F.lit(f"[{WORD}]+"), 0)
+        entries = entries.withColumn("_present", F.array_intersect(F.array(*map(F.lit, plain)), found))
+        present = F.col("_present")
     flags = {}
     for i, tag in enumerate(tags):
-        flags[f"_found{i}"] = matched_keywords(F.col("_low"), tag.include_keywords)
-        flags[f"_block{i}"] = any_keyword(F.col("_low"), tag.exclude_keywords)
-    return entries.withColumn("_low", F.lower(text)).withColumns(flags).drop("_low")
+        flags[f"_found{i}"] = matched_keywords(F.col("_low"), tag.include_keywords, present)
+        flags[f"_block{i}"] = any_keyword(F.col("_low"), tag.exclude_keywords, present)
+    return entries.withColumns(flags).drop("_low", "_present")
 
 
 def keyword_score(i: int, tag: Tag) -> Column:

@@ -48,6 +48,20 @@ def keyword_tags(t):
     )
 
 
+MANY = [a + b for a in ("th", "an", "er", "re", "en", "in") for b in ("e", "en", "er", "on", "es")]
+MANY_SQL = " UNION ALL ".join(f"SELECT '{w}' AS word" for w in MANY)
+
+
+@query(
+    "keyword_tags_many",
+    f"""WITH w AS ({MANY_SQL}), d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS words FROM documents)
+  SELECT doc_id, word AS tag FROM d JOIN w ON list_contains(d.words, w.word)""",
+)
+def keyword_tags_many(t):
+    tags = [Tag(w, include_keywords=[w]) for w in MANY]
+    return G.keyword_tags(t("documents"), "text", tags).select("doc_id", "tag")
+
+
 @query(
     "rank_tags",
     f"""SELECT doc_id, tag, final_score, row_number() OVER (PARTITION BY doc_id ORDER BY final_score DESC, tag) AS tag_rank FROM ({KEYWORD_TAGS_SQL}) x""",

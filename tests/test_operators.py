@@ -322,3 +322,21 @@ def test_overwrite_scores_tagged_bills_again(spark):
     assert G.tag_job(entries, stored, tags).count() == 1
     assert {r.tag for r in G.tag_job(entries, stored, tags, overwrite=True).collect()} == {"old", "wet"}
     assert {r.tag for r in G.tag_job(entries, stored, tags, only="wet").collect()} == {"old", "wet"}
+
+
+def test_word_lookup_agrees_with_the_patterns(spark, monkeypatch):
+    texts = ["the trans-act", "transport", "LGBTQ+ Rights", "ñtrans", "clean water; c++x", "", "trans_it a.b", "WATER water"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
+    tags = [
+        G.Tag("a", include_keywords=["trans", "LGBTQ", "clean water", "c++", "Water"], exclude_keywords=["port"]),
+        G.Tag("b", include_keywords=["water", "a.b", "transport"], exclude_keywords=["rights", "clean"]),
+    ]
+
+    def run():
+        return sorted((r.id, r.tag, tuple(r.keyword_match)) for r in G.keyword_tags(df, "text", tags).collect())
+
+    by_pattern = run()
+    monkeypatch.setattr(G, "WORD_LOOKUP", 0)
+    assert run() == by_pattern
+    assert (4, "a", ("clean water", "c++", "Water")) in by_pattern and (7, "b", ("water",)) in by_pattern
+    assert (6, "b", ("a.b",)) in by_pattern and not [r for r in by_pattern if r[0] in (3, 5)]
