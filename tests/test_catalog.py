@@ -56,10 +56,15 @@ def test_rankings_limit_groups_before_the_shuffle(spark):
 
 
 def test_top_k_needs_no_full_sort(spark):
-    for name in ("top_k_logs", "feed_top_n", "feed_latest_activity"):
+    for name in ("top_k_logs", "feed_top_n"):
         assert "TakeOrdered" in plan_of(load_catalog()[name](spark, SMALL)), name
 
 
+def test_a_held_feed_does_not_scan_logs_again(spark):
+    plan = plan_of(load_catalog()["feed_latest_activity"](spark, SMALL))
+    assert "LocalTableScan" in plan and "events.parquet" not in plan
+
+
 def test_scans_are_narrow_and_filters_reach_them(spark):
     plan = plan_of(load_catalog()["failure_report"](spark, SMALL))
     assert "EqualTo(event_type,error)" in plan
