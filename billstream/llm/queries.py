@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from billstream.llm import chat, simhash
+from billstream.llm import chat, simhash, token_store
 
 QUERIES = {
+    "op1_token_store": token_store.op1_token_store,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op8_simhash": simhash.op8_simhash,
 }

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billstream.llm.common import components, slices, stored, texts_of
+from billstream.llm.common import components, in_arrow, slices, stored, texts_of
 
 SEED = 42
 SHINGLE = 3
@@ -53,7 +53,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the 64 bits of its fingerprint as a long; no words: zero."""
-    return texts_of(docs).mapInArrow(_fingerprints, "doc_id long, fp long")
+    return in_arrow(texts_of(docs), _fingerprints, "doc_id long, fp long")
 
 
 def _permuted(values: np.ndarray, order: list[int]) -> np.ndarray:
@@ -160,8 +160,7 @@ def near_links(uniq: DataFrame, most: int = MOST_BITS) -> DataFrame:
             )
 
     blocks = stored(
-        uniq.select("fp", "first_id")
-        .mapInArrow(permute, "block long, p long, first_id long")
+        in_arrow(uniq.select("fp", "first_id"), permute, "block long, p long, first_id long")
         .groupBy("block")
         .agg(F.collect_list(F.struct("p", "first_id")).alias("members")),
         "simhash-blocks",
@@ -176,8 +175,8 @@ def near_links(uniq: DataFrame, most: int = MOST_BITS) -> DataFrame:
     right = blocks.select(F.col("block").alias("other"), F.col("members").alias("right"))
     # Few rows with much work each: dealt out by pair, whatever their bytes are.
     dealt = pairs.join(left, "block").join(right, "other")
-    return dealt.repartition(_tasks(uniq.sparkSession), "block", "other").mapInArrow(
-        _block_links(depth, most), "a long, b long"
+    return in_arrow(
+        dealt.repartition(_tasks(uniq.sparkSession), "block", "other"), _block_links(depth, most), "a long, b long"
     )
 
 
