@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from billstream.llm import byte_bpe, chat, simhash, token_store
+from billstream.llm import byte_bpe, chat, pii, simhash, token_store
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
+    "op2_pii": pii.op2_pii,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op8_simhash": simhash.op8_simhash,
