@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from billstream.llm import byte_bpe, chat, pii, simhash, token_store
+from billstream.llm import byte_bpe, chat, decontaminate, pii, simhash, token_store
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op8_simhash": simhash.op8_simhash,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 
-SQL = {"op4_chat_formatting": chat.OP4_SQL}
+SQL = {"op4_chat_formatting": chat.OP4_SQL, "op10_decontamination": decontaminate.OP10_SQL}
