@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from billstream.llm import byte_bpe, chat, decontaminate, language_crf, pii, simhash, token_store
+from billstream.llm import byte_bpe, chat, decontaminate, embedding_pairs, language_crf, pii, simhash, token_store
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
     "op2_pii": pii.op2_pii,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op6_embedding_pairs": embedding_pairs.op6_embedding_pairs,
     "op7_language_crf": language_crf.op7_language_crf,
     "op8_simhash": simhash.op8_simhash,
     "op10_decontamination": decontaminate.op10_decontamination,
