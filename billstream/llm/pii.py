@@ -157,9 +157,13 @@ def _listed(spans: Column) -> Column:
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = F.filter("spans", lambda s: s.kind.isin(*BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
+        *map(count, BASE_KINDS),
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
     )
