@@ -111,7 +111,9 @@ def look_up(index: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---- encoding -------------------------------------------------------------------------------
 
 #: str.split() also cuts at these, which the tokenizer takes as ordinary characters.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Words whose letters the tokenizer lowers one by one and takes as one piece, with a stop or comma.
+PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 SPACES = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -131,6 +133,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kept: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -151,20 +154,33 @@ class WordEncoder:
                 continue
             raw, edges = ids.tobytes(), [0, *(cuts + 1).tolist(), len(ids) + 1]
             w = self.width
-            self.kept.update((word, raw[a * w : (b - 1) * w]) for word, a, b in zip(part, edges, edges[1:]))
+            self.cores.update((word, raw[a * w : (b - 1) * w]) for word, a, b in zip(part, edges, edges[1:]))
         for i in range(0, len(odd), 1000):
             part = odd[i : i + 1000]
-            self.kept.update((word, np.array(ids, kind).tobytes()) for word, ids in zip(part, self._ids(part)))
+            self.cores.update((word, np.array(ids, kind).tobytes()) for word, ids in zip(part, self._ids(part)))
+
+    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; one that is letters and a comma or stop is put together from its parts."""
+        if len(self.cores) > KEPT_WORDS:
+            self.cores = {}
+        parts = {w: m.groups() for w in words if (m := PLAIN.fullmatch(w))}
+        whole = [w for w in words if w not in parts]
+        cores = {a.lower() for a, _ in parts.values()} | {b for _, b in parts.values()} | set(whole)
+        self._learn([c for c in cores if c and c not in self.cores])
+        self.cores[""] = b""
+        get = self.cores.__getitem__
+        return {w: get(a.lower()) + get(b) for w, (a, b) in parts.items()} | {w: get(w) for w in whole}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [SPACES.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
+        split = [SPACES.split(t) if any(c in t for c in SEPARATORS) else t.split() for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self.kept = {}
-        new = {w for words in split for w in words if w not in self.kept}
-        self._learn([w for w in new if w])
-        self.kept.setdefault("", b"")
-        get = self.kept.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        found = [list(map(self.kept.get, words)) for words in split]
+        gaps = [i for i, ids in enumerate(found) if None in ids]
+        self.kept.update(self._ids_of({w for i in gaps for w, ids in zip(split[i], found[i]) if ids is None}))
+        for i in gaps:
+            found[i] = list(map(self.kept.__getitem__, split[i]))
+        return list(map(b"".join, found))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
