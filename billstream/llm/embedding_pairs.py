@@ -196,7 +196,7 @@ def _verify(least: float, tables: int, hashes: int, probes: int):
 
 def _is_usable() -> Column:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    return F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
 
 
 def embedding_groups(
@@ -205,7 +205,7 @@ def embedding_groups(
     """One row per row of ``vec_id``, ``embedding``: ``n_links``, ``component_id``, ``kept``.
 
     Vectors that are null, empty, zero or hold null or non-finite parts link with nothing, nor do
-    vectors of different lengths. Equal vectors are hashed once and counted with their number, so
+    vectors of different lengths or rows with a null id. Equal vectors are hashed once and counted with their number, so
     copies make no pairs. A bucket of many different vectors is compared part by part in many tasks.
     Rows that repeat an id count as vectors of their own; an empty table gives no row; other columns
     are ignored.
@@ -215,7 +215,7 @@ def embedding_groups(
     good = rows.where(_is_usable())
     uniq = stored(
         good.groupBy("embedding").agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("n"))
-        .where("rep_id is not null").withColumn("size", F.size("embedding")),
+        .withColumn("size", F.size("embedding")),
         "embedding-distinct",
     )
     in_bucket = ["size", "bank", "code"]
