@@ -9,6 +9,7 @@ writers commit the files, so a lost executor only repeats its tasks.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -27,6 +28,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 SHARD_BYTES = 4 << 20
 #: Distinct words whose ids a Python worker keeps; then it starts anew.
 KEPT_WORDS = 400_000
+#: The same for the lower-case letters of words, whose ids cost most.
+KEPT_CORES = 1_200_000
 #: Slots of a hash level for each key that is left.
 SLACK = 2
 LEVELS = 64
@@ -112,8 +115,6 @@ def look_up(index: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 #: str.split() also cuts at these, which the tokenizer takes as ordinary characters.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-#: Words whose letters the tokenizer lowers one by one and takes as one piece, with a stop or comma.
-PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)")
 SPACES = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -134,11 +135,25 @@ class WordEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kept: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words that are one piece each: the ids of one end with the first that ends a piece."""
+        w = self.width
+        for i in range(0, len(words), 200):
+            part = words[i : i + 200]
+            ids = np.array(self._ids([" ".join(part)])[0], f"<u{w}")
+            raw, edges = ids.tobytes(), [0, *((np.nonzero(self.ends[ids])[0] + 1) * w).tolist()]
+            if len(edges) != len(part) + 1:
+                raise ValueError("a word of letters is not one piece of this tokenizer")
+            self.cores.update((word, raw[a:b]) for word, a, b in zip(part, edges, edges[1:]))
+
     def _learn(self, words: list[str]) -> None:
         kind = f"<u{self.width}"
         plain = [w for w in words if self.MARK not in w and len(w) < 1000]
@@ -159,28 +174,43 @@ class WordEncoder:
             part = odd[i : i + 1000]
             self.cores.update((word, np.array(ids, kind).tobytes()) for word, ids in zip(part, self._ids(part)))
 
-    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of new words; one that is letters and a comma or stop is put together from its parts."""
-        if len(self.cores) > KEPT_WORDS:
+    def _remember(self, words: set[str]) -> None:
+        """Keep the ids of new words; one of letters and a comma or stop is put together from its parts."""
+        if len(self.cores) > KEPT_CORES:
             self.cores = {}
-        parts = {w: m.groups() for w in words if (m := PLAIN.fullmatch(w))}
-        whole = [w for w in words if w not in parts]
-        cores = {a.lower() for a, _ in parts.values()} | {b for _, b in parts.values()} | set(whole)
-        self._learn([c for c in cores if c and c not in self.cores])
-        self.cores[""] = b""
-        get = self.cores.__getitem__
-        return {w: get(a.lower()) + get(b) for w, (a, b) in parts.items()} | {w: get(w) for w in whole}
+        parts, plain = [], {".", ","}
+        for word in words:
+            core, tail = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
+            if core.isalpha() and (core.isascii() or core.isprintable() and max(core) < "\u0100"):
+                core = core.lower()
+                plain.add(core)
+                parts.append((word, core, tail))
+            else:
+                parts.append((word, word, ""))
+        cores = self.cores
+        self._learn_letters([c for c in plain if c not in cores])
+        self._learn([c for _, c, _ in parts if c and c not in cores])
+        cores[""] = b""
+        self.kept.update([(word, cores[core] + cores[tail]) for word, core, tail in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [SPACES.split(t) if any(c in t for c in SEPARATORS) else t.split() for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self.kept = {}
-        found = [list(map(self.kept.get, words)) for words in split]
-        gaps = [i for i, ids in enumerate(found) if None in ids]
-        self.kept.update(self._ids_of({w for i in gaps for w, ids in zip(split[i], found[i]) if ids is None}))
-        for i in gaps:
-            found[i] = list(map(self.kept.__getitem__, split[i]))
-        return list(map(b"".join, found))
+        # Millions of small objects without cycles: the collector would only walk them.
+        gc.disable()
+        try:
+            return self._encode(split)
+        finally:
+            gc.enable()
+
+    def _encode(self, split: list[list[str]]) -> list[bytes]:
+        seen: set[str] = set()
+        for words in split:
+            seen.update(words)
+        self._remember(seen.difference(self.kept))
+        get = self.kept.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -203,8 +233,8 @@ def _shard_row(shard: int, ids: list, parts: list[bytes], width: int) -> pa.Reco
     index = build_index(known)
     row = {
         "shard": shard,
-        "first_id": ids[0],
-        "last_id": ids[-1],
+        "first_id": int(known[0]) if len(known) else None,
+        "last_id": int(known[-1]) if len(known) else None,
         "n_docs": len(ids),
         "n_ids": int(lengths.sum()),
         "width": width,
