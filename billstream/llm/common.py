@@ -67,7 +67,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.binary_length(batch[batch.schema.get_field_index(column)]).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch[batch.schema.get_field_index(column)]), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + size > most:
