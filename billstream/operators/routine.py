@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billstream.rules.routine_values import DENIED_CLASSES, DENIED_PHRASES
-from billstream.session import broadcast_if_small
 
 RULE_SCHEMA = (
     "locale STRING, deny_class STRING, equals STRING, prefix STRING, "
@@ -31,8 +30,6 @@ RULE_ARROW = pa.schema(
         ("shorter_than", pa.int32()),
     ]
 )
-#: A row may name this many substrings.
-MAX_CONTAINS = 3
 
 
 def builtin_rules(spark: SparkSession) -> DataFrame:
@@ -64,16 +61,9 @@ def routine_filter(
     """Entries no rule of their locale denies; unknown locales keep everything."""
     if alias.lower() == "none":
         return logs
-    # The built-in table has a fixed size; a table passed in is measured first.
-    small = broadcast_if_small(rules) if rules is not None else F.broadcast(builtin_rules(logs.sparkSession))
-    r = small.select(
-        F.col("locale").alias("_locale"),
-        "deny_class",
-        "equals",
-        "prefix",
-        "shorter_than",
-        *[F.get("contains", F.lit(i)).alias(f"part{i}") for i in range(MAX_CONTAINS)],
-    )
+    # The built-in table has a fixed size; for a table passed in the choice is left to its statistics.
+    small = rules if rules is not None else F.broadcast(builtin_rules(logs.sparkSession))
+    r = small.select(F.col("locale").alias("_locale"), "deny_class", "equals", "prefix", "shorter_than", "contains")
     text = F.col(description)
     match = (
         (F.col(locale) == F.col("_locale"))
@@ -82,8 +72,7 @@ def routine_filter(
         & _holds(F.startswith(text, F.col("prefix")), F.col("prefix"))
         & _holds(F.octet_length(text) < F.col("shorter_than"), F.col("shorter_than"))
     )
-    for i in range(MAX_CONTAINS):
-        match = match & _holds(F.contains(text, F.col(f"part{i}")), F.col(f"part{i}"))
+    match = match & _holds(F.forall("contains", lambda part: F.contains(text, part)), F.col("contains"))
     # An entry without a description only ever meets class rules.
     match = match & (F.col("deny_class").isNotNull() | text.isNotNull())
     return logs.join(r, match, "left_anti")

@@ -111,9 +111,9 @@ FROM @events@""",
     # Routine-filter input: real locales and real phrases spread over the action rows.
     "b_routine": """
 SELECT l_orderkey * 10 + l_linenumber AS action_no,
-  CASE l_suppkey % 8 WHEN 0 THEN 'ak' WHEN 1 THEN 'al' WHEN 2 THEN 'ca' WHEN 3 THEN 'de' WHEN 4 THEN 'fl' WHEN 5 THEN 'hi' WHEN 6 THEN 'az' ELSE 'zz' END AS locale,
+  CASE l_suppkey % 11 WHEN 8 THEN 'wy' WHEN 9 THEN 'wv' WHEN 10 THEN 'nv' WHEN 0 THEN 'ak' WHEN 1 THEN 'al' WHEN 2 THEN 'ca' WHEN 3 THEN 'de' WHEN 4 THEN 'fl' WHEN 5 THEN 'hi' WHEN 6 THEN 'az' ELSE 'zz' END AS locale,
   CASE l_returnflag WHEN 'R' THEN 'introduction,referral-committee' WHEN 'A' THEN 'reading-2' ELSE CASE l_linestatus WHEN 'O' THEN 'passage' ELSE 'filing' END END AS classes,
-  CASE l_partkey % 12 WHEN 0 THEN '(H) EDC, FIN' WHEN 1 THEN '(H) EDC, FIN and other panels' WHEN 2 THEN 'Filed' WHEN 3 THEN 'June 4 set for first hearing'
+  CASE l_partkey % 18 WHEN 12 THEN 'Bill Number Assigned' WHEN 13 THEN 'To House Judiciary' WHEN 14 THEN 'To Governor' WHEN 15 THEN 'Prefiled. Referred to Committee on Rules' WHEN 16 THEN 'Taken from General File. Placed on General File for later' WHEN 17 THEN 'H Placed on General File' WHEN 0 THEN '(H) EDC, FIN' WHEN 1 THEN '(H) EDC, FIN and other panels' WHEN 2 THEN 'Filed' WHEN 3 THEN 'June 4 set for first hearing'
     WHEN 4 THEN 'Referred to Rules' WHEN 5 THEN 'Assigned to Health Committee' WHEN 6 THEN 'Assigned to nobody' WHEN 7 THEN 'Notice of a hearing'
     WHEN 8 THEN 'FN 2: ZERO(DPS)' WHEN 9 THEN 'Added to House agenda' WHEN 10 THEN 'Set for hearing May 2' ELSE 'Passed the House' END AS description
 FROM @lineitem@""",

@@ -75,7 +75,11 @@ SELECT action_no, locale, classes, description FROM b_routine WHERE NOT (
   OR (locale = 'ca' AND (contains(classes, 'referral-committee') OR description LIKE 'Set for hearing%' OR description = 'June 4 set for first hearing'))
   OR (locale = 'de' AND (contains(classes, 'introduction') OR description = 'Assigned to Health Committee'))
   OR (locale = 'fl' AND (classes = 'filing' OR description = 'Filed' OR description LIKE 'Referred to%' OR description = 'Added to House agenda'))
-  OR (locale = 'hi' AND (contains(classes, 'introduction') OR description LIKE 'Referred to%' OR description LIKE '%Notice of%hearing%')))"""
+  OR (locale = 'hi' AND (contains(classes, 'introduction') OR description LIKE 'Referred to%' OR description LIKE '%Notice of%hearing%'))
+  OR (locale = 'wy' AND (contains(classes, 'introduction') OR contains(classes, 'referral-committee')
+    OR description IN ('Bill Number Assigned', 'H Placed on General File')))
+  OR (locale = 'wv' AND (contains(classes, 'introduction') OR classes = 'filing' OR description = 'To House Judiciary'))
+  OR (locale = 'nv' AND description IN ('Prefiled. Referred to Committee on Rules', 'Taken from General File. Placed on General File for later')))"""
 
 
 @query("routine_filter", ROUTINE_SQL)

@@ -1,7 +1,7 @@
 """Rules that mark an action as routine, by locale.
 
-A rule holds if all of its parts hold. Phrases ship for the locales listed here;
-rules of further locales come in as a table (see ``operators.routine.load_rules``).
+A rule holds if all of its parts hold. Further rules come in as a table (see
+``operators.routine.load_rules``).
 """
 
 from __future__ import annotations
@@ -185,4 +185,303 @@ DENIED_PHRASES = {
         pre("returned to"),
         has("posted for passage in the Consent Orders"),
     ],
+    "la": [
+        pre("Prefiled and under the rules provisionally referred to"),
+        pre("Read by title, rules suspended, referred to"),
+        eq("Read by title, ordered engrossed, passed to 3rd reading."),
+        eq("Read by title, rules suspended, passed to 3rd reading."),
+        eq("Read by title, passed to 3rd reading."),
+        pre("Scheduled for floor debate on"),
+        eq("Reported without Legislative Bureau amendments."),
+    ],
+    "ma": [
+        pre("Hearing scheduled for"),
+        pre("Hearing rescheduled to"),
+        eq("Senate concurred"),
+        eq("House concurred"),
+        pre("Referred to the committee on"),
+        pre("Reporting date extended to"),
+        pre("Accompanied a"),
+    ],
+    "md": [
+        eq("Pre-filed"),
+        pre("First Reading"),
+        pre("Hearing "),
+        pre("Referred "),
+    ],
+    "me": [
+        pre("The Bill was REFERRED to"),
+        pre("Author added"),
+        pre("Authors added"),
+        eq("Reports READ."),
+        eq("Reports Read"),
+        eq("Ordered sent down forthwith."),
+        eq("Voted - ONTP"),
+    ],
+    "mi": [
+        pre("referred to Committee on"),
+        pre("REFERRED TO COMMITTEE"),
+        eq("read a first time"),
+        pre("INTRODUCED BY"),
+        pre("introduced by"),
+        pre("bill electronically reproduced"),
+        pre("re-referred to Committee on"),
+    ],
+    "mn": [
+        eq("Introduction and first reading"),
+        pre("Introduction and first reading, referred to"),
+        pre("Referred to"),
+        pre("Author added"),
+        pre("Authors added"),
+    ],
+    "mo": [
+        eq("Prefiled"),
+        eq("Prefiled (H)"),
+    ],
+    "mp": [
+        eq("Date Introduced"),
+        eq("House First Reading"),
+        eq("House Final Reading"),
+        eq("Senate First Reading"),
+        eq("Senate Final Reading"),
+    ],
+    "ms": [
+        pre("Referred To"),
+        eq("Enrolled Bill Signed"),
+        eq("Immediate Release"),
+        eq("Motion to Reconsider Tabled"),
+    ],
+    "mt": [
+        pre("(H) Hearing -"),
+        pre("(S) Hearing -"),
+        has("Scheduled for 2nd Reading"),
+        eq("(LC) Draft Ready for Delivery"),
+        eq("(LC) Drafter Assigned"),
+        eq("(LC) Draft On Hold"),
+        eq("(LC) Draft Died in Process"),
+        pre("(H) Rereferred to Committee -"),
+    ],
+    "nc": [
+        pre("Ref to the Com on"),
+        pre("Re-ref to"),
+        pre("Re-ref Com On"),
+        pre("Ref To Com On"),
+        eq("Passed 1st Reading"),
+        eq("Passed 2nd Reading"),
+        eq("Filed"),
+        eq("Withdrawn From Com"),
+        eq("Ordered Enrolled"),
+        eq("Reptd Fav"),
+    ],
+    "nd": [
+        pre("Introduced, first reading, referred"),
+        pre("Committee Hearing"),
+        pre("Reported back, do pass"),
+        eq("Received from Senate"),
+        eq("Signed by President"),
+        eq("Signed by Speaker"),
+    ],
+    "ne": [
+        pre("Referred to"),
+        pre("Notice of hearing for"),
+        eq("Placed on Select File"),
+        eq("Motion to suspend rules to indefinitely postpone filed"),
+        eq("Date of introduction"),
+        pre("Advanced to Enrollment and Review"),
+        pre("Placed on General File with"),
+        has("pending", "FA"),
+    ],
+    "nh": [
+        has("Introduced", "referred to"),
+        pre("Public Hearing:"),
+        pre("Executive Session:"),
+        pre("Full Committee Work Session:"),
+    ],
+    "nj": [
+        pre("Introduced in the Assembly, Referred to"),
+        pre("Introduced in the Senate, Referred to"),
+        pre("Referred to"),
+        pre("Reported and Referred to"),
+        pre("Transferred to"),
+        pre("Substituted for"),
+    ],
+    "nm": [
+        has("DO PASS", "committee report adopted"),
+        pre("Sent to ", "Committee"),
+    ],
+    "nv": [
+        pre("Prefiled.", "Referred to Committee"),
+        has("Taken from General File", "Placed on General File"),
+        pre("From committee: Do pass"),
+        has("Placed on Second Reading File"),
+    ],
+    "ny": [
+        pre("REFERRED TO"),
+        eq("REPORTED REFERRED TO RULES"),
+        eq("INTRODUCED"),
+        eq("DELIVERED TO ASSEMBLY"),
+        pre("AMEND AND RECOMMIT TO"),
+        pre("1ST REPORT CAL"),
+        eq("REPORTED TO CALENDAR FOR CONSIDERATION"),
+    ],
+    "oh": [
+        eq("Introduced"),
+        pre("Referred to committee"),
+        eq("Reported"),
+        eq("Reported - Substitute"),
+        eq("Informally passed"),
+    ],
+    "ok": [
+        eq("First Reading"),
+        pre("Second Reading referred to"),
+        pre("Referred to"),
+        pre("Authored by"),
+        pre("Coauthored by"),
+        eq("Referred for enrollment"),
+        eq("Referred for engrossment"),
+        eq("Withdrawn from Rules Committee"),
+    ],
+    "or": [
+        pre("First reading. Referred to"),
+        pre("Referred to"),
+        pre("Carried over to"),
+        has("Taken from", "Calendar and placed on"),
+        eq("Work Session held"),
+        eq("Public Hearing and Work Session held"),
+        pre("Vote explanation(s) filed by"),
+    ],
+    "pa": [
+        pre("Referred to"),
+        eq("First consideration"),
+        eq("Laid on the table"),
+        eq("Reported as committed"),
+    ],
+    "pr": [
+        eq("Radicado"),
+        eq("Referido a Comisión(es)"),
+        pre("Remitido a Comisión"),
+        eq("En el Calendario de Ordenes Especiales del Senado"),
+        pre("Reunión Ejecutiva:"),
+        pre("Devuelto a la Comisión(es)"),
+    ],
+    "ri": [
+        pre("Introduced, referred to"),
+        pre("Placed on House Calendar"),
+        pre("Placed on Senate Calendar"),
+        pre("Scheduled for hearing and/or consideration"),
+        pre("Scheduled for consideration"),
+        eq("Proposed Substitute"),
+    ],
+    "sc": [
+        eq("Prefiled"),
+        eq("Introduced and read first time"),
+        pre("Referred to Committee on"),
+        eq("Read second time"),
+        pre("Member(s) request name added as sponsor"),
+        eq("Scrivener's error corrected"),
+    ],
+    "sd": [
+        pre("First read in Senate and referred to"),
+        pre("First Reading House"),
+        has("Select Committee on", "Do Pass"),
+        pre("Delivered to the Governor"),
+    ],
+    "tn": [
+        eq("Filed for introduction"),
+        eq("Introduced, Passed on First Consideration"),
+        pre("Placed on Senate Regular Calendar"),
+        pre("Placed on Senate Judiciary Committee calendar"),
+        pre("Placed on cal. Calendar & Rules Committee"),
+        pre("Rec. for pass"),
+        pre("Recommended for passage"),
+        eq("Sponsor(s) Added."),
+        pre("Engrossed; ready for transmission"),
+    ],
+    "ut": [
+        eq("House/ 1st reading (Introduced)"),
+        eq("Senate/ 1st reading (Introduced)"),
+        eq("House/ 2nd reading"),
+        pre("Senate/ 2nd & 3rd readings/ suspension"),
+        pre("House/ passed 2nd & 3rd readings/ suspension"),
+        eq("Senate/ to House"),
+        eq("House/ to Senate"),
+        eq("House/ received from Senate"),
+        eq("Senate/ received from House"),
+        eq("House/ Rules to 3rd Reading Calendar"),
+        eq("House/ enrolled bill to Printing"),
+        eq("Senate/ enrolled bill to Printing"),
+        eq("Senate/ received bill from Legislative Printing"),
+        eq("Bill Numbered but not Distributed"),
+        eq("Numbered Bill Publicly Distributed"),
+    ],
+    "vi": [
+        eq("received"),
+        eq("Assigned"),
+        eq("To Senate"),
+    ],
+    "vt": [
+        pre("Read 1st time & referred to"),
+        pre("Read first time and referred to"),
+        pre("Referred to Committee on"),
+        pre("Referred to Committee on Appropriations per Senate Rule"),
+        pre("Referred to Committee on Rules per"),
+        eq("Entered on Notice Calendar"),
+        eq("On Consent Calendar"),
+        eq("Adopted pursuant to Joint Rule 16b"),
+        eq("Adopted in concurrence per Joint Rule 16b"),
+        eq("Committee Bill for Second Reading"),
+    ],
+    "wa": [
+        pre("First reading, referred to"),
+        pre("Referred to"),
+        pre("Rules Committee relieved of further consideration.  Placed on second reading"),
+        eq("Passed to Rules Committee for second reading"),
+        pre("Public hearing in the"),
+        pre("Executive session scheduled, but no action was taken"),
+        pre("Rules suspended.  Placed on Third Reading"),
+    ],
+    "wi": [
+        pre("Read first time and referred to"),
+        has("added as a coauthor"),
+        has("added as a cosponsor"),
+        pre("Assembly Amendment", "offered by"),
+        pre("Senate Amendment", "offered by"),
+        eq("Received from Assembly"),
+        eq("Received from Senate"),
+        eq("Public hearing held"),
+        eq("Executive action taken"),
+        eq("Fiscal estimate received"),
+        pre("Placed on calendar"),
+        pre("Withdrawn from committee on Rules and referred to calendar"),
+        eq("Ordered immediately messaged"),
+        eq("Rules suspended"),
+        eq("Read a second time"),
+        eq("Ordered to a third reading"),
+    ],
+    "wv": [
+        eq("Filed for introduction"),
+        eq("Introduced in House"),
+        eq("Introduced in Senate"),
+        pre("To ", "House"),
+        pre("To ", "Senate"),
+        pre("To ", "Finance"),
+        pre("To ", "Judiciary"),
+        eq("Read 1st time"),
+        eq("Read 2nd time"),
+        eq("Read 3rd time"),
+        eq("On 2nd reading"),
+        eq("Communicated to Senate"),
+        eq("Reported do pass"),
+        eq("Floor amendment adopted (Voice vote)"),
+        eq("Amendment withdrawn (Voice vote)"),
+    ],
+    "wy": [
+        pre("H Introduced and Referred to"),
+        pre("S Introduced and Referred to"),
+        eq("Bill Number Assigned"),
+        eq("H Placed on General File"),
+        eq("S Placed on General File"),
+        pre("S President Signed"),
+        pre("Pursuant to JR"),
+    ],
 }
