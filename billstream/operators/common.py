@@ -7,27 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Up to this many rows per key the optimizer limits groups before the shuffle.
-GROUP_LIMIT = 1000
-SALTS = 64
-
-
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in ``order``, which must be a total order.
 
-    For small ``n`` Spark keeps only ``n`` rows per key and task ahead of the
-    shuffle, so a hot key stays small. Beyond that bound the same is done in two
-    explicit steps over salted keys.
+    For the usual small ``n`` Spark keeps only ``n`` rows per key and task ahead of
+    the shuffle, so a hot key stays small.
     """
-    if n > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
-        local = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_rn", F.row_number().over(local))
-            .filter(F.col("_rn") <= n)
-            .drop("_salt", "_rn")
-        )
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(ranked)).filter(F.col("_rn") <= n).drop("_rn")
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billstream.functions import entries as E
 from billstream.functions import stamps as S
 from billstream.functions.text import title_case_tag
-from billstream.operators.common import SALTS
-from billstream.operators.logs import dedup_guid, tag_filter
+from billstream.operators.logs import BILL_KEY, tag_filter
 
 FEED_LIMIT = 100
 
@@ -33,6 +32,11 @@ def feed_items(entries: DataFrame, base_url: str, keep: Sequence[Column] = ()) -
     )
 
 
+def newest_items(stamp: str = "log_ts", guid: str = "path") -> list[Column]:
+    """The order of a feed: newest first, missing stamps last, equal stamps by guid."""
+    return [F.desc(F.coalesce(F.col(stamp), F.lit(""))), F.asc(guid)]
+
+
 def top_entries(
     logs: DataFrame,
     bill_tags: DataFrame | None = None,
@@ -40,31 +44,16 @@ def top_entries(
     limit: int = FEED_LIMIT,
     guid: str = "path",
     order: str = "event_id",
+    keys: Sequence[str] = BILL_KEY,
 ) -> DataFrame:
     """Tag filter, first entry per guid, newest first, missing stamps last, top ``limit``.
 
-    One scan. A guid fixes its stamp, so a winner is among the first ``limit`` guids
-    of every group of rows it occurs in; the ranking over salted groups drops all
-    other rows ahead of the shuffle, and only then copies are removed.
+    One aggregate per guid, combined before the shuffle, then the top rows of each task.
     """
     if bill_tags is not None:
-        logs = tag_filter(logs, bill_tags, tag_names)
-    newest = [F.desc(F.coalesce("log_ts", F.lit(""))), F.asc(guid)]
-    salted = Window.partitionBy(F.pmod(F.xxhash64(order), F.lit(SALTS))).orderBy(*newest)
-    near = logs.withColumn("_rank", F.dense_rank().over(salted)).filter(F.col("_rank") <= limit).drop("_rank")
-    return dedup_guid(near, [F.asc(order)], guid).orderBy(*newest).limit(limit)
-
-
-#: Feeds up to this size are brought to the driver before they join to bills.
-FEW_ROWS = 10_000
-
-
-def hold_few(top: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
-    """The rows of a small top-k result as a local table, so later joins start from
-    known few rows and do not repeat the scan behind them."""
-    if limit > FEW_ROWS:
-        return top
-    return top.sparkSession.createDataFrame(top.limit(limit).toArrow())
+        logs = tag_filter(logs, bill_tags, tag_names, keys)
+    first = F.min_by(F.struct(*logs.columns), F.struct(order))
+    return logs.groupBy(F.col(guid).alias("_guid")).agg(first.alias("_first")).select("_first.*").orderBy(*newest_items(guid=guid)).limit(limit)
 
 
 def feed_title(tags: DataFrame) -> DataFrame:

@@ -110,20 +110,25 @@ def join_bill(logs: DataFrame, bills: DataFrame, keys: Sequence[str] = ("state",
 def join_bill_few(few: DataFrame, bills: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``join_bill`` for a result of bounded size, such as a feed.
 
-    The few keys reach the bill scan as a broadcast filter, so whole bills never
-    shuffle; what is left joins by real sizes.
+    The few keys cut the bills down first; their size is known at run time, so
+    adaptive execution broadcasts them and whole bills never shuffle.
     """
-    wanted = broadcast_if_small(few.select(*keys).distinct())
+    wanted = few.select(*keys).distinct()
     return join_bill(few, bills.join(wanted, list(keys), "left_semi"), keys)
 
 
-def nest_tags(bill_tags: DataFrame, keys: Sequence[str] = ("bill_id",)) -> DataFrame:
-    """One row per bill with a tag to score map, tag names sorted."""
+#: A bill id is unique within a session only.
+BILL_KEY = ("session_id", "bill_id")
+
+
+def nest_tags(bill_tags: DataFrame, keys: Sequence[str] = BILL_KEY) -> DataFrame:
+    """One row per bill with a map of tags to their best score, tag names sorted."""
+    best = bill_tags.filter(F.col("tag").isNotNull()).groupBy(*keys, "tag").agg(F.max("score").alias("score"))
     pairs = F.array_sort(F.collect_list(F.struct("tag", "score")))
-    return bill_tags.groupBy(*keys).agg(F.map_from_entries(pairs).alias("tags"))
+    return best.groupBy(*keys).agg(F.map_from_entries(pairs).alias("tags"))
 
 
-def join_tags(logs: DataFrame, bill_tags: DataFrame, keys: Sequence[str] = ("bill_id",)) -> DataFrame:
+def join_tags(logs: DataFrame, bill_tags: DataFrame, keys: Sequence[str] = BILL_KEY) -> DataFrame:
     return logs.join(nest_tags(bill_tags, keys), list(keys), "left")
 
 
@@ -141,8 +146,8 @@ def join_multi(
     option: str,
     bills: DataFrame,
     bill_tags: DataFrame,
-    bill_keys: Sequence[str] = ("bill_id",),
-    tag_keys: Sequence[str] = ("bill_id",),
+    bill_keys: Sequence[str] = ("state", *BILL_KEY),
+    tag_keys: Sequence[str] = BILL_KEY,
 ) -> DataFrame:
     """Apply the named joins in the order given; unknown names are ignored."""
     for name in parse_join_specs(option)[0]:
@@ -153,7 +158,7 @@ def join_multi(
     return logs
 
 
-def tag_filter(logs: DataFrame, bill_tags: DataFrame, names: Sequence[str] = (), keys: Sequence[str] = ("bill_id",)) -> DataFrame:
+def tag_filter(logs: DataFrame, bill_tags: DataFrame, names: Sequence[str] = (), keys: Sequence[str] = BILL_KEY) -> DataFrame:
     """Entries with at least one tag, or with one of ``names``."""
     if names:
         bill_tags = bill_tags.filter(F.col("tag").isin(list(names)))

@@ -8,6 +8,7 @@ from billstream.operators import logs as L
 from billstream.operators.routine import routine_filter
 from billstream.plans.registry import query
 from billstream.plans.shared import bill_docs
+from billstream.sources import writers as W
 
 DESCRIPTION_SQL = "CASE event_type WHEN 'view' THEN 'Referred to Rules' WHEN 'click' THEN 'Filed' ELSE 'Passed ' || event_type END"
 STAMP_SQL = "CASE WHEN path LIKE '%/unknown_%' THEN '' ELSE strftime(ts, '%Y%m%dT%H%M%SZ') END"
@@ -41,8 +42,8 @@ def activity(t):
   FROM n LEFT JOIN {BILLS_SQL} b ON b.bill_id = n.bill_id""",
 )
 def feed_latest_activity(t):
-    top = Fd.hold_few(Fd.top_entries(routine_filter(activity(t))))
-    items = L.join_bill_few(top, bill_docs(t), ["bill_id"])
+    top = Fd.top_entries(routine_filter(activity(t)))
+    items = L.join_bill_few(top, bill_docs(t), ["bill_id"]).orderBy(*Fd.newest_items())
     entry = feed_entry(items, F.create_map().cast("map<string,double>"))
     kept = [
         F.col("log.action.description").alias("activity"),
@@ -85,21 +86,33 @@ def feed_entry(rows, tags):
   SELECT event_id, path, nullif(stamp, '') AS log_ts FROM {FIRST_SQL.format('x')} f ORDER BY stamp DESC, path LIMIT 100""",
 )
 def feed_top_n(t):
-    return Fd.top_entries(activity(t), t("b_tagged"), ["flagged", "quality"]).select("event_id", "path", "log_ts")
+    return Fd.top_entries(activity(t), t("b_tagged"), ["flagged", "quality"], keys=["bill_id"]).select("event_id", "path", "log_ts")
 
 
 @query(
     "sink_feed_xml",
     f"""WITH g AS (SELECT bill_id, string_agg(tag, ', ' ORDER BY tag) AS tags FROM b_tagged GROUP BY 1),
   x AS (SELECT * FROM {LOGS_SQL} a SEMI JOIN g USING (bill_id)), n AS (SELECT * FROM {FIRST_SQL.format('x')} f ORDER BY stamp DESC, path LIMIT 100)
-  SELECT n.path AS guid, g.tags || ' - ' || repo || ' - ' || coalesce(nullif(trim(b.title), ''), n.bill_id) AS title,
+  SELECT row_number() OVER (ORDER BY stamp DESC, n.path) AS position, n.path AS guid, g.tags || ' - ' || repo || ' - ' || coalesce(nullif(trim(b.title), ''), n.bill_id) AS title,
   CASE WHEN b.bill_id IS NOT NULL THEN 'https://example.org/data/' || repo || '/country:us/state:' || locale || '/sessions/2024/bills/' || n.bill_id || '/metadata.json' END AS link,
   CASE WHEN stamp <> '' THEN strftime(ts, '%a, %-d %b %Y %H:%M:%S +0000') END AS "pubDate", g.tags AS category
   FROM n JOIN g USING (bill_id) LEFT JOIN {BILLS_SQL} b ON b.bill_id = n.bill_id""",
 )
 def sink_feed_xml(t):
     tags = t("b_tagged").select("bill_id", "tag", F.col("evidence").cast("double").alias("score"))
-    top = Fd.hold_few(Fd.top_entries(activity(t), tags))
-    rows = L.join_bill_few(L.join_tags(top, tags), bill_docs(t), ["bill_id"])
+    top = Fd.top_entries(activity(t), tags, keys=["bill_id"])
+    rows = L.join_bill_few(L.join_tags(top, tags, ["bill_id"]), bill_docs(t), ["bill_id"])
     items = Fd.feed_items(feed_entry(rows, F.col("tags")), "https://example.org/data/")
-    return items.select("guid", "title", "link", "pubDate", F.array_join("category", ", ").alias("category"))
+    # Positions as the items stand in the written document.
+    document = W.feed_document(items, "Tagged Legislation", "https://example.org/data")
+    parts = F.slice(F.split("value", "<item>", -1), 2, Fd.FEED_LIMIT)
+    text = lambda name: F.nullif(F.xpath_string(F.concat(F.lit("<item>"), F.regexp_replace("item", "</channel></rss>$", "")), F.lit(f"item/{name}")), F.lit(""))
+    one = document.select(F.posexplode(parts).alias("at", "item"))
+    return one.select(
+        (F.col("at") + 1).cast("long").alias("position"),
+        text("guid").alias("guid"),
+        text("title").alias("title"),
+        text("link").alias("link"),
+        text("pubDate").alias("pubDate"),
+        F.array_join(F.xpath(F.concat(F.lit("<item>"), F.regexp_replace("item", "</channel></rss>$", "")), F.lit("item/category/text()")), ", ").alias("category"),
+    )

@@ -144,12 +144,12 @@ def rule_conjunction(t):
     "SELECT event_id, bill_id FROM b_log SEMI JOIN (SELECT bill_id FROM b_tagged WHERE tag IN ('flagged', 'other')) g USING (bill_id)",
 )
 def tag_filter(t):
-    return L.tag_filter(t("b_log"), t("b_tagged"), ["flagged", "other"]).select("event_id", "bill_id")
+    return L.tag_filter(t("b_log"), t("b_tagged"), ["flagged", "other"], ["bill_id"]).select("event_id", "bill_id")
 
 
 @query("tag_filter_any", "SELECT event_id, bill_id FROM b_log SEMI JOIN b_tagged USING (bill_id)")
 def tag_filter_any(t):
-    return L.tag_filter(t("b_log"), t("b_tagged")).select("event_id", "bill_id")
+    return L.tag_filter(t("b_log"), t("b_tagged"), keys=["bill_id"]).select("event_id", "bill_id")
 
 
 @query(

@@ -34,7 +34,7 @@ def join_log_bill(t):
 
 @query("join_log_tags", f"SELECT l.event_id, l.bill_id, g.tags FROM b_log l LEFT JOIN {SCORES} g USING (bill_id)")
 def join_log_tags(t):
-    return L.join_tags(t("b_log"), tag_scores(t)).select("event_id", "bill_id", tag_text(F.col("tags")).alias("tags"))
+    return L.join_tags(t("b_log"), tag_scores(t), ["bill_id"]).select("event_id", "bill_id", tag_text(F.col("tags")).alias("tags"))
 
 
 @query(
@@ -43,7 +43,7 @@ def join_log_tags(t):
 )
 def join_multi(t):
     bills = t("b_bill").select("bill_id", "title")
-    joined = L.join_multi(t("b_log"), "bill, people,tags", bills, tag_scores(t))
+    joined = L.join_multi(t("b_log"), "bill, people,tags", bills, tag_scores(t), ["bill_id"], ["bill_id"])
     return joined.select("event_id", "bill_id", "title", tag_text(F.col("tags")).alias("tags"))
 
 

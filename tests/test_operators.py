@@ -218,11 +218,25 @@ def test_orphans_over_three_runs(spark):
 # -- limits and quality ------------------------------------------------------------------------
 
 
-def test_large_limits_use_two_steps_and_agree(spark):
+def test_large_limits(spark):
     df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id"))
     got = top_per_key(df, ["k"], [F.desc("id")], 1200)
     assert got.groupBy("k").count().filter("count <> 1200").count() == 0
     assert got.agg(F.min("id")).first()[0] == 4999 - 3 * 1200 + 1
+    mapped = df.withColumn("tags", F.create_map(F.lit("a"), "id"))
+    assert top_per_key(mapped, ["k"], [F.desc("id")], 1500).count() == 4500
+
+
+def test_a_bill_id_in_two_sessions(spark):
+    logs = spark.createDataFrame([("s", "1", "HB1", 1), ("s", "2", "HB1", 2)], "state string, session_id string, bill_id string, event_id int")
+    bills = spark.createDataFrame([("s", "1", "HB1", "old"), ("s", "2", "HB1", "new")], "state string, session_id string, bill_id string, title string")
+    tags = spark.createDataFrame(
+        [("1", "HB1", "water", 0.2), ("1", "HB1", "water", 0.7), ("2", "HB1", "water", 0.4), ("2", "HB1", None, 0.1)],
+        "session_id string, bill_id string, tag string, score double",
+    )
+    got = {r.event_id: (r.title, r.tags) for r in L.join_multi(logs, "bill,tags", bills, tags).collect()}
+    assert got == {1: ("old", {"water": 0.7}), 2: ("new", {"water": 0.4})}
+    assert L.tag_filter(logs, tags.filter("session_id = '1'"), ["water"]).count() == 1
 
 
 def test_broadcast_only_below_the_bound(spark):

@@ -1,6 +1,7 @@
 """Readers and writers on small JSON trees."""
 
 import json
+from xml.etree import ElementTree
 
 from pyspark.sql import functions as F
 
@@ -132,8 +133,26 @@ def test_writers(spark, tmp_path):
     assert back.path == "country:us/state:wy/sessions/2025/bills/HB1"
     W.write_jsonl(bills.select("bill_id", F.lit(None).cast("string").alias("gone")), str(tmp_path / "lines"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "lines")).collect()) == ['{"bill_id":"HB1"}', '{"bill_id":"SB2"}']
-    items = spark.createDataFrame([("T", "D & E", "g", ["a", "b"], "x")], "title STRING, description STRING, guid STRING, category ARRAY<STRING>, timestamp STRING")
-    W.write_feed(items, str(tmp_path / "feed"))
-    xml = "".join(p.read_text() for p in (tmp_path / "feed").glob("part*"))
-    assert "<channel>" in xml and "<title>T</title>" in xml and "D &amp; E" in xml and xml.count("<category>") == 2
-    assert "timestamp" not in xml
+
+
+def test_feed_is_rss_in_order(spark, tmp_path):
+    rows = [
+        ("old", None, "D & <E>", "g1", ["a", "b"], "Mon, 1 Jan 2024 00:00:00 +0000", "20240101T000000Z"),
+        ("T", "https://x.org/?a=1&b=2", "D", "g3", [], None, None),
+        ("new\x02", "https://x.org", None, "g2", ["c"], "Tue, 2 Jan 2024 00:00:00 +0000", "20240102T000000Z"),
+        ("new", "https://x.org", None, "g0", None, "Tue, 2 Jan 2024 00:00:00 +0000", "20240102T000000Z"),
+    ]
+    items = spark.createDataFrame(rows, "title STRING, link STRING, description STRING, guid STRING, category ARRAY<STRING>, pubDate STRING, timestamp STRING")
+    W.write_feed(items.repartition(3), str(tmp_path / "feed"), "Water & Air", "https://example.org", limit=3)
+    files = list((tmp_path / "feed").glob("part*"))
+    root = ElementTree.fromstring("".join(p.read_text() for p in files).strip())
+    channel = root.find("channel")
+    assert (root.tag, root.get("version"), channel.find("title").text) == ("rss", "2.0", "Water & Air")
+    assert {"link", "description", "language", "lastBuildDate"} <= {e.tag for e in channel}
+    found = channel.findall("item")
+    assert [i.find("guid").text for i in found] == ["g0", "g2", "g1"]
+    assert found[0].find("guid").get("isPermaLink") == "false" and found[1].find("title").text == "new"
+    assert found[2].find("description").text == "D & <E>" and found[2].find("link") is None
+    assert [c.text for c in found[2].findall("category")] == ["a", "b"]
+    W.write_feed(items.limit(0), str(tmp_path / "none"), "T", "L")
+    assert "<channel>" in "".join(p.read_text() for p in (tmp_path / "none").glob("part*"))
