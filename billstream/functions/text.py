@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,23 +89,33 @@ def html_title(html: Column) -> Column:
     return decode_entities(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-# Entities decoded in stored pages, ampersand last.
-DECODED = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+#: Sets entities off from the text around them; cannot stand in a text.
+ENTITY_MARK = "\uffff"
+ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _named_entities() -> Column:
+    """Characters of the standard named entities."""
+    names = {**name2codepoint, "apos": 39}
+    pairs = [F.lit(x) for name, code in sorted(names.items()) for x in (name, chr(code))]
+    return F.create_map(*pairs)
 
 
 def decode_entities(text: Column) -> Column:
-    for entity, char in DECODED:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Named, decimal and hexadecimal entities to characters, each once; unknown ones stay."""
+    parts = F.split(F.regexp_replace(F.replace(text, F.lit(ENTITY_MARK), F.lit("")), ENTITY, f"{ENTITY_MARK}$1{ENTITY_MARK}"), ENTITY_MARK, -1)
+    named = _named_entities()
+
+    def decoded(name: Column) -> Column:
+        digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7))
+        code = digits.cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        found = F.when(F.startswith(name, F.lit("#")), number).otherwise(F.try_element_at(named, name))
+        return F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";")))
+
+    # Entities stand at every second place.
+    return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, decoded(x)).otherwise(x)), "")
 
 
 def html_to_text(html: Column) -> Column:

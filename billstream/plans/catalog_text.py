@@ -21,31 +21,40 @@ def _replaced(expr: str, pairs: list[tuple[str, str]]) -> str:
     return expr
 
 
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
-HTML_SQL = _nested(
-    _replaced(
-        _nested(
-            "html",
-            [
-                ("(?is)<script\\b.*?</script\\s*>", ""),
-                ("(?is)<style\\b.*?</style\\s*>", ""),
-                ("(?s)<!--.*?-->", ""),
-                ("(?s)<[!/?a-zA-Z][^>]*>", ""),
-            ],
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&sect;", "§"), ("&mdash;", "—"), ("&#8217;", "’"), ("&#x2014;", "—"), ("&eacute;", "é"), ("&amp;", "&")]
+#: Added to every page: named and numeric entities, an unknown one, and one that is escaped twice.
+MORE_ENTITIES = "<p>&sect;&mdash;&#8217;&#x2014;&eacute;&nosuch;&amp;lt;&amp;sect;</p>"
+MORE_PAGE = f"(html || '{MORE_ENTITIES}')"
+
+
+def _html_sql(html: str) -> str:
+    return _nested(
+        _replaced(
+            _nested(
+                html,
+                [
+                    ("(?is)<script\\b.*?</script\\s*>", ""),
+                    ("(?is)<style\\b.*?</style\\s*>", ""),
+                    ("(?s)<!--.*?-->", ""),
+                    ("(?s)<[!/?a-zA-Z][^>]*>", ""),
+                ],
+            ),
+            ENTITIES,
         ),
-        ENTITIES,
-    ),
-    [
-        (SPACE + "*[\\r\\n\\x0b\\x0c]" + SPACE + "*|  " + SPACE + "*", " "),
-        ("^" + SPACE + "+|" + SPACE + "+$", ""),
-    ],
-)
+        [
+            (SPACE + "*[\\r\\n\\x0b\\x0c]" + SPACE + "*|  " + SPACE + "*", " "),
+            ("^" + SPACE + "+|" + SPACE + "+$", ""),
+        ],
+    )
+
+
+HTML_SQL = _html_sql("html")
 TITLE_SQL = _replaced("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)", ENTITIES)
 
 
-@query("html_to_text", f"SELECT page_id, {TITLE_SQL} AS title, {HTML_SQL} AS raw_text FROM pages")
+@query("html_to_text", f"SELECT page_id, {TITLE_SQL} AS title, {_html_sql(MORE_PAGE)} AS raw_text FROM pages")
 def html_to_text_query(t):
-    html = F.col("html")
+    html = F.concat("html", F.lit(MORE_ENTITIES))
     return t("pages").select("page_id", html_title(html).alias("title"), html_to_text(html).alias("raw_text"))
 
 

@@ -195,3 +195,17 @@ def test_deep_prune_property(spark, rows):
         return {k: (strip(v) if hasattr(v, "asDict") else v) for k, v in row.asDict().items() if v is not None}
 
     assert [strip(r.d) for r in got] == [prune(d) for d in rows]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("&sect;5 &mdash; &#8217;&#x2014;&#X41;", "§5 — ’—A"), ("&amp;lt; &nosuch; &#0; &#xD800; &", "&lt; &nosuch; &#0; &#xD800; &"),
+        ("", ""), ("no entity", "no entity"), ("&lt;&gt;&quot;&apos;&nbsp;", "<>\"' "), ("&#128512;", "\U0001f600"), ("&lt", "&lt"),
+    ],
+)
+def test_entities(spark, text, want):
+    from billstream.functions.text import decode_entities
+
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(decode_entities(F.col("t"))).first()[0] == want
