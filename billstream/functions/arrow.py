@@ -6,36 +6,12 @@ The module is pickled by value, so executors need no copy of the package.
 from __future__ import annotations
 
 import sys
-import xml.etree.ElementTree as ET
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-XML_FIELDS = ["title", "official_title", "sections", "raw_text", "error"]
-
-
-def xml_parts(xml: str | None) -> tuple:
-    """Titles, section texts and whole text of one document, or its parse error."""
-    try:
-        root = ET.fromstring(xml or "")
-    except ET.ParseError as exc:
-        return None, None, None, None, str(exc)
-    texts = ["".join(s.itertext()).strip() for s in root.iterfind(".//section")]
-    return (
-        (root.findtext(".//title") or "").strip(),
-        (root.findtext(".//official-title") or "").strip(),
-        [t for t in texts if t],
-        "".join(root.itertext()).strip(),
-        None,
-    )
-
-
-def xml_frame(xml: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([xml_parts(x) for x in xml], columns=XML_FIELDS)
-
-
 def cosine_matrix(batch: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     norms = np.outer(np.linalg.norm(batch, axis=1), np.linalg.norm(matrix, axis=1))
     return (batch @ matrix.T) / np.maximum(norms, 1e-9)

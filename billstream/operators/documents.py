@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billstream.functions import arrow
 from billstream.functions.text import html_title, html_to_text, media_ext
 from billstream.operators.common import top_per_key
 
@@ -163,16 +161,96 @@ def strike_text(chars: DataFrame) -> DataFrame:
 
 # -- mark-up ------------------------------------------------------------------------------
 
-XML_RESULT = "struct<title:string,official_title:string,sections:array<string>,raw_text:string,error:string>"
+#: Set within section elements, at their begin and end; cannot stand in XML.
+SECTION_OPEN, SECTION_CLOSE = "\ue000", "\ue001"
+#: An element around a document, so that a parse sees what follows the document's own.
+OUTER = "outer-element-of-the-check"
+SECTION_TAG = r"""(<section(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?(?<!/)>)"""
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sections(text: Column, root_is_section: Column) -> Column:
+    """Texts of marked sections in document order; an outer section holds its inner ones."""
+    plain = lambda part: F.translate(part, SECTION_OPEN + SECTION_CLOSE, "")
+
+    def of(parts: Column) -> Column:
+        def section(part: Column, i: Column) -> Column:
+            def outer() -> Column:
+                # Inner sections follow: up to the end mark that brings the depth back to none.
+                closes = lambda x: F.length(x) - F.length(F.replace(x, F.lit(SECTION_CLOSE), F.lit("")))
+                first = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("ended"))
+
+                def add(seen: Column, x: Column) -> Column:
+                    depth = seen.depth + 1 - closes(x)
+                    cut = F.call_function("substring_index", x, F.lit(SECTION_CLOSE), seen.depth + 1)
+                    return F.when(seen.ended, seen).otherwise(
+                        F.struct(depth.alias("depth"), F.concat(seen.text, F.when(depth <= 0, cut).otherwise(x)).alias("text"), (depth <= 0).alias("ended"))
+                    )
+
+                return F.aggregate(F.slice(parts, i + 1, F.size(parts)), first, add).text
+
+            own = F.when(F.contains(part, F.lit(SECTION_CLOSE)), F.substring_index(part, SECTION_CLOSE, 1)).otherwise(outer())
+            return F.when(i == 0, "").otherwise(F.trim(plain(own), F.lit(BLANKS)))
+
+        every = F.transform(parts, section)
+        inner = F.slice(every, F.when(root_is_section, 3).otherwise(2), F.size(every))
+        return F.filter(inner, lambda x: x != "")
+
+    return _bound(F.split(text, SECTION_OPEN, -1), of)
+
+
+def _corrupt(xml: Column) -> Column:
+    """Whether a permissive parse, which ends with the first element, stumbles."""
+    return F.from_xml(xml, "_none STRING, _corrupt_record STRING", {"mode": "PERMISSIVE"})["_corrupt_record"].isNotNull()
 
 
 def xml_bill_text(xml: Column) -> Column:
-    """Titles, sections and text of bill XML; ``error`` is set for damaged input."""
+    """Titles, sections and text of bill XML; ``error`` is set for damaged or missing input.
 
-    def parse(batch: pd.Series) -> pd.DataFrame:
-        return arrow.xml_frame(batch)
+    A permissive parse tells damaged documents apart, so that the paths below meet sound ones only.
+    """
+    given = F.translate(F.coalesce(xml, F.lit("")), SECTION_OPEN + SECTION_CLOSE, "")
+
+    def parsed(doc: Column) -> Column:
+        marked = F.regexp_replace(F.regexp_replace(doc, SECTION_TAG, f"$1{SECTION_OPEN}"), r"</section\s*>", f"{SECTION_CLOSE}$0")
+        whole = F.xpath_string(marked, F.lit("/*"))
+        head = lambda name: F.trim(F.xpath_string(doc, F.lit(f"(/*//{name})[1]/node()[1][self::text()]")), F.lit(BLANKS))
+        root = F.xpath_string(doc, F.lit("name(/*)")) == "section"
+        return _bound(
+            whole,
+            lambda text: F.struct(
+                head("title").alias("title"),
+                head("official-title").alias("official_title"),
+                _sections(text, root).alias("sections"),
+                F.trim(F.translate(text, SECTION_OPEN + SECTION_CLOSE, ""), F.lit(BLANKS)).alias("raw_text"),
+                F.lit(None).cast("string").alias("error"),
+            ),
+        )
+
+    nothing = F.struct(
+        *[F.lit(None).cast("string").alias(n) for n in ("title", "official_title")],
+        F.lit(None).cast("array<string>").alias("sections"),
+        F.lit(None).cast("string").alias("raw_text"),
+        F.lit("not well-formed").alias("error"),
+    )
+
+    def checked(doc: Column) -> Column:
+        # Nothing but comments may follow the first element, which only a parse within another one tells.
+        wrapped = F.concat(F.lit(f"<{OUTER}>"), F.regexp_replace(doc, r"^\s*<\?xml[^>]*\?>", ""), F.lit(f"</{OUTER}>"))
+        alone = F.xpath_boolean(wrapped, F.lit(f"count(/{OUTER}/*) = 1 and not(/{OUTER}/text()[normalize-space()])"))
+        bad = (
+            F.when((F.trim(doc) == "") | F.contains(doc, F.lit(f"</{OUTER}")) | _corrupt(doc), True)
+            .when(F.contains(doc, F.lit("<!DOCTYPE")), False)
+            .when(_corrupt(wrapped), True)
+            .otherwise(~alone)
+        )
+        return F.when(bad, nothing).otherwise(parsed(doc))
 
-    return F.pandas_udf(parse, XML_RESULT)(xml)
+    return _bound(given, checked)
 
 
 def extract_texts(docs: DataFrame) -> DataFrame:

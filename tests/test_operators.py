@@ -1,6 +1,7 @@
 """Operators on edge rows, and properties of the incremental core."""
 
 from collections import Counter
+from xml.etree import ElementTree
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -300,6 +301,32 @@ def test_xml_text(spark):
     assert rows[1].error and rows[2].error
 
 
+XML_CASES = [
+    "<b><section>a<section>b <i>c</i></section>d<section/>e</section> x <section k='>'>f</section></b>",
+    "<section><title>in root</title>r<section> inner </section></section>",
+    "<b><title/><official-title>O<i>x</i></official-title>&amp;&lt;sec&gt;<x><title>late</title></x></b>",
+    "<b><sections>no</sections><section\n>\u00a0é\n</section ></b>", "<b/>", "<?xml version='1.0'?><b>t</b>",
+    "<b><section>1<section>2<section>3</section></section>4</section><section>5</section></b>",
+]
+
+
+@pytest.mark.parametrize("xml", XML_CASES)
+def test_xml_parts_equal_a_plain_parser(spark, xml):
+    root = ElementTree.fromstring(xml)
+    got = spark.createDataFrame([(xml,)], "x STRING").select(D.xml_bill_text(F.col("x")).alias("r")).first().r
+    texts = ["".join(s.itertext()).strip() for s in root.iterfind(".//section")]
+    assert got.sections == [t for t in texts if t]
+    assert got.raw_text == "".join(root.itertext()).strip() and got.error is None
+    assert got.title == (root.findtext(".//title") or "").strip()
+    assert got.official_title == (root.findtext(".//official-title") or "").strip()
+
+
+@pytest.mark.parametrize("xml", ["", " ", "no xml", "<a><b></a>", "<a>", "<a/><b/>", "<a/><b>", f"<a/></{D.OUTER}><{D.OUTER}>", "<a/>x", "<a/>x<!-- y -->", "<a>&nosuch;</a>", "<a x=1/>", "<a>x</a", "<a>]]></a>x<"])
+def test_damaged_xml_is_an_error(spark, xml):
+    got = spark.createDataFrame([(xml,), ("<a>good</a>",)], "x STRING").select(D.xml_bill_text(F.col("x")).alias("r")).collect()
+    assert got[0].r.error and got[0].r.raw_text is None and got[1].r.raw_text == "good"
+
+
 @pytest.mark.parametrize(
     "text, keyword, hit",
     [
