@@ -30,16 +30,22 @@ def score_frame(
     vectors: pd.Series, tag: np.ndarray, examples: Sequence[np.ndarray], negatives: Sequence[np.ndarray]
 ) -> pd.DataFrame:
     """Similarities of a batch of vectors to every tag, its examples and negatives."""
-    if not len(vectors):
-        return pd.DataFrame({"base": [], "example": [], "negative": []}, dtype="object")
-    batch = np.vstack(vectors.to_numpy()).astype("float64")
-    return pd.DataFrame(
-        {
-            "base": cosine_matrix(batch, tag).tolist(),
-            "example": best_of(batch, examples),
-            "negative": best_of(batch, negatives),
-        }
-    )
+    # A missing vector, or one of another length or with gaps, has no similarity to anything.
+    size = tag.shape[1]
+    usable = np.array([v is not None and len(v) == size and None not in v for v in map(_listed, vectors)], bool)
+    columns = {name: [None] * len(vectors) for name in ("base", "example", "negative")}
+    if usable.any():
+        batch = np.vstack([np.asarray(v, "float64") for v in vectors[usable]])
+        found = {"base": cosine_matrix(batch, tag).tolist(), "example": best_of(batch, examples), "negative": best_of(batch, negatives)}
+        for name, values in found.items():
+            for at, value in zip(np.nonzero(usable)[0].tolist(), values):
+                columns[name][at] = value
+    return pd.DataFrame(columns, dtype="object")
+
+
+def _listed(vector) -> list | None:
+    """A vector as a list; gaps that came as nan count as missing."""
+    return None if vector is None else [None if x is None or x != x else x for x in vector]
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -329,6 +329,19 @@ def embed_texts(entries: DataFrame, embedder: Embedder, vector: str = "vector")
     return entries.mapInPandas(embedder, schema=f"{schema},{vector}:array<float>")
 
 
+def semantic_or_keyword_tags(entries: DataFrame, text: str, vector: str, vectors: TagVectors, tags: Sequence[Tag]) -> DataFrame:
+    """Semantic tags of entries with a vector, keyword tags of those without, in one plan.
+
+    A vector is missing if it is null, has gaps or is not as long as the tags' vectors.
+    """
+    size = int(vectors[1].shape[1])
+    gap = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    usable = F.coalesce((F.size(vector) == size) & ~gap, F.lit(False))
+    semantic = score_entries(entries.filter(usable), text, vector, vectors, tags)
+    keyword = keyword_tags(entries.filter(~usable), text, tags).drop(text, vector)
+    return semantic.unionByName(keyword, allowMissingColumns=True)
+
+
 def with_keyword_fallback(semantic: DataFrame, keyword: DataFrame, failed: DataFrame, key: str) -> DataFrame:
     """Keyword tags for entries whose embedding failed, semantic tags for the rest."""
     bad = failed.select(key).distinct()

@@ -366,6 +366,19 @@ def test_many_tags_run_in_blocks(spark, monkeypatch):
     assert {r.tag: round(r.final_score, 4) for r in got} == {str(i): round(1 / (1 + i * i) ** 0.5, 4) for i in range(5)}
 
 
+def test_missing_vectors_take_keywords(spark):
+    table = spark.createDataFrame([("a", [1.0, 0.0], None, None)], "tag STRING, vector ARRAY<DOUBLE>, examples ARRAY<ARRAY<DOUBLE>>, negatives ARRAY<ARRAY<DOUBLE>>")
+    vectors = G.collect_tag_vectors(table)
+    rows = [(1, "no word", [2.0, 0.0]), (2, "some water", None), (3, "dry", None), (4, "water", [1.0]), (5, "water", [1.0, None]), (6, "water", [0.0, 1.0])]
+    entries = spark.createDataFrame(rows, "id INT, text STRING, vector ARRAY<DOUBLE>").coalesce(1)
+    tags = [G.Tag("a", include_keywords=["water"], threshold=0.5)]
+    got = {r.id: r for r in G.semantic_or_keyword_tags(entries, "text", "vector", vectors, tags).collect()}
+    assert set(got) == {1, 2, 4, 5, 6} and round(got[1].final_score, 4) == 1.0
+    assert all(got[i].keyword_match == ["water"] and got[i].base_embedding is None for i in (2, 4, 5))
+    sims = entries.select("id", G.similarities(F.col("vector"), vectors).alias("s")).collect()
+    assert {r.id: r.s.base for r in sims} == {1: [1.0], 2: None, 3: None, 4: None, 5: None, 6: [0.0]}
+
+
 def test_embedder_hook(spark):
     def embedder(batches):
         for b in batches:
