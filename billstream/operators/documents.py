@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billstream.functions.text import html_title, html_to_text, media_ext
+from billstream.functions.text import extracted_name, html_title, html_to_text, media_ext, safe_filename
 from billstream.operators.common import top_per_key
 
 # Media types from best to worst.
@@ -254,7 +254,7 @@ def xml_bill_text(xml: Column) -> Column:
 
 
 def extract_texts(docs: DataFrame) -> DataFrame:
-    """Adds ``ext, title, raw_text, error`` to ``(media_type, content)`` in one pass.
+    """Adds ``ext, title, official_title, sections, raw_text, error`` to ``(media_type, content)`` in one pass.
 
     Each format sees only its own contents; for other rows its input is null, which
     costs next to nothing. So the input is read once, not once per format.
@@ -268,18 +268,25 @@ def extract_texts(docs: DataFrame) -> DataFrame:
     df = docs.withColumn("ext", F.when(known, media_ext(F.col("media_type"))))
     df = df.withColumns({"_html": only("html"), "_xml": only("xml"), "_pdf": only("pdf")})
     df = df.withColumn("_x", F.when(F.col("_xml").isNotNull(), xml_bill_text(F.col("_xml"))))
+    df = df.withColumn("_page", html_to_text(F.col("_html")))
     df = line_structure(df, "_pdf")
     missing = F.when(F.col("ext").isNull(), "unsupported media type").when(F.col("content").isNull(), "download failed")
     result = {
         "title": F.when(F.col("ext") == "html", html_title(F.col("_html")))
         .when(F.col("ext") == "xml", F.col("_x.title"))
         .when(F.col("_pdf").isNotNull(), F.col("title")),
-        "raw_text": F.when(F.col("ext") == "html", html_to_text(F.col("_html")))
+        "official_title": F.when(F.col("ext") == "html", "")
+        .when(F.col("ext") == "xml", F.col("_x.official_title"))
+        .when(F.col("_pdf").isNotNull(), F.col("official_title")),
+        "raw_text": F.when(F.col("ext") == "html", F.col("_page"))
         .when(F.col("ext") == "xml", F.col("_x.raw_text"))
         .otherwise(F.col("_pdf")),
+        "sections": F.when(F.col("ext") == "html", F.array("_page"))
+        .when(F.col("ext") == "xml", F.col("_x.sections"))
+        .when(F.col("_pdf").isNotNull(), F.col("sections")),
         "error": F.coalesce(missing, F.col("_x.error")),
     }
-    return df.withColumns(result).drop("_html", "_xml", "_pdf", "_x", "official_title", "sections")
+    return df.withColumns(result).drop("_html", "_xml", "_pdf", "_x", "_page")
 
 
 def extract_dispatch(docs: DataFrame) -> DataFrame:
@@ -295,22 +302,31 @@ def best_link_of(*keys: str, accept_application_xml: bool = False):
     """``best_links`` as an aggregate that keeps versions without a usable link."""
     rank = media_rank(F.col("media_type"), accept_application_xml)
     usable = rank.isNotNull() & (F.coalesce(F.col("url"), F.lit("")) != "")
-    best = F.min(F.when(usable, F.struct(rank.alias("rank"), "pos", "url", "media_type"))).alias("_l")
-    return lambda links: links.groupBy(*keys).agg(best).select(*keys, "_l.url", "_l.media_type")
+
+    def pick(links: DataFrame) -> DataFrame:
+        more = [c for c in ("note", "kind") if c in links.columns]
+        best = F.min(F.when(usable, F.struct(rank.alias("rank"), "pos", "url", "media_type", *more))).alias("_l")
+        return links.groupBy(*keys).agg(best).select(*keys, "_l.url", "_l.media_type", *[f"_l.{c}" for c in more])
+
+    return pick
 
 
 def extract_batch(bills: DataFrame, links: DataFrame, contents: DataFrame, run: Column) -> tuple[DataFrame, DataFrame]:
     """One extraction run: (bills with ``status`` and new stamp, extracted documents).
 
     ``bills(bill_key, logs_update, text_update, files)``, ``links(bill_key, version_id,
-    pos, url, media_type)``, ``contents(version_id, ext, content)``. A bill without
-    versions is fine; one whose versions all fail is an error.
+    pos, url, media_type)`` with an optional ``note`` and ``kind`` (versions or documents),
+    ``contents(version_id, ext, content)``. A bill without versions is fine; one whose
+    versions all fail is an error. Only contents of chosen versions take part.
     """
     need = needs_extraction(F.col("logs_update"), F.col("text_update"), F.col("files"))
     todo = bills.filter(need).select("bill_key")
     chosen = links.join(todo, "bill_key", "left_semi").transform(best_link_of("bill_key", "version_id"))
     chosen = chosen.withColumn("ext", media_ext(F.col("media_type")))
-    done = extract_texts(chosen.join(contents, ["version_id", "ext"], "left").drop("ext"))
+    for name, default in (("note", ""), ("kind", "versions")):
+        chosen = chosen.withColumn(name, F.coalesce(name, F.lit(default)) if name in chosen.columns else F.lit(default))
+    wanted = contents.join(chosen.select("version_id", "ext").distinct(), ["version_id", "ext"], "left_semi")
+    done = extract_texts(chosen.join(wanted, ["version_id", "ext"], "left").drop("ext"))
     outcome = done.groupBy("bill_key").agg(F.bool_or(F.col("error").isNull()).alias("_ok"))
     status = F.when(~need, "skipped").when(F.coalesce("_ok", F.lit(True)), "ok").otherwise("error")
     after = (
@@ -319,7 +335,35 @@ def extract_batch(bills: DataFrame, links: DataFrame, contents: DataFrame, run:
         .withColumn("text_update", F.when(F.col("status") == "ok", run).otherwise(F.col("text_update")))
         .drop("_ok")
     )
-    return after, done.select("bill_key", "version_id", "media_type", "ext", "title", "raw_text", "error")
+    file_name = safe_filename(F.col("url"), F.col("note"), F.col("ext"))
+    source = F.concat("kind", F.lit(" - "), "note")
+    document = extracted_document(
+        F.col("title"), F.col("official_title"), F.col("sections"), source, F.col("media_type"), F.col("raw_text")
+    )
+    good = F.col("error").isNull()
+    return after, done.select(
+        "bill_key", "version_id", "url", "media_type", "note", "ext", "title", "official_title", "sections", "raw_text", "error",
+        F.when(good, file_name).alias("file_name"),
+        F.when(good, extracted_name(file_name, F.col("ext"))).alias("text_name"),
+        F.when(good, document).alias("document"),
+    )
+
+
+def extraction_failures(done: DataFrame) -> DataFrame:
+    """Failure records of an extraction run, in the shape of ``failure_report``.
+
+    Versions without a usable link are passed over and leave no record.
+    """
+    lost = F.col("error") == "download failed"
+    return done.filter(F.col("error").isNotNull() & F.col("ext").isNotNull()).select(
+        "bill_key",
+        "version_id",
+        F.when(lost, "download").otherwise("parsing").alias("error_type"),
+        F.when(lost, F.concat(F.lit("Failed to download content from "), "media_type")).otherwise(F.col("error")).alias("error_message"),
+        "url",
+        "media_type",
+        F.col("note").alias("item_note"),
+    )
 
 
 def extraction_stats(status: DataFrame) -> DataFrame:

@@ -205,3 +205,45 @@ def extract_batch(t):
     run = F.lit("2030-01-01").cast("timestamp_ntz")
     after, _ = D.extract_batch(t("b_extract"), links, contents(t), run)
     return after.select("bill_key", "status", (F.coalesce(F.year("text_update"), F.lit(0)) == 2030).alias("stamped"))
+
+
+RULE_SQL = "chr(10) || repeat('=', 80) || chr(10) || chr(10)"
+NEED_SQL = "NOT (text_update IS NOT NULL AND NOT coalesce(logs_update > text_update, FALSE) AND files > 0)"
+# Links of pages with their choice; a bill has two versions.
+CHOSEN_SQL = f"""c AS (SELECT page_id, page_id // 2 AS bill_key, url, html,
+    CASE WHEN page_id % 3 = 0 THEN 'xml' WHEN page_id % 4 <> 0 THEN 'html' ELSE 'pdf' END AS ext,
+    CASE WHEN page_id % 3 = 0 THEN 'text/xml' WHEN page_id % 4 <> 0 THEN 'text/html; charset=utf-8' ELSE 'application/pdf' END AS media_type
+    FROM pages WHERE page_id // 2 IN (SELECT bill_key FROM b_extract WHERE {NEED_SQL}))"""
+
+
+def extraction(t):
+    links = t("b_link").withColumn("bill_key", F.expr("version_id div 2"))
+    return D.extract_batch(t("b_extract"), links, contents(t), F.lit("2030-01-01").cast("timestamp_ntz"))[1]
+
+
+@query(
+    "extract_documents",
+    f"""WITH {STRUCTURE_CTE}, {CHOSEN_SQL}, n AS (SELECT doc_id, list(section ORDER BY sec) AS lst FROM s GROUP BY 1),
+  p AS (SELECT page_id, bill_key, ext, media_type, CASE WHEN contains(regexp_extract(url, '([^/]*)$', 1), '.') THEN regexp_extract(url, '([^/]*)$', 1) ELSE 'bill_content.' || ext END AS f,
+    CASE ext WHEN 'html' THEN {TITLE_SQL} WHEN 'xml' THEN 'Page' ELSE title END AS title, CASE ext WHEN 'pdf' THEN official_title ELSE '' END AS official,
+    CASE ext WHEN 'html' THEN [{HTML_SQL}] WHEN 'xml' THEN ['No ' || page_id] ELSE coalesce(lst, [text]) END AS parts,
+    CASE ext WHEN 'html' THEN {HTML_SQL} WHEN 'xml' THEN 'Page No ' || page_id ELSE text END AS raw
+    FROM c LEFT JOIN z ON z.doc_id = c.page_id LEFT JOIN n ON n.doc_id = c.page_id
+    WHERE (ext = 'html') OR (ext = 'xml' AND page_id % 2 = 1) OR (ext = 'pdf' AND z.doc_id IS NOT NULL))
+  SELECT bill_key, page_id AS version_id, CASE WHEN ends_with(f, '.' || ext) THEN replace(f, '.' || ext, '_extracted.txt') ELSE regexp_replace(f, '[.][^.]*$', '') || '_extracted.txt' END AS text_name,
+  'Title: ' || title || chr(10) || 'Official Title: ' || official || chr(10) || 'Number of Sections: ' || len(parts) || chr(10) || 'Source: versions - ' || chr(10) ||
+  'Media Type: ' || media_type || chr(10) || {RULE_SQL} || array_to_string(list_transform(parts, lambda x, i: 'Section ' || i || ':' || chr(10) || x || chr(10) || chr(10)), '') ||
+  {RULE_SQL} || 'Raw Text:' || chr(10) || raw AS document FROM p""",
+)
+def extract_documents(t):
+    return extraction(t).filter("error is null").select("bill_key", "version_id", "text_name", "document")
+
+
+@query(
+    "extract_failures",
+    f"""WITH {CHOSEN_SQL} SELECT bill_key, page_id AS version_id, CASE ext WHEN 'xml' THEN 'parsing' ELSE 'download' END AS error_type, url, media_type, '' AS item_note
+  FROM c WHERE ext = 'xml' AND page_id % 2 = 0 OR ext = 'pdf' AND page_id NOT IN (SELECT doc_id FROM documents)""",
+)
+def extract_failures(t):
+    # The newest bills refer to documents that are not stored.
+    return D.extraction_failures(extraction(t)).drop("error_message")

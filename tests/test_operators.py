@@ -414,3 +414,15 @@ def test_word_lookup_agrees_with_the_patterns(spark, monkeypatch):
     assert run() == by_pattern
     assert (4, "a", ("clean water", "c++", "Water")) in by_pattern and (7, "b", ("water",)) in by_pattern
     assert (6, "b", ("a.b",)) in by_pattern and not [r for r in by_pattern if r[0] in (3, 5)]
+
+
+def test_extraction_prunes_contents_first(spark):
+    bills = spark.createDataFrame([(1, None, None, 0)], "bill_key INT, logs_update TIMESTAMP_NTZ, text_update TIMESTAMP_NTZ, files INT")
+    links = spark.createDataFrame([(1, 7, 0, "http://x/a.xml", "text/xml", "As passed")], "bill_key INT, version_id INT, pos INT, url STRING, media_type STRING, note STRING")
+    stored = spark.createDataFrame([(7, "xml", "<a><title>T</title><section>s</section></a>"), (8, "xml", "<a/>")], "version_id INT, ext STRING, content STRING")
+    after, done = D.extract_batch(bills, links, stored, F.lit("2030-01-01").cast("timestamp_ntz"))
+    row = done.first()
+    assert (row.file_name, row.text_name, row.sections, row.error) == ("a_As_passed.xml", "a_As_passed_extracted.txt", ["s"], None)
+    assert row.document.startswith("Title: T\nOfficial Title: \nNumber of Sections: 1\nSource: versions - As passed\nMedia Type: text/xml\n")
+    assert "LeftSemi" in done._jdf.queryExecution().optimizedPlan().toString() and after.first().status == "ok"
+    assert D.extraction_failures(done).count() == 0
