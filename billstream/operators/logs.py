@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from billstream.functions import paths as P
 from billstream.functions.nested import json_field
 from billstream.operators.common import top_per_key
-from billstream.session import broadcast_if_small
 
 
 # -- scans over path columns -------------------------------------------------
@@ -48,7 +47,7 @@ def scan_session_logs(files: DataFrame) -> DataFrame:
 def select_repos(files: DataFrame, locales: Sequence[str] | str | DataFrame = "all") -> DataFrame:
     """``all``, a list of locales, or a table of them; each form can prune partitions."""
     if isinstance(locales, DataFrame):
-        return files.join(broadcast_if_small(locales.select("locale").distinct()), "locale", "left_semi")
+        return files.join(locales.select("locale").distinct(), "locale", "left_semi")
     if locales == "all" or list(locales) == ["all"]:
         return files
     return files.filter(F.col("locale").isin(list(locales)))

@@ -171,32 +171,37 @@ def tag_match_join(t):
 
 
 
-def month_bills(t, *months):
-    return t("b_bill").filter(F.date_format("introduced", "MM").isin(*months)).select("bill_id")
+def bills_of(t, *rests):
+    """All bills whose number leaves one of the rests by 3: two overlapping halves of the table."""
+    return t("b_bill").filter((F.substring("bill_id", 3, 20).cast("bigint") % 3).isin(*rests)).select("bill_id")
+
+
+OLD_SQL = "(SELECT bill_id FROM b_bill WHERE CAST(substring(bill_id, 3, 20) AS BIGINT) % 3 IN (0, 1))"
+NEW_SQL = "(SELECT bill_id FROM b_bill WHERE CAST(substring(bill_id, 3, 20) AS BIGINT) % 3 IN (1, 2))"
 
 
 @query(
     "reconcile_sets",
-    """WITH e AS (SELECT bill_id, 1 AS e FROM b_bill WHERE month(introduced) IN (1, 2)), a AS (SELECT bill_id, 1 AS a FROM b_bill WHERE month(introduced) IN (2, 3))
+    f"""WITH e AS (SELECT bill_id, 1 AS e FROM {OLD_SQL} x), a AS (SELECT bill_id, 1 AS a FROM {NEW_SQL} y)
   SELECT bill_id, CASE WHEN a IS NULL THEN 'create' WHEN e IS NULL THEN 'delete' ELSE 'update' END AS verb FROM e FULL JOIN a USING (bill_id)""",
 )
 def reconcile_sets(t):
-    return B.reconcile(month_bills(t, "01", "02"), month_bills(t, "02", "03"), "bill_id")
+    return B.reconcile(bills_of(t, 0, 1), bills_of(t, 1, 2), "bill_id")
 
 
-@query("set_create", "SELECT bill_id FROM b_bill WHERE month(introduced) IN (1, 2) EXCEPT SELECT bill_id FROM b_bill WHERE month(introduced) IN (2, 3)")
+@query("set_create", f"{OLD_SQL} EXCEPT {NEW_SQL}")
 def set_create(t):
-    return month_bills(t, "01", "02").subtract(month_bills(t, "02", "03"))
+    return bills_of(t, 0, 1).subtract(bills_of(t, 1, 2))
 
 
-@query("set_delete", "SELECT bill_id FROM b_bill WHERE month(introduced) IN (2, 3) EXCEPT SELECT bill_id FROM b_bill WHERE month(introduced) IN (1, 2)")
+@query("set_delete", f"{NEW_SQL} EXCEPT {OLD_SQL}")
 def set_delete(t):
-    return month_bills(t, "02", "03").subtract(month_bills(t, "01", "02"))
+    return bills_of(t, 1, 2).subtract(bills_of(t, 0, 1))
 
 
-@query("set_update", "SELECT bill_id FROM b_bill WHERE month(introduced) IN (1, 2) INTERSECT SELECT bill_id FROM b_bill WHERE month(introduced) IN (2, 3)")
+@query("set_update", f"{OLD_SQL} INTERSECT {NEW_SQL}")
 def set_update(t):
-    return month_bills(t, "01", "02").intersect(month_bills(t, "02", "03"))
+    return bills_of(t, 0, 1).intersect(bills_of(t, 1, 2))
 
 
 @query(

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,15 +46,6 @@ def state_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so lost executors do not lose it."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(state_dir(spark, "lineage"))
-    return df.checkpoint(eager=True)
-
-
 def saved(df: DataFrame, name: str = "run") -> DataFrame:
     """Write a table to the shared state folder and read it back.
 
@@ -66,17 +56,3 @@ def saved(df: DataFrame, name: str = "run") -> DataFrame:
     path = state_dir(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-#: Upper row bound for a side that a plan hints to broadcast.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after the row count is proven to be within the bound.
-
-    The probe reads at most ``max_rows + 1`` rows. A larger side is returned
-    without hint, so Spark falls back to its shuffled joins.
-    """
-    probe = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if probe <= max_rows else df

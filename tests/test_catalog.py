@@ -11,9 +11,6 @@ SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables not here")
 
 PYTHON_ALLOWED = {
-    "xml_bill_text",
-    "extract_dispatch",
-    "extract_batch",
     "composite_score",
     "semantic_tags",
     "semantic_tags_fallback",
@@ -60,9 +57,11 @@ def test_top_k_needs_no_full_sort(spark):
         assert "TakeOrdered" in plan_of(load_catalog()[name](spark, SMALL)), name
 
 
-def test_a_held_feed_does_not_scan_logs_again(spark):
-    plan = plan_of(load_catalog()["feed_latest_activity"](spark, SMALL))
-    assert "LocalTableScan" in plan and "events.parquet" not in plan
+def test_a_feed_cuts_bills_down_and_stays_in_order(spark):
+    df = load_catalog()["feed_latest_activity"](spark, SMALL)
+    assert "LeftSemi" in plan_of(df) and "LocalTableScan" not in plan_of(df)
+    stamps = [r.timestamp or "" for r in df.collect()]
+    assert stamps == sorted(stamps, reverse=True) and len(stamps) > 1
 
 
 def test_scans_are_narrow_and_filters_reach_them(spark):

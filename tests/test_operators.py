@@ -17,7 +17,6 @@ from billstream.operators import routine as R
 from billstream.operators import tagging as G
 from billstream.operators.common import top_per_key
 from billstream.rules.routine_values import DENIED_CLASSES, DENIED_PHRASES
-from billstream.session import broadcast_if_small
 
 ACTIONS = "bill_id STRING, ord INT, description STRING, date STRING"
 STORED = f"{ACTIONS}, created STRING"
@@ -240,12 +239,6 @@ def test_a_bill_id_in_two_sessions(spark):
     assert L.tag_filter(logs, tags.filter("session_id = '1'"), ["water"]).count() == 1
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    assert "ResolvedHint" in broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(df, 9)._jdf.queryExecution().analyzed().toString()
-
-
 def test_join_options():
     assert L.parse_join_specs("bill, tags,,people") == (["bill", "tags"], ["people"])
     with pytest.raises(ValueError):

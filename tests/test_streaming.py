@@ -112,11 +112,3 @@ def test_state_folder_needs_a_shared_one_on_a_cluster(spark, monkeypatch):
     assert session.state_dir(Fake(spark_checkpoint_dir="hdfs://n/c"), "x") == "hdfs://n/c/x"
     with pytest.raises(ValueError):
         session.state_dir(Fake(spark_master="spark://host:7077"), "x")
-
-
-def test_lineage_is_cut_by_a_reliable_checkpoint(spark):
-    from billstream.session import cut_lineage
-
-    df = cut_lineage(spark.range(5).filter("id > 1"))
-    assert df.count() == 3
-    assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
