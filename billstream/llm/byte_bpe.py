@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from functools import cache, lru_cache
 from hashlib import sha256
@@ -104,6 +105,15 @@ def automaton() -> dict[str, np.ndarray]:
     return {"target": target, "flags": flags, "functions": functions, "then": then, "whole": whole}
 
 
+# Letters and numbers that Unicode 16 added to 15.1. The pattern is defined by the
+# former, Python 3.13 knows the latter, and the regex module knows later ones as well.
+ADDED_IN_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x113E2), (0x116D0, 0x116E3), (0x11BC0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x16139),
+    (0x16D40, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5FF),
+)
+
+
 @cache
 def class_table() -> np.ndarray:
     """The class of every codepoint."""
@@ -115,6 +125,10 @@ def class_table() -> np.ndarray:
         for run in regex.finditer(pattern, everything):
             codes = np.frombuffer(run[0].encode("utf-32-le"), np.uint32)
             table[codes] = CLASSES.index(name)
+    later = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
+    for first, last in ADDED_IN_16:
+        later[first : last + 1] = False
+    table[later] = CLASSES.index("other")
     table[list(range(0x1C, 0x20))] = CLASSES.index("other")
     for chars, name in ((" ", "space"), ("'", "quote"), ("stmd", "s_t_m_d"), ("r", "r"), ("v", "v"), ("l", "l"), ("e", "e")):
         for c in chars:

@@ -230,3 +230,10 @@ def test_known_language_keeps_columns(spark, labelled):
     kept = language_crf.known_language(docs)
     assert kept.columns == docs.columns and kept.count() == len(labelled)
     assert prose(1, 1)
+
+
+def test_classes_are_those_of_the_pattern(reference):
+    encoder = byte_bpe.ByteEncoder(byte_bpe.ranks_path())
+    signs = [chr(c) for c in [*range(128, 0x3000), *range(0x3000, 0x110000, 997), 0x18CFF, 0x105C0, 0x10D41, 0x323E7] if not 0xD800 <= c < 0xE000]
+    text = "\n\n".join(f"a{c}b {c}1{c}!{c}{c}'s{c}" for c in signs)
+    assert encoder.encode([text])[0][0].tolist() == reference.encode_ordinary(text)
