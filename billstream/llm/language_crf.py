@@ -328,7 +328,7 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
 
 
 #: Documents below this mean probability are rejected as not of one known language.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def _keep(field: Field, least: float):
