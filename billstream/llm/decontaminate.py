@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 LEAST = 0.8
-#: Bits of the filters that a task tests shingles against: a fixed 1 MB, whatever the tables hold.
+#: Bits of each of the two filters that a task tests shingles against: half a megabyte, whatever the
+#: tables hold. A fuller filter lets more through to the join, never fewer.
 FILTER_BITS = 1 << 22
 
 
