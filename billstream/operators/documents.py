@@ -387,7 +387,8 @@ def failure_report(failures: DataFrame) -> DataFrame:
 
 # -- scrape logs ----------------------------------------------------------------------------
 
-# Object counters printed by a scrape.
+# Errors that a summary lists, and object counters printed by a scrape.
+FIRST_ERRORS = 5
 COUNTERS = ["bill", "vote_event", "event", "jurisdiction", "organization"]
 
 
@@ -412,7 +413,7 @@ def classify_errors(lines: DataFrame) -> DataFrame:
 
 
 def scrape_summary(lines: DataFrame) -> DataFrame:
-    """Per run the last value of every counter, the duration and the error count."""
+    """Per run the last value of every counter, the duration, the error count and the first errors."""
     text = F.col("content")
     found = {
         name: F.nullif(F.regexp_extract(text, rf"^\s*{name}:\s*(\d+)", 1), F.lit("")).cast("bigint")
@@ -427,5 +428,14 @@ def scrape_summary(lines: DataFrame) -> DataFrame:
         *last,
         F.coalesce(F.max_by(duration, F.when(duration.isNotNull(), F.col("line"))), F.lit("unknown")).alias("duration"),
     )
-    errors = classify_errors(lines).groupBy("run").agg(F.count("*").alias("error_count"))
-    return counts.join(errors, "run", "left").withColumn("error_count", F.coalesce("error_count", F.lit(0)))
+    found_errors = classify_errors(lines)
+    errors = found_errors.groupBy("run").agg(F.count("*").alias("error_count"))
+    # A ranking keeps a few rows of each run, so the list that is collected has a bound.
+    first = top_per_key(found_errors, ["run"], [F.asc("line"), F.asc("content")], FIRST_ERRORS)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x.content)
+    return (
+        counts.join(errors, "run", "left")
+        .join(first.groupBy("run").agg(listed.alias("errors")), "run", "left")
+        .withColumn("error_count", F.coalesce("error_count", F.lit(0)))
+        .withColumn("errors", F.coalesce("errors", F.array().cast("array<string>")))
+    )

@@ -142,7 +142,7 @@ ERROR_LINES = """(SELECT run, line, content, CASE WHEN content LIKE 'Traceback%'
 @query(
     "scrape_summary",
     f"""WITH e AS (SELECT * FROM {ERROR_LINES} x WHERE priority IS NOT NULL), m AS (SELECT run, min(priority) AS priority FROM e GROUP BY 1),
-  n AS (SELECT run, count(*) AS n FROM e JOIN m USING (run, priority) GROUP BY 1),
+  n AS (SELECT run, count(*) AS n, list(content ORDER BY line)[1:5] AS first5 FROM e JOIN m USING (run, priority) GROUP BY 1),
   c AS (SELECT run, line, trim(content) AS s FROM b_runlog)
   SELECT run, coalesce(arg_max(TRY_CAST(split_part(s, ':', 2) AS BIGINT), line) FILTER (starts_with(s, 'bill:')), 0) AS bill_count,
   coalesce(arg_max(TRY_CAST(split_part(s, ':', 2) AS BIGINT), line) FILTER (starts_with(s, 'vote_event:')), 0) AS vote_event_count,
@@ -150,7 +150,7 @@ ERROR_LINES = """(SELECT run, line, content, CASE WHEN content LIKE 'Traceback%'
   coalesce(arg_max(TRY_CAST(split_part(s, ':', 2) AS BIGINT), line) FILTER (starts_with(s, 'jurisdiction:')), 0) AS jurisdiction_count,
   coalesce(arg_max(TRY_CAST(split_part(s, ':', 2) AS BIGINT), line) FILTER (starts_with(s, 'organization:')), 0) AS organization_count,
   coalesce(arg_max(trim(substring(s, 10, 30)), line) FILTER (starts_with(s, 'duration:')), 'unknown') AS duration,
-  coalesce(any_value(n), 0) AS error_count FROM c LEFT JOIN n USING (run) GROUP BY run""",
+  coalesce(any_value(n), 0) AS error_count, coalesce(any_value(first5), []) AS errors FROM c LEFT JOIN n USING (run) GROUP BY run""",
 )
 def scrape_summary(t):
     return D.scrape_summary(t("b_runlog"))
