@@ -21,12 +21,25 @@ LEAST_SCORE = 0.6
 CONTEXT_CHARS = 48
 
 # Possessive repeats keep every pattern linear; a run is always taken whole, so they change no match.
+# The run of an IBAN may go on into what follows it, so it only proposes; ``_ibans`` finds the end.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9]){15,}+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+WORD_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (ISO 13616); of several possible ends this one is tried first.
+IBAN_CHARS = {
+    country: chars
+    for chars, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
 #: Words that make a kind likelier when they stand just before a span.
@@ -71,6 +84,24 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", after)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The confirmed end of each proposed run: its country's length, else the last word end that fits.
+
+    The search goes on behind what was confirmed, or at the next word of a run that was not.
+    """
+    run = IBAN.search(text)
+    while run:
+        start, after = run.start(), run.start() + 4
+        ends = [m.end() for m in WORD_END.finditer(text, start, run.end() + 1) if m.end() <= run.end()]
+        fits = [(i, end) for end in ends if len(i := text[start:end].replace(" ", "")) >= 15]
+        for iban, end in sorted(fits, key=lambda f: (len(f[0]) == IBAN_CHARS.get(f[0][:2]), len(f[0])), reverse=True):
+            if mod97(iban):
+                yield start, end
+                after = end
+                break
+        run = IBAN.search(text, after)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -86,7 +117,7 @@ def spans_of(text: str) -> list[tuple[str, int, int, float]]:
             found.append(("card", *m.span()))
     if "+" in text:
         found += [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15]
-    found += [("iban", *m.span()) for m in IBAN.finditer(text) if len(i := m[0].replace(" ", "")) <= 34 and mod97(i)]
+    found += [("iban", *span) for span in _ibans(text)]
     if "-" in text:
         found += [("ssn", *m.span()) for m in SSN.finditer(text)]
     scored = []

@@ -62,6 +62,38 @@ def test_checksums_and_context():
     assert near > far
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("IBAN DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]),
+        ("DE89 3704 0044 0532 0130 00 Please pay", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 12 May", ["DE89370400440532013000"]),
+        ("DE89370400440532013000 A", ["DE89370400440532013000"]),
+        ("DE89370400440532013000 GB82 WEST 1234 5698 7654 32", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+        ("GB82WEST12345698765432 NO93 8601 1117 947 DE89370400440532013000", ["GB82WEST12345698765432", "NO93 8601 1117 947", "DE89370400440532013000"]),
+        ("REF AB12 DE89 3704 0044 0532 0130 00 1", ["DE89 3704 0044 0532 0130 00"]),
+        ("LC14BOSL123456789012345678901234 2026", ["LC14BOSL123456789012345678901234"]),
+        ("XDE89370400440532013000 DE89370400440532013000x DE89370400440532013001 12", []),
+    ],
+)
+def test_iban_before_words_numbers_and_ibans(text, want):
+    assert [text[a:b] for kind, a, b, _ in pii.spans_of(text) if kind == "iban"] == want
+
+
+def test_iban_of_an_unlisted_country_and_in_redaction(spark):
+    body = "ZZ00ABCD12345678"
+    number = int("".join(str(int(c, 36)) for c in body[4:] + body[:4]))
+    iban = f"ZZ{98 - number % 97:02}ABCD12345678"
+    assert [s[1:3] for s in pii.spans_of(f"{iban} Then")] == [(0, 16)]
+    docs = table(spark, [(1, "pay DE89370400440532013000 GB82 WEST 1234 5698 7654 32 Today")])
+    assert pii.redact_pii(docs).first()["text"] == "pay [IBAN] [IBAN] Today"
+
+
+@pytest.mark.parametrize("text", ["AA11 " * 60_000, "AA11" + " 1" * 150_000, "AA11" * 75_000])
+def test_long_iban_runs_stay_linear(text):
+    assert len(pii.spans_of(text)) <= len(text)
+
+
 def test_pii_rows_and_redaction(spark, edge_docs, no_docs, edge_rows):
     assert pii.find_pii(edge_docs).count() == len(edge_rows)
     assert pii.find_pii(no_docs).count() == pii.redact_pii(no_docs).count() == 0
