@@ -8,8 +8,9 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billstream.llm.common import components, in_arrow, slices, stored, texts_of
 
@@ -184,28 +185,65 @@ def _tasks(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def simhash_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (long), ``component_id`` (smallest linked id).
+def _labelled(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``fp``, ``root`` (one fingerprint for each component), ``component_id``.
 
-    Null text counts as empty; texts without words have fingerprint zero and are linked like any
-    other. Equal fingerprints are one node of the trie, so copies make no pairs. Repeated rows stay.
-    Rows with a null id take the component of their fingerprint (null if no row of it has an id).
+    Fingerprints are the nodes, not ids: one id may stand at several texts.
     """
     marked = stored(fingerprints(docs), "simhash-fingerprints")
     uniq = stored(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")).where("first_id is not null"), "simhash-distinct"
     )
-    found = components(near_links(uniq), "simhash-links")
-    labels = uniq.join(found.withColumnRenamed("node", "first_id"), "first_id", "left").select(
-        "fp", F.coalesce("component", "first_id").alias("component_id")
+    found = components(near_links(uniq.select("fp", F.col("fp").alias("first_id"))), "simhash-links")
+    linked = stored(found.select(F.col("node").alias("fp"), F.col("component").alias("root")).join(uniq, "fp"), "simhash-linked")
+    least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    labels = uniq.join(linked.drop("first_id").join(least, "root"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")
     )
-    return marked.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
+    return marked.join(labels, "fp", "left").select("doc_id", "fp", "root", "component_id")
+
+
+def simhash_groups(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id``, ``fp`` (long), ``component_id`` (smallest linked id).
+
+    Null text counts as empty; texts without words have fingerprint zero and are linked like any
+    other. Equal fingerprints are one node of the trie, so copies make no pairs. Repeated rows stay;
+    different texts of one id are not linked by it. Rows with a null id take the component of their
+    fingerprint (null if no row of it has an id).
+    """
+    return _labelled(docs).select("doc_id", "fp", "component_id")
+
+
+def _fingerprints_beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        (found,) = _fingerprints(iter([part]))
+        yield pa.RecordBatch.from_arrays([part["doc_id"], found["fp"], part["row"]], ["doc_id", "fp", "row"])
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
-    """The documents that stay: of each group the row with the smallest id (rows without id stay)."""
-    groups = simhash_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti")
+    """The documents that stay: of each group one row of the smallest id (rows without id stay).
+
+    Rows are decided one by one where an id is repeated: of the rows of that id in a group the one
+    with the smallest fingerprint stays, then the first by its values.
+    """
+    labelled = stored(_labelled(docs).where("doc_id is not null"), "simhash-labelled")
+    marks = stored(
+        labelled.groupBy("doc_id")
+        .agg((F.count("*") > 1).alias("repeated"), F.bool_or(F.col("doc_id") != F.col("component_id")).alias("later"))
+        .where("repeated or later"),
+        "simhash-marks",
+    )
+    once = docs.join(marks, "doc_id", "left_anti")
+    repeated = marks.where("repeated").select("doc_id")
+    if repeated.isEmpty():
+        return once
+    # Few rows: only those of repeated ids get their fingerprints again, beside all of their columns.
+    rows = texts_of(docs, F.struct(*docs.columns).alias("row")).join(repeated, "doc_id", "left_semi")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), rows.schema["row"]])
+    first = labelled.where("doc_id = component_id").join(repeated, "doc_id", "left_semi").select("doc_id", "fp", "root").distinct()
+    ranked = Window.partitionBy("root").orderBy("fp", F.to_json("row"))
+    chosen = in_arrow(rows, _fingerprints_beside, schema).join(first, ["doc_id", "fp"])
+    return once.unionByName(chosen.withColumn("rank", F.row_number().over(ranked)).where("rank = 1").select("row.*"))
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -72,6 +72,23 @@ def test_simhash_equals_brute_force(spark, edge_rows, no_docs):
     assert {r.doc_id for r in kept.collect()} == set(least.values()) | {None}
 
 
+def test_repeated_ids_are_decided_by_row(spark):
+    a, b, c, d = (prose(50 + i, 80) for i in range(4))
+    # 1 and 2 share a text; the other text of 2 is the only one of its group; 3 and 4 share d.
+    rows = [(1, a), (1, a), (2, a), (2, b), (3, c), (3, d), (4, d), (None, a), (5, None), (5, None)]
+    docs = table(spark, rows)
+    kept = simhash.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a), (2, b), (3, c), (3, d), (None, a), (5, None)]
+    assert by_id(kept.select("doc_id", "text").collect()) == by_id(want)
+    got = {(r.doc_id, r.fp % 2**64): r.component_id for r in simhash.simhash_groups(docs).collect()}
+    assert got[2, brute_fingerprint(b)] == 2 and got[2, brute_fingerprint(a)] == 1
+    # Two texts of 7 are near one text each; the id does not join the two groups.
+    e, f = prose(60, 400).split(" "), prose(61, 400).split(" ")
+    near = [(7, " ".join(e)), (7, " ".join(f)), (8, " ".join(e)), (9, " ".join(f))]
+    assert by_id(simhash.first_of_groups(table(spark, near)).select("doc_id", "text").collect()) == by_id(near[:2])
+
+
 def test_trie_walk_equals_all_pairs():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 2**63, 80, dtype=np.uint64)
