@@ -8,7 +8,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ SHINGLE = 3
 MOST_BITS = 2
 #: Distinct fingerprints under one node at the depth where the trie is dealt out to tasks.
 LEAF = 4096
+#: A node of more than so many times LEAF is dealt out deeper, by so many bits at a time.
+HEAVY, DEEPER = 4, 8
 #: Node pairs that a step of the traversal expands at once.
 PAIRS = 1 << 19
 #: Bits by which the traversal goes down at a time.
@@ -136,12 +138,42 @@ def _block_links(depth: int, most: int):
     return links
 
 
+def _block(depth: int) -> Column:
+    return F.shiftrightunsigned("p", 64 - depth) if depth else F.lit(0).cast("long")
+
+
+def _masks(most: int, bits: int) -> Column:
+    """One row for each way in which ``most`` of the lowest ``bits`` bits at most can differ."""
+    masks = [sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(bits), k)]
+    return F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))
+
+
+def _other(sizes: DataFrame) -> DataFrame:
+    return sizes.select(F.col("block").alias("other"), F.col("n").alias("n_other"))
+
+
+def _walked(permuted: DataFrame, pairs: DataFrame, depth: int, most: int, whole: bool) -> DataFrame:
+    """The links of node pairs of one depth; ``whole``: they hold every node."""
+    members = permuted.withColumn("block", _block(depth))
+    if not whole:
+        members = members.join(pairs.select("block").union(pairs.select("other")).distinct(), "block", "left_semi")
+    blocks = stored(members.groupBy("block").agg(F.collect_list(F.struct("p", "first_id")).alias("members")), "simhash-blocks")
+    left = blocks.withColumnRenamed("members", "left")
+    right = blocks.select(F.col("block").alias("other"), F.col("members").alias("right"))
+    # Few rows with much work each: dealt out by pair, whatever their bytes are.
+    dealt = pairs.select("block", "other", "apart").join(left, "block").join(right, "other")
+    return in_arrow(
+        dealt.repartition(_tasks(permuted.sparkSession), "block", "other"), _block_links(depth, most), "a long, b long"
+    )
+
+
 def near_links(uniq: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """Links ``a``, ``b`` (by ``first_id``) of distinct fingerprints ``fp`` within ``most`` bits.
 
     The bits are put in the order of their balance, so that the top of the trie spreads well. Its
-    nodes at one depth, of some thousand fingerprints each, are dealt to tasks in all pairs within
-    the budget, and each task walks its two subtrees together.
+    nodes at one depth are paired within the budget. A pair with a node of over ``HEAVY * LEAF``
+    fingerprints is replaced by the pairs of their children, until all are lighter; at 64 bits a node
+    is one fingerprint. The pairs are dealt to tasks, and each task walks its two subtrees together.
     """
     counts = uniq.agg(
         F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(1)).alias(str(i)) for i in range(64)]
@@ -155,30 +187,51 @@ def near_links(uniq: DataFrame, most: int = MOST_BITS) -> DataFrame:
     def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = _permuted(np.asarray(batch["fp"]).view(np.uint64), order)
-            block = p >> np.uint64(64 - depth) if depth else np.zeros_like(p)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block.view(np.int64)), pa.array(p.view(np.int64)), batch["first_id"]], ["block", "p", "first_id"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), batch["first_id"]], ["p", "first_id"])
 
-    blocks = stored(
-        in_arrow(uniq.select("fp", "first_id"), permute, "block long, p long, first_id long")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("p", "first_id")).alias("members")),
-        "simhash-blocks",
-    )
-    masks = [sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(depth), k)]
-    pairs = (
-        blocks.select("block", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
-        .select("block", F.col("block").bitwiseXOR(F.col("mask")).alias("other"), F.bit_count("mask").alias("apart"))
-        .where("other >= block")
-    )
-    left = blocks.withColumnRenamed("members", "left")
-    right = blocks.select(F.col("block").alias("other"), F.col("members").alias("right"))
-    # Few rows with much work each: dealt out by pair, whatever their bytes are.
-    dealt = pairs.join(left, "block").join(right, "other")
-    return in_arrow(
-        dealt.repartition(_tasks(uniq.sparkSession), "block", "other"), _block_links(depth, most), "a long, b long"
+    permuted = stored(in_arrow(uniq.select("fp", "first_id"), permute, "p long, first_id long"), "simhash-permuted")
+    heavy = HEAVY * LEAF
+
+    def sized(depth: int) -> DataFrame:
+        return permuted.groupBy(_block(depth).alias("block")).agg(F.count("*").alias("n"))
+
+    sizes = stored(sized(depth), "simhash-sizes")
+    pairs = sizes.select("block", _masks(most, depth).alias("mask"), "n").select(
+        "block", F.col("block").bitwiseXOR(F.col("mask")).alias("other"), F.bit_count("mask").alias("apart"), "n"
     )
+    pairs = pairs.where("other >= block").join(_other(sizes), "other")
+    found = []
+    while True:
+        light = (F.col("n") <= heavy) & (F.col("n_other") <= heavy)
+        done = depth == 64 or sizes.where(F.col("n") > heavy).isEmpty()
+        found.append(_walked(permuted, pairs.where(light), depth, most, whole=done and not found))
+        if done:
+            break
+        rest = stored(pairs.where(~light).select("block", "other", "apart"), "simhash-heavy")
+        step = min(DEEPER, 64 - depth)
+        depth += step
+        sizes = stored(sized(depth), "simhash-sizes")
+        kids = sizes.select(F.shiftrightunsigned("block", step).alias("block"), F.col("block").alias("kid"), "n")
+        near = (
+            rest.join(kids, "block")
+            .select("block", "other", "kid", "n", "apart", _masks(most, step).alias("mask"))
+            .where(F.col("apart") + F.bit_count("mask") <= most)
+            .select(
+                F.col("kid").alias("block"),
+                F.shiftleft("other", step).bitwiseOR(F.col("kid").bitwiseAND((1 << step) - 1).bitwiseXOR(F.col("mask"))).alias("other"),
+                (F.col("apart") + F.bit_count("mask")).alias("apart"),
+                "n",
+                (F.col("block") == F.col("other")).alias("own"),
+            )
+            # Below one node each pair of children comes from both sides.
+            .where("not own or other >= block")
+            .drop("own")
+        )
+        pairs = stored(near.join(_other(sizes), "other"), "simhash-pairs")
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links
 
 
 def _tasks(spark) -> int:

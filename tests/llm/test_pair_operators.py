@@ -112,6 +112,34 @@ def test_dealt_blocks_equal_one_block(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) >= 120
 
 
+def test_heavy_nodes_are_dealt_out_deeper(spark, monkeypatch):
+    # Two templates, each the other's complement: most bits are in balance, but they say the same.
+    rng = np.random.default_rng(2)
+    spots = np.array([3, 9, 14, 20, 25, 31, 37, 42, 60], np.uint64)
+    own = np.unique((rng.random((150, 9)) < 0.35).astype(np.uint64) @ (np.uint64(1) << spots))
+    values = np.unique(np.concatenate([np.uint64(0x0123456789ABCDEF) ^ own, ~np.uint64(0x0123456789ABCDEF) ^ own])).view(np.int64)
+    values = np.append(values, np.int64(0))
+    uniq = spark.createDataFrame([(int(v), i) for i, v in enumerate(values)], "fp long, first_id long")
+    monkeypatch.setattr(simhash, "LEAF", 4)
+    monkeypatch.setattr(simhash, "DEEPER", 24)
+    walked, walk = [], simhash._block_links
+
+    def seen(depth, most):
+        def links(batches):
+            for batch in batches:
+                assert all(len(r["left"]) <= 16 and len(r["right"]) <= 16 for r in batch.to_pylist())
+                yield from walk(depth, most)(iter([batch]))
+
+        walked.append(depth)
+        return links
+
+    monkeypatch.setattr(simhash, "_block_links", seen)
+    got = [tuple(sorted((r.a, r.b))) for r in simhash.near_links(uniq).collect()]
+    apart = np.bitwise_count(values.view(np.uint64)[:, None] ^ values.view(np.uint64)[None, :])
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(apart <= 2)) if a < b}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300 and len(walked) > 1
+
+
 # ---- embeddings -----------------------------------------------------------------------------
 
 
