@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,24 +95,32 @@ ENTITY_MARK = "\uffff"
 ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
-def _named_entities() -> Column:
-    """Characters of the standard named entities."""
-    names = {**name2codepoint, "apos": 39}
-    pairs = [F.lit(x) for name, code in sorted(names.items()) for x in (name, chr(code))]
-    return F.create_map(*pairs)
+#: What the HTML standard reads the numbers 128 to 159 as: Windows-1252, where that has a character.
+C1_CHARS = {n: c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))}
+
+
+def _fixed_map(pairs: dict) -> Column:
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
+def _named_entities(name: Column) -> Column:
+    """Characters of the HTML 5 entity; the few common names are looked up first."""
+    every = {n[:-1]: chars for n, chars in html5.items() if n.endswith(";")}
+    common = {n: every[n] for n in [*name2codepoint, "apos"]}
+    return F.coalesce(F.try_element_at(_fixed_map(common), name), F.try_element_at(_fixed_map(every), name))
 
 
 def decode_entities(text: Column) -> Column:
     """Named, decimal and hexadecimal entities to characters, each once; unknown ones stay."""
     parts = F.split(F.regexp_replace(F.replace(text, F.lit(ENTITY_MARK), F.lit("")), ENTITY, f"{ENTITY_MARK}$1{ENTITY_MARK}"), ENTITY_MARK, -1)
-    named = _named_entities()
 
     def decoded(name: Column) -> Column:
         digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7))
         code = digits.cast("int")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        found = F.when(F.startswith(name, F.lit("#")), number).otherwise(F.try_element_at(named, name))
+        number = F.when(code.between(128, 159), F.coalesce(F.try_element_at(_fixed_map(C1_CHARS), code.cast("string")), number)).otherwise(number)
+        found = F.when(F.startswith(name, F.lit("#")), number).otherwise(_named_entities(name))
         return F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";")))
 
     # Entities stand at every second place.

@@ -209,3 +209,16 @@ def test_entities(spark, text, want):
 
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(decode_entities(F.col("t"))).first()[0] == want
+
+
+def test_entities_of_html_5(spark):
+    from html import unescape
+    from html.entities import html5
+
+    from billstream.functions.text import decode_entities
+
+    names = [n for n in html5 if n.endswith(";")]
+    texts = [f"a&{n}b" for n in names] + [f"&#{n};&#x{n:x};" for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", decode_entities(F.col("t"))).collect()}
+    assert len(names) > 2000 and got == {t: unescape(t) for t in texts} and got["&#150;&#x96;"] == "\u2013\u2013"
