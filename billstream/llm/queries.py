@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from billstream.llm import byte_bpe, chat, decontaminate, embedding_pairs, language_crf, pii, simhash, suffix_dedup, token_store, vector_codes, word_dedup
+from billstream.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    embedding_pairs,
+    language_crf,
+    line_dedup,
+    pii,
+    simhash,
+    suffix_dedup,
+    token_store,
+    vector_codes,
+    word_dedup,
+)
 
 QUERIES = {
     "op1_token_store": token_store.op1_token_store,
@@ -15,11 +28,14 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 SQL = {
     "op4_chat_formatting": chat.OP4_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
+    "op11_line_dedup": line_dedup.OP11_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }
