@@ -5,6 +5,7 @@ from __future__ import annotations
 from billstream.llm import (
     byte_bpe,
     chat,
+    collocations,
     decontaminate,
     embedding_pairs,
     language_crf,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_line_dedup": line_dedup.op11_line_dedup,
+    "op12_collocations": collocations.op12_collocations,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
@@ -37,5 +39,6 @@ SQL = {
     "op10_decontamination": decontaminate.OP10_SQL,
     "op11_line_dedup": line_dedup.op11_line_dedup,
     "op11_line_dedup": line_dedup.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }
