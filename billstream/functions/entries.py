@@ -42,6 +42,135 @@ def extract_text(log: Column, bill: Column, extra: Column | None = None) -> Colu
     return F.concat_ws(" ", *parts)
 
 
+# -- open JSON -----------------------------------------------------------------------
+
+# Parts of an object that are read by name, and keys the rest leaves out.
+BILL_TEXTS = (("title", False), ("subject", True), ("abstracts", True), ("legislative_session", False), ("from_organization", False))
+DENIED_KEYS = (
+    "id", "sources", "timestamp", "bill", "log", "title", "action", "subjects", "abstracts", "legislative_session", "from_organization",
+)
+NODE = "struct<value:variant,text:string>"
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _members(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _items(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def _holds_more(value: Column) -> Column:
+    return _members(value).isNotNull() | _items(value).isNotNull()
+
+
+def _string(value: Column) -> Column:
+    """The value of a JSON string, null for anything else."""
+    return F.when(~_holds_more(value) & (F.schema_of_variant(value) == "STRING"), F.try_variant_get(value, "$", "string"))
+
+
+def _leaf(text: Column) -> Column:
+    return F.struct(F.lit(None).cast("variant").alias("value"), text.alias("text"))
+
+
+def _node(value: Column) -> Column:
+    return F.struct(value.alias("value"), F.lit(None).cast("string").alias("text"))
+
+
+def _no_nodes() -> Column:
+    return F.array().cast(f"array<{NODE}>")
+
+
+def _leaf_if(text: Column) -> Column:
+    return F.coalesce(F.when(text.isNotNull(), F.array(_leaf(text))), _no_nodes())
+
+
+def _text_at(members: Column, key: str) -> Column:
+    return _bound(_string(F.try_element_at(members, F.lit(key))), _leaf_if)
+
+
+def _anything_at(members: Column, key: str) -> Column:
+    value = F.try_element_at(members, F.lit(key))
+    there = F.coalesce(F.map_contains_key(members, key), F.lit(False))
+    # A JSON null is there, but has no text.
+    return F.when(there, F.array(F.when(value.isNull(), _leaf(F.lit(""))).otherwise(_node(value)))).otherwise(_no_nodes())
+
+
+def _action_at(members: Column) -> Column:
+    action = F.try_element_at(members, F.lit("action"))
+    return F.concat(_text_at(_members(action), "description"), _text_at(members, "action"))
+
+
+def _of_object(members: Column) -> Column:
+    """What an object is made of, in reading order: bill, log, action, then all keys that are not denied."""
+
+    def parts(m: Column, bill: Column, log: Column) -> Column:
+        bill_id = F.when(F.map_contains_key(log, "bill_id"), _text_at(log, "bill_id")).otherwise(_text_at(log, "bill_identifier"))
+        open_keys = F.filter(
+            F.array_sort(F.map_keys(m)), lambda k: ~k.startswith("_") & ~k.isin(*DENIED_KEYS) & F.try_element_at(m, k).isNotNull()
+        )
+        others = F.transform(
+            open_keys,
+            lambda k: _bound(
+                F.try_element_at(m, k),
+                lambda v: F.when(_holds_more(v), F.array(_node(v))).otherwise(_bound(_string(v), _leaf_if)),
+            ),
+        )
+        named = [_anything_at(bill, k) if whole else _text_at(bill, k) for k, whole in BILL_TEXTS]
+        return F.concat(*named, _action_at(log), bill_id, _action_at(m), F.flatten(others))
+
+    sub = lambda key: _members(F.try_element_at(members, F.lit(key)))
+    whole = F.struct(members.alias("m"), sub("bill").alias("bill"), sub("log").alias("log"))
+    return _bound(whole, lambda x: parts(x["m"], x["bill"], x["log"]))
+
+
+def _opened(node: Column) -> Column:
+    """A node one level deeper; what holds no text at all is one empty text."""
+    value = node["value"]
+
+    def filled(nodes: Column) -> Column:
+        return _bound(nodes, lambda n: F.when(F.size(n) > 0, n).otherwise(F.array(_leaf(F.lit("")))))
+
+    def children(kinds: Column) -> Column:
+        return (
+            F.when(kinds["items"].isNotNull(), filled(F.transform(kinds["items"], lambda x: F.when(x.isNull(), _leaf(F.lit(""))).otherwise(_node(x)))))
+            .when(kinds["members"].isNotNull(), filled(_bound(kinds["members"], _of_object)))
+            .otherwise(F.array(_leaf(F.coalesce(_string(value), F.lit("")))))
+        )
+
+    kinds = F.struct(_items(value).alias("items"), _members(value).alias("members"))
+    return F.when(node["text"].isNotNull(), F.array(node)).otherwise(_bound(kinds, children))
+
+
+def select_text(value: Column) -> Column:
+    """Readable text of any JSON value (``VARIANT``), however deep.
+
+    Strings are themselves and arrays their members in order. An object gives the named texts of its
+    ``bill``, its ``log`` and its ``action``, then those of all keys that are not denied, by key;
+    nested values alike. Everything is joined by one blank; what holds no text leaves an empty place
+    between two blanks, except other scalars of an object, which are left out. Null gives null.
+
+    The walk opens all nodes of a row level by level within that row, so there is one expression for
+    every depth, no explode and no shuffle. Levels are at most as many as there are brackets; once
+    nothing is left to open, the remaining rounds hand the texts on.
+    """
+    rounds = F.length(F.regexp_replace(F.to_json(value), "[^\\[{]+", "")) + 1
+    start = F.struct(F.array(_node(value)).alias("nodes"), F.lit(True).alias("open"))
+
+    def step(state: Column, _: Column) -> Column:
+        opened = F.flatten(F.transform(state["nodes"], _opened))
+        after = _bound(opened, lambda n: F.struct(n.alias("nodes"), F.exists(n, lambda x: x["text"].isNull()).alias("open")))
+        return F.when(state["open"], after).otherwise(state)
+
+    texts = F.aggregate(F.sequence(F.lit(1), rounds), start, step, lambda s: F.transform(s["nodes"], lambda n: n["text"]))
+    return F.when(value.isNotNull(), F.array_join(texts, " "))
+
+
 def repo_name(sources: Column) -> Column:
     source = F.coalesce(sources["log"], sources["bill"])
     return F.coalesce(F.split_part(source, F.lit("/"), F.lit(1)), F.lit("unknown"))

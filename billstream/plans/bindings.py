@@ -107,6 +107,16 @@ SELECT user_id AS run, event_id AS line, CASE event_type
     ELSE CASE WHEN event_id % 50 = 0 THEN concat('duration:  0:', lpad(CAST(event_id % 60 AS STRING), 2, '0'), ':07')
       WHEN event_id % 50 = 1 THEN 'jurisdiction: 1' WHEN event_id % 50 = 2 THEN 'organization: 3'
       ELSE '04:05:06 INFO scrape: ERROR free' END END AS content
+FROM @events@""",
+    # Open JSON of several shapes, one of them as deep as the row number says, one damaged.
+    "b_json": """
+SELECT event_id, event_type, user_id, CASE event_id % 6
+    WHEN 0 THEN concat('{"id":"e","bill":{"title":"Act ', CAST(event_id AS STRING), '","subject":["tax",["', event_type, '"]],"abstracts":[{"note":"short","abstract":"about it","_at":"x"}],"legislative_session":"2024","from_organization":7},"log":{"action":{"description":"Read ', event_type, '","date":"d"},"bill_id":"HB', CAST(user_id AS STRING), '"},"note":{"by":{"name":"ann"},"title":"hidden"}}')
+    WHEN 1 THEN concat('{"action":"Filed ', event_type, '","log":{"action":"Sent up","bill_identifier":"HB ', CAST(user_id AS STRING), '"},"zeta":["z"],"alpha":{"subject":["kept"]},"_x":"no","timestamp":"t","count":3}')
+    WHEN 2 THEN concat(repeat('{"next":[', CAST(event_id % 40 AS INT)), '"end ', event_type, '"', repeat(']}', CAST(event_id % 40 AS INT)))
+    WHEN 3 THEN concat('["', event_type, '",1,null,{"z":"last","b":"first"},[]]')
+    WHEN 4 THEN concat('"just ', event_type, '"')
+    ELSE '{"bill":' END AS body
 FROM @events@""",
     # Routine-filter input: real locales and real phrases spread over the action rows.
     "b_routine": """

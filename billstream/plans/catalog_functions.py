@@ -228,6 +228,16 @@ def extract_text(t):
     return entries(t).select("event_id", E.extract_text(F.col("log"), F.col("bill"), extra).alias("text"))
 
 
+@query(
+    "extract_text_json",
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN concat('Act ', event_id, ' tax ', event_type, ' about it short 2024 Read ', event_type, ' HB', user_id, ' ann')
+  WHEN 1 THEN concat('Sent up HB ', user_id, ' Filed ', event_type, ' kept z') WHEN 2 THEN concat('end ', event_type)
+  WHEN 3 THEN concat(event_type, '   first last ') WHEN 4 THEN concat('just ', event_type) END AS text FROM b_json""",
+)
+def extract_text_json(t):
+    return t("b_json").select("event_id", E.select_text(F.try_parse_json("body")).alias("text"))
+
+
 @query("text_hash", "SELECT doc_id, sha256(text) AS text_hash FROM documents")
 def text_hash(t):
     return t("documents").select("doc_id", X.text_hash(F.col("text")).alias("text_hash"))
