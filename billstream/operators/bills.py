@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billstream.functions.names import action_key
 from billstream.operators.common import top_per_key
+from billstream.session import saved
 
 ACTION_KEY = ["bill_id", "description", "date"]
 
@@ -68,10 +69,16 @@ def merge_actions(stored: DataFrame, incoming: DataFrame, carried: Sequence[str]
 STORED_COLUMNS = ["bill_id", "ord", "description", "date", "created"]
 
 
-def merged_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> DataFrame:
-    """Rows of the incoming bills that changed, merged; only new actions get ``run``."""
-    changed = changed_bills(stored, incoming).select("bill_id")
-    merged = merge_actions(stored, incoming.join(changed, "bill_id", "left_semi"), ["created"])
+def merged_bills(stored: DataFrame, incoming: DataFrame, run: Column, changed: DataFrame | None = None) -> DataFrame:
+    """Rows of the incoming bills that changed, merged; only new actions get ``run``.
+
+    Both sides are cut to the changed bills first, so what is ranked and joined follows the run and
+    not the stored table.
+    """
+    if changed is None:
+        changed = changed_bills(stored, incoming).select("bill_id")
+    before = stored.join(changed, "bill_id", "left_semi")
+    merged = merge_actions(before, incoming.join(changed, "bill_id", "left_semi"), ["created"])
     created = F.when(F.col("is_new"), run).otherwise(F.col("created"))
     return merged.withColumn("created", created).select(STORED_COLUMNS)
 
@@ -82,9 +89,62 @@ def incremental_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> Da
     ``stored`` has ``bill_id, ord, description, date, created``. Bills that did
     not change, or are not part of the run, keep their rows.
     """
-    changed = changed_bills(stored, incoming).select("bill_id")
+    # Decided once: the gate is needed three times.
+    changed = saved(changed_bills(stored, incoming).select("bill_id"), "changed-bills")
     untouched = stored.join(changed, "bill_id", "left_anti")
-    return untouched.select(STORED_COLUMNS).unionByName(merged_bills(stored, incoming, run))
+    return untouched.select(STORED_COLUMNS).unionByName(merged_bills(stored, incoming, run, changed))
+
+
+class BillTable:
+    """Stored bills in buckets of their id, next to the action count of every bill.
+
+    The gate reads the counts alone. A run then reads, and replaces by dynamic partition overwrite,
+    only the buckets that hold a changed bill. The count is written last: after a run that died half
+    way the same bills are still due, and merging them again gives the same rows.
+    """
+
+    ROWS = "bill_id STRING, ord INT, description STRING, date STRING, created STRING, bucket INT"
+    GATE = "bill_id STRING, actions BIGINT, bucket INT"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, files: int = 1):
+        self.spark, self.path, self.buckets, self.files = spark, path, buckets, files
+        for name, schema in (("rows", self.ROWS), ("gate", self.GATE)):
+            # Empty folders for a first run; nothing that is there is touched.
+            self._replace(name, spark.createDataFrame([], schema))
+
+    def rows(self) -> DataFrame:
+        return self._read("rows").select(STORED_COLUMNS)
+
+    def update(self, incoming: DataFrame, run: Column) -> list[int]:
+        """Merge whole bills; returns the buckets that were replaced (at most their number)."""
+        counts = incoming.groupBy("bill_id").agg(F.count("*").alias("actions"))
+        before = self._read("gate").select("bill_id", F.col("actions").alias("before"))
+        due = counts.join(before, "bill_id", "left").filter("before IS NULL OR before <> actions")
+        due = saved(due.select("bill_id", "actions", self._bucket().alias("bucket")), "due-bills")
+        touched = sorted(r.bucket for r in due.select("bucket").distinct().collect())
+        if not touched:
+            return []
+        changed = due.select("bill_id")
+        for name, fresh in (
+            ("rows", lambda kept: merged_bills(kept.drop("bucket"), incoming, run, changed).withColumn("bucket", self._bucket())),
+            ("gate", lambda kept: due),
+        ):
+            kept = self._read(name).filter(F.col("bucket").isin(touched))
+            self._replace(name, kept.join(changed, "bill_id", "left_anti").unionByName(fresh(kept)))
+        return touched
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("bill_id"), F.lit(self.buckets)).cast("int")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(getattr(self, name.upper())).parquet(f"{self.path}/{name}")
+
+    def _replace(self, name: str, rows: DataFrame) -> None:
+        spread = F.pmod(F.xxhash64("bill_id", F.lit("file")), F.lit(self.files))
+        (
+            rows.repartition("bucket", spread).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.path}/{name}")
+        )
 
 
 def action_order(bills: DataFrame, actions: str = "actions") -> DataFrame:

@@ -36,8 +36,8 @@ def read_json_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame
     )
 
 
-def _folders(spark: SparkSession) -> tuple[str, str]:
-    root = state_dir(spark, f"stream-{uuid.uuid4().hex}")
+def _folders(spark: SparkSession, folder: str | None) -> tuple[str, str]:
+    root = folder or state_dir(spark, f"stream-{uuid.uuid4().hex}")
     return f"{root}/checkpoint", f"{root}/table"
 
 
@@ -74,15 +74,19 @@ def latest_rows(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFra
     return top_per_key(rows, keys, [F.desc("batch")], 1).drop("batch")
 
 
-def run_append(spark: SparkSession, source: str, plan: Plan) -> DataFrame:
-    """Run a stream over all available files and return the table it wrote."""
-    checkpoint, table = _folders(spark)
+def run_append(spark: SparkSession, source: str, plan: Plan, folder: str | None = None) -> DataFrame:
+    """Run a stream over all files that are new to ``folder`` and return the table it wrote.
+
+    A later run on the same folder takes up where the last one ended; without one all is new.
+    """
+    checkpoint, table = _folders(spark, folder)
     append_to_table(plan(read_table_stream(spark, source)), table, checkpoint).awaitTermination()
     return spark.read.parquet(table)
 
 
-def run_upsert(spark: SparkSession, source: str, plan: Plan, keys: Sequence[str]) -> DataFrame:
-    checkpoint, table = _folders(spark)
+def run_upsert(spark: SparkSession, source: str, plan: Plan, keys: Sequence[str], folder: str | None = None) -> DataFrame:
+    """The same for keyed updates."""
+    checkpoint, table = _folders(spark, folder)
     upsert_to_table(plan(read_table_stream(spark, source)), table, checkpoint).awaitTermination()
     return latest_rows(spark, table, keys)
 

@@ -1,4 +1,4 @@
-"""Stateful jobs as streams: bills, orphans, pending hearings.
+"""Bills as a stream of whole documents; orphans and hearings are in ``keyed``.
 
 Batch ``n`` reads state written by batches below ``n`` and overwrites its own
 folder, so a batch repeated after a failure gives the same tables.
@@ -12,9 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billstream.operators import bills as B
-from billstream.operators import links as K
-
-Step = Callable[[DataFrame, DataFrame, int], DataFrame]
 
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str):
@@ -33,20 +30,6 @@ def _before(spark: SparkSession, table: str, schema: str, batch_id: int, column:
     return rows.filter(F.col(column) < batch_id)
 
 
-def versioned_state(stream: DataFrame, step: Step, schema: str, table: str, checkpoint: str):
-    """Small state kept as one version per batch: ``version n = step(version n-1, batch)``."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id == 0:
-            before = spark.createDataFrame([], schema)
-        else:
-            before = spark.read.schema(schema).parquet(f"{table}/version={batch_id - 1}")
-        step(before, batch, batch_id).write.mode("overwrite").parquet(f"{table}/version={batch_id}")
-
-    return _start(stream, handle, checkpoint)
-
-
 # -- bills ---------------------------------------------------------------------------
 
 STORED = "bill_id STRING, ord INT, description STRING, date STRING, created STRING"
@@ -72,73 +55,3 @@ def bills_stream(stream: DataFrame, table: str, checkpoint: str, run: Callable[[
 
 def stored_bills(spark: SparkSession, table: str) -> DataFrame:
     return newest_bills(spark.read.schema(f"{STORED}, batch BIGINT").parquet(table))
-
-
-# -- orphans -----------------------------------------------------------------------------
-
-TRACKED = (
-    "bill_id STRING, arrived BOOLEAN, vote_count BIGINT, first_seen STRING, last_seen STRING, occurrence_count BIGINT"
-)
-
-
-def track_orphans(state: DataFrame, batch: DataFrame, run: Column) -> DataFrame:
-    """One run over rows ``(kind, bill_id)`` of kind vote or bill.
-
-    The state also remembers bills that arrived, so a later vote for one of them
-    is no orphan.
-    """
-    incoming = batch.groupBy("bill_id").agg(
-        F.count_if(F.col("kind") == "vote").alias("votes"), F.bool_or(F.col("kind") == "bill").alias("came")
-    )
-    j = state.join(incoming, "bill_id", "full_outer")
-    no = F.lit(False)
-    j = j.withColumns(
-        {
-            "arrived": F.coalesce("arrived", no) | F.coalesce("came", no),
-            "vote_count": F.coalesce("vote_count", F.lit(0)) + F.coalesce("votes", F.lit(0)),
-        }
-    )
-    orphan = ~F.col("arrived") & (F.col("vote_count") > 0)
-    return j.select(
-        "bill_id",
-        "arrived",
-        "vote_count",
-        F.coalesce("first_seen", F.when(orphan, run)).alias("first_seen"),
-        F.when(orphan, run).otherwise(F.col("last_seen")).alias("last_seen"),
-        (F.coalesce("occurrence_count", F.lit(0)) + orphan.cast("bigint")).alias("occurrence_count"),
-    )
-
-
-def orphans_stream(stream: DataFrame, table: str, checkpoint: str, run: Callable[[int], Column]):
-    return versioned_state(
-        stream, lambda state, batch, n: track_orphans(state, batch, run(n)), TRACKED, table, checkpoint
-    )
-
-
-def current_orphans(spark: SparkSession, table: str) -> DataFrame:
-    rows = spark.read.schema(f"{TRACKED}, version BIGINT").parquet(table)
-    last = rows.agg(F.max("version")).scalar()
-    return rows.filter((F.col("version") == last) & ~F.col("arrived") & (F.col("vote_count") > 0)).drop(
-        "version", "arrived"
-    )
-
-
-# -- pending hearings --------------------------------------------------------------------
-
-AGENDA = "event_id BIGINT, pos INT, entity_type STRING, name STRING"
-
-
-def pending_stream(stream: DataFrame, bill_sessions: Callable[[int], DataFrame], table: str, checkpoint: str):
-    """Unlinked hearings wait in ``table/pending``; linked ones go to ``table/linked``."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id == 0:
-            waiting = spark.createDataFrame([], AGENDA)
-        else:
-            waiting = spark.read.schema(AGENDA).parquet(f"{table}/pending/version={batch_id - 1}")
-        linked, rest = K.pending_after_run(waiting, batch, bill_sessions(batch_id))
-        linked.write.mode("overwrite").parquet(f"{table}/linked/batch={batch_id}")
-        rest.write.mode("overwrite").parquet(f"{table}/pending/version={batch_id}")
-
-    return _start(stream, handle, checkpoint)

@@ -56,35 +56,6 @@ def test_bills(spark, tmp_path):
     assert sorted(map(tuple, S.stored_bills(spark, table).collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_orphans(spark, tmp_path):
-    schema = "kind STRING, bill_id STRING"
-    frames = [
-        spark.createDataFrame([("vote", "A"), ("vote", "B"), ("bill", "D")], schema),
-        spark.createDataFrame([("bill", "B"), ("vote", "C"), ("vote", "A"), ("vote", "D")], schema),
-        spark.createDataFrame([("bill", "X")], schema),
-    ]
-    table = str(tmp_path / "orphans")
-    S.orphans_stream(slices(spark, tmp_path, frames), table, str(tmp_path / "c"), lambda n: F.lit(f"r{n}")).awaitTermination()
-    got = {r.bill_id: (r.vote_count, r.first_seen, r.last_seen, r.occurrence_count) for r in S.current_orphans(spark, table).collect()}
-    assert got == {"A": (2, "r0", "r2", 3), "C": (1, "r1", "r2", 2)}
-
-
-def test_pending(spark, tmp_path):
-    schema = S.AGENDA
-    frames = [
-        spark.createDataFrame([(1, 1, "bill", "HB 1"), (2, 1, "bill", "HB 2")], schema),
-        spark.createDataFrame([(3, 1, "bill", "HB 3")], schema),
-    ]
-    known = spark.createDataFrame([("HB1", "s", "f", 0), ("HB2", "s", "f", 1)], "bill_id STRING, session_id STRING, date_folder STRING, since INT")
-    table = str(tmp_path / "pending")
-    S.pending_stream(
-        slices(spark, tmp_path, frames), lambda n: known.filter(F.col("since") <= n), table, str(tmp_path / "c")
-    ).awaitTermination()
-    linked = {(r.event_id, r.batch) for r in spark.read.parquet(f"{table}/linked").collect()}
-    assert linked == {(1, 0), (2, 1)}
-    assert [r.event_id for r in spark.read.parquet(f"{table}/pending/version=1").collect()] == [3]
-
-
 def test_upsert_keeps_the_newest_batch(spark, tmp_path):
     schema = "k STRING, v INT"
     frames = [spark.createDataFrame([("a", 1), ("b", 1)], schema), spark.createDataFrame([("a", 2)], schema)]
@@ -112,3 +83,12 @@ def test_state_folder_needs_a_shared_one_on_a_cluster(spark, monkeypatch):
     assert session.state_dir(Fake(spark_checkpoint_dir="hdfs://n/c"), "x") == "hdfs://n/c/x"
     with pytest.raises(ValueError):
         session.state_dir(Fake(spark_master="spark://host:7077"), "x")
+
+
+def test_a_second_run_takes_only_what_is_new(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "job")
+    for n in (1, 2):
+        spark.createDataFrame([(n,)], "id INT").coalesce(1).write.mode("append").parquet(source)
+        got = J.run_append(spark, source, lambda df: df.select("id", F.current_timestamp().alias("at")), folder)
+        assert sorted(r.id for r in got.collect()) == list(range(1, n + 1))
+    assert got.select("at").distinct().count() == 2
