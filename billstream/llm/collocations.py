@@ -151,13 +151,19 @@ def _in_portions(raw: bytes) -> Iterator[bytes]:
     yield raw[start:]
 
 
-def planes(codes: np.ndarray) -> bytes:
-    """32-bit integers byte place by byte place: the upper places of small ones compress to nothing."""
-    return codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def planes(numbers: np.ndarray) -> bytes:
+    """Integers from -1 on, byte place by byte place and with no more places than the largest needs."""
+    up = (numbers + 1).astype("<u8")
+    wide = max(1, -(-int(up.max(initial=0)).bit_length() // 8))
+    return bytes([wide]) + up.view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes()
 
 
 def from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+    wide = raw[0]
+    places = np.frombuffer(raw, np.uint8, offset=1).reshape(wide, -1)
+    up = np.zeros((places.shape[1], 8), np.uint8)
+    up[:, :wide] = places.T
+    return up.view("<i8").ravel() - 1
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +205,7 @@ def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = ids[codes]
             tokens = _squeezed(tokens, tokens >= 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([portion.as_py()]), pa.array([lang.as_py()]), pa.array([tokens.tobytes()], pa.binary()), pa.array([tokens.tobytes()], pa.binary())],
+                [pa.array([portion.as_py()]), pa.array([lang.as_py()]), pa.array([planes(tokens)], pa.binary()), pa.nulls(1, pa.binary())],
                 ["portion", "lang", "tokens", "grams"],
             )
 
@@ -215,7 +221,10 @@ def _packed(tokens: np.ndarray, grams: np.ndarray, k: int, word_bits: int) -> tu
 
 
 def _numbers(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.frombuffer(batch[c][i].as_py(), np.int64) for c in ("tokens", "grams"))
+    """Tokens of a portion and, at each of them, the id of the n-gram that starts there; first the tokens."""
+    tokens, grams = (batch[c][i].as_py() for c in ("tokens", "grams"))
+    tokens = from_planes(tokens)
+    return tokens, tokens if grams is None else from_planes(grams)
 
 
 def _counted(k: int, word_bits: int, bits: int, shard_bits: int):
@@ -302,7 +311,7 @@ def _lengthened(k: int, word_bits: int, shard_bits: int):
                 tokens = np.where(keep, tokens, -1)
                 stay = np.concatenate([[True], keep[1:] | keep[:-1]])
                 yield pa.RecordBatch.from_arrays(
-                    [batch["portion"].slice(i, 1), batch["lang"].slice(i, 1), pa.array([tokens[stay].tobytes()], pa.binary()), pa.array([longer[stay].tobytes()], pa.binary())],
+                    [batch["portion"].slice(i, 1), batch["lang"].slice(i, 1), pa.array([planes(tokens[stay])], pa.binary()), pa.array([planes(longer[stay])], pa.binary())],
                     ["portion", "lang", "tokens", "grams"],
                 )
 

@@ -121,3 +121,10 @@ def test_products_pass_64_bits(spark):
     rows = spark.createDataFrame([(3_000_000_000, 4_000_000_000, 5_000_000_000, 6_000_000_000)], "a long, n long, l long, r long")
     exact = rows.selectExpr("(cast(1000 as decimal(5,0)) * (cast(a as decimal(19,0)) * cast(n as decimal(19,0)))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0))) AS x")
     assert exact.first().x == 1000 * 3 * 4 * 10**18 // (30 * 10**18)
+
+
+def test_planes():
+    for numbers in ([], [-1], [0, -1, 254, 255], [-1, 2**16, 7], [2**40, -1]):
+        x = np.array(numbers, np.int64)
+        assert co.from_planes(co.planes(x)).tolist() == numbers
+    assert len(co.planes(np.arange(1000))) == 2001
