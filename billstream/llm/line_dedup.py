@@ -211,7 +211,9 @@ class LineIndex:
         """
         rows = texts_of(docs).where("doc_id is not null")
         if self.log:
-            rows = rows.join(self._live("docs", "doc_id"), "doc_id", "left_anti")
+            # Ids alone are compared; the usual batch brings none that is held, and its texts stay where they are.
+            held = stored(rows.select("doc_id").join(self._live("docs", "doc_id"), "doc_id", "left_semi").distinct(), "line-held")
+            rows = rows.join(held, "doc_id", "left_anti")
         batch = len(self.log)
         self._write("docs", batch, rows.select("doc_id").distinct().withColumn("change", F.lit(1)))
         refs = self._write("refs", batch, in_arrow(rows, _keys, "digest binary, doc_id long").distinct().withColumn("change", F.lit(1)))
