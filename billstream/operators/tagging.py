@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import json
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -11,16 +12,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billstream.functions import arrow
-from billstream.functions.text import WORD, text_hash
+from billstream.functions.text import text_hash
 from billstream.operators.common import top_per_key
+from billstream.operators.keywords import _bound, keyword_hits, matched_keywords  # noqa: F401
+from billstream.session import state_dir
 
-# Weights of the score parts, without and with a keyword hit.
-BASE_WEIGHT = (0.5, 0.35)
-EXAMPLE_WEIGHT = (0.35, 0.25)
-KEYWORD_WEIGHT = 0.4
-NEGATIVE_WEIGHT = 0.25
+# Score of a keyword tag, threshold of a tag that names none.
 KEYWORD_SCORE = 0.6
 DEFAULT_THRESHOLD = 0.5
 
@@ -78,79 +78,38 @@ def config_hash(*columns: str) -> Column:
 # -- keywords ----------------------------------------------------------------------
 
 
-def keyword_pattern(keyword: str) -> str:
-    """Whole-word pattern; a plus sign may follow. Boundaries are written out."""
-    edge = re.compile(r"^\w$")
-    word = re.escape(keyword)
-    # The literal comes first and is checked backwards, which is far cheaper than
-    # trying a boundary at every place of the text.
-    left = rf"(?<![{WORD}]{word})" if edge.match(keyword[0]) else rf"(?<=[{WORD}]{word})"
-    right = rf"(?![{WORD}])" if edge.match(keyword[-1]) else rf"(?:\+|(?=[{WORD}]))"
-    return word + left + right
+TAG_HIT = "array<struct<owner:int,tag:string,final_score:double,keyword_match:array<string>>>"
 
 
-#: With more plain words than this, texts are cut into words once and looked up.
-WORD_LOOKUP = 24
-PLAIN_WORD = re.compile(r"^\w+$")
+def _hits_of(lowered: Column, tags: Sequence[Tag]) -> Column:
+    return keyword_hits(lowered, [(t.include_keywords, t.exclude_keywords) for t in tags])
 
 
-def keyword_hit(lowered: Column, keyword: str, present: Column | None = None) -> Column:
-    """A phrase is found anywhere, a single word only as a whole word.
+def _owners(hits: Column, excludes: bool) -> Column:
+    return F.array_distinct(F.transform(F.filter(hits, lambda h: h["excludes"] == excludes), lambda h: h["owner"]))
 
-    ``present`` holds the plain words known to be in the text, if they were looked up.
-    """
-    keyword = keyword.lower()
-    if " " in keyword:
-        return lowered.contains(keyword)
-    if present is not None and PLAIN_WORD.match(keyword):
-        return F.array_contains(present, keyword)
-    # The plain search is cheap and spares most texts the pattern.
-    return lowered.contains(keyword) & lowered.rlike(keyword_pattern(keyword))
-
-
-def matched_keywords(lowered: Column, keywords: Sequence[str], present: Column | None = None) -> Column:
-    """Keywords found in the lower-case text, in configuration order."""
-    if not keywords:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(keyword_hit(lowered, k, present), F.lit(k)) for k in keywords]))
 
+def _keywords_of(hits: Column, owner: Column) -> Column:
+    """Keywords of one tag in configuration order."""
+    own = F.filter(hits, lambda h: (h["owner"] == owner) & ~h["excludes"])
+    placed = F.array_sort(F.transform(own, lambda h: F.struct(h["place"].alias("place"), h["shown"].alias("shown"))))
+    return F.transform(placed, lambda h: h["shown"])
 
-def any_keyword(lowered: Column, keywords: Sequence[str], present: Column | None = None) -> Column:
-    hit = F.lit(False)
-    for k in keywords:
-        hit = hit | keyword_hit(lowered, k, present)
-    return hit
 
+def _constant(values: Sequence, kind: str) -> Column:
+    """A constant array that is one node of the plan, however long it is."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
 
-def with_keyword_flags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFrame:
-    """Adds ``_found<i>`` and ``_block<i>`` per tag; the text is lowered once.
 
-    A whole-word hit of a plain word means that it is one of the words of the text.
-    With many keywords one pass over the words replaces one search per keyword.
-    """
-    entries = entries.withColumn("_low", F.lower(text))
-    words = {k.lower() for t in tags for k in (*t.include_keywords, *t.exclude_keywords)}
-    plain = sorted(w for w in words if PLAIN_WORD.match(w))
-    present = None
-    if len(plain) > WORD_LOOKUP:
-        found = F.regexp_extract_all("_low", F.lit(f"[{WORD}]+"), 0)
-        entries = entries.withColumn("_present", F.array_intersect(F.array(*map(F.lit, plain)), found))
-        present = F.col("_present")
-    flags = {}
-    for i, tag in enumerate(tags):
-        flags[f"_found{i}"] = matched_keywords(F.col("_low"), tag.include_keywords, present)
-        flags[f"_block{i}"] = any_keyword(F.col("_low"), tag.exclude_keywords, present)
-    return entries.withColumns(flags).drop("_low", "_present")
-
-
-def keyword_score(i: int, tag: Tag) -> Column:
-    """Score of one tag, null where it does not apply."""
-    return F.when(
-        (F.size(f"_found{i}") > 0) & ~F.col(f"_block{i}"),
-        F.struct(
-            F.lit(tag.name).alias("tag"),
-            F.lit(max(float(tag.threshold), KEYWORD_SCORE)).alias("final_score"),
-            F.col(f"_found{i}").alias("keyword_match"),
+def tag_hits(hits: Column, tags: Sequence[Tag]) -> Column:
+    """``TAG_HIT`` rows of the tags that a text's keyword hits include and do not exclude."""
+    names = _constant([t.name for t in tags], "string")
+    scores = _constant([max(float(t.threshold), KEYWORD_SCORE) for t in tags], "double")
+    kept = F.array_sort(F.array_except(_owners(hits, False), _owners(hits, True)))
+    return F.transform(
+        kept,
+        lambda o: F.struct(
+            o.alias("owner"), F.get(names, o).alias("tag"), F.get(scores, o).alias("final_score"), _keywords_of(hits, o).alias("keyword_match")
         ),
     )
 
@@ -158,17 +117,16 @@ def keyword_score(i: int, tag: Tag) -> Column:
 def keyword_tags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFrame:
     """(entry columns, tag, final_score, keyword_match), one row per matching tag.
 
-    Every tag is a literal column over the one pass of the texts; no join, no
-    shuffle, and entries without a tag leave at the explode.
+    One pass of the texts through the keyword index; no join, no shuffle, no plan per tag, and
+    entries without a tag leave at the explode.
     """
-    scores = F.array_compact(F.array(*[keyword_score(i, t) for i, t in enumerate(tags)]))
-    # The outer form keeps the optimizer from testing the array, and with it every
-    # pattern, once more in a filter ahead of the explode.
+    # The outer form keeps the optimizer from searching the texts once more in a filter ahead of the explode.
     return (
-        with_keyword_flags(entries, text, tags)
-        .withColumn("_hit", F.explode_outer(scores))
+        entries.withColumn("_low", F.lower(text))
+        .withColumn("_hits", _hits_of(F.col("_low"), tags))
+        .withColumn("_hit", F.explode_outer(_bound(F.col("_hits"), lambda hits: tag_hits(hits, tags))))
         .filter(F.col("_hit").isNotNull())
-        .select(*entries.columns, "_hit.*")
+        .select(*entries.columns, "_hit.tag", "_hit.final_score", "_hit.keyword_match")
     )
 
 
@@ -192,47 +150,31 @@ def rank_tags(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class TagVectors(NamedTuple):
-    """Vectors of the configured tags; configuration, so it lives with the plan."""
+    """Where the vectors of the configured tags lie, and their length."""
 
-    names: Sequence[str]
-    tag: np.ndarray
-    examples: Sequence[np.ndarray]
-    negatives: Sequence[np.ndarray]
+    path: str
+    size: int
 
 
-#: Tags come from a configuration file; this bounds what a plan may ship.
-MAX_TAGS = 10_000
+def store_tag_vectors(table: DataFrame, tags: Sequence[Tag]) -> TagVectors:
+    """Write ``(tag, vector, examples, negatives)`` rows where the tasks read them, one vector a row.
 
-
-def collect_tag_vectors(tags: DataFrame) -> TagVectors:
-    """Rows ``(tag, vector, examples, negatives)`` of a bounded tag table."""
-    rows = tags.orderBy("tag").limit(MAX_TAGS + 1).collect()
-    if len(rows) > MAX_TAGS:
-        raise ValueError(f"more than {MAX_TAGS} tags; split the tag configuration")
-
-    def unit(vectors) -> np.ndarray:
-        return np.asarray(vectors, dtype="float64") if vectors else np.empty((0, 0))
-
-    return TagVectors(
-        [str(r["tag"]) for r in rows],
-        unit([r["vector"] for r in rows]),
-        [unit(r["examples"] or []) for r in rows],
-        [unit(r["negatives"] or []) for r in rows],
+    Nothing of it passes through the driver. Vectors of tags that are not configured are left out.
+    """
+    spark = table.sparkSession
+    owners = spark.createDataFrame([(i, t.name) for i, t in enumerate(tags)], "owner INT, tag STRING")
+    known = table.join(owners, "tag")
+    none = F.array().cast("array<array<double>>")
+    kinds = ((arrow.TAG, F.array("vector")), (arrow.EXAMPLE, F.col("examples")), (arrow.NEGATIVE, F.col("negatives")))
+    lists = F.array(*[F.struct(F.lit(k).alias("kind"), F.coalesce(v.cast("array<array<double>>"), none).alias("vectors")) for k, v in kinds])
+    rows = (
+        known.select("owner", F.explode(lists).alias("x"))
+        .select("owner", "x.kind", F.explode("x.vectors").alias("vector"))
+        .filter(F.col("vector").isNotNull())
     )
-
-
-SIMILARITY = "struct<base:array<double>,example:array<double>,negative:array<double>>"
-
-
-def similarities(vector: Column, tags: TagVectors) -> Column:
-    """Per entry three arrays over the tags, one Arrow batch at a time; null where a
-    tag has no examples or no negatives."""
-    _, tag, examples, negatives = tags
-
-    def score(vectors: pd.Series) -> pd.DataFrame:
-        return arrow.score_frame(vectors, tag, examples, negatives)
-
-    return F.pandas_udf(score, SIMILARITY)(vector)
+    path = state_dir(spark, f"tag-vectors-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return TagVectors(path, spark.read.schema(rows.schema).parquet(path).agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0])
 
 
 def composite_score(base: Column, example: Column, negative: Column, hit: Column, threshold: Column) -> Column:
@@ -243,81 +185,48 @@ def composite_score(base: Column, example: Column, negative: Column, hit: Column
         return F.when(hit, F.lit(weights[1])).otherwise(F.lit(weights[0]))
 
     zero = F.lit(0.0)
-    w_base = F.when(base.isNotNull(), pick(BASE_WEIGHT)).otherwise(zero)
-    w_example = F.when(example.isNotNull(), pick(EXAMPLE_WEIGHT)).otherwise(zero)
-    w_keyword = F.when(hit, F.lit(KEYWORD_WEIGHT)).otherwise(zero)
+    w_base = F.when(base.isNotNull(), pick(arrow.BASE_WEIGHT)).otherwise(zero)
+    w_example = F.when(example.isNotNull(), pick(arrow.EXAMPLE_WEIGHT)).otherwise(zero)
+    w_keyword = F.when(hit, F.lit(arrow.KEYWORD_WEIGHT)).otherwise(zero)
     weight = w_base + w_example + w_keyword
     total = F.coalesce(base, zero) * w_base + F.coalesce(example, zero) * w_example + w_keyword
     mean = F.when(weight > 0, total / weight).otherwise(zero)
     lifted = F.when(hit, F.greatest(mean, threshold)).otherwise(mean)
     lowered = F.when(
-        negative.isNotNull(), F.greatest(lifted - negative * NEGATIVE_WEIGHT, zero)
+        negative.isNotNull(), F.greatest(lifted - negative * arrow.NEGATIVE_WEIGHT, zero)
     ).otherwise(lifted)
     return F.greatest(F.least(lowered, F.lit(1.0)), zero)
 
 
-#: Tags scored in one pass; more tags add passes, which bounds the Arrow batches.
-TAG_BLOCK = 500
-
-
 def score_entries(
     entries: DataFrame, text: str, vector: str, vectors: TagVectors, tags: Sequence[Tag], keep_all: bool = False
 ) -> DataFrame:
     """(entry columns, tag, parts, final_score) of tags at or above their threshold.
 
-    ``keep_all`` keeps scores below the threshold too.
+    Each Arrow batch is multiplied with the tag vectors and only what reaches a threshold comes out,
+    so no row per entry and tag is ever made. ``keep_all`` keeps scores below the threshold too.
     """
-    by_name = {t.name: t for t in tags}
-    out = None
-    for start in range(0, len(vectors.names), TAG_BLOCK):
-        block = TagVectors(*[part[start : start + TAG_BLOCK] for part in vectors])
-        scored = _score_block(entries, text, vector, block, [by_name[n] for n in block.names], keep_all)
-        out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        raise ValueError("no tags configured")
-    return out
-
-
-def _score_block(
-    entries: DataFrame, text: str, vector: str, vectors: TagVectors, tags: Sequence[Tag], keep_all: bool
-) -> DataFrame:
     plain = [c for c in entries.columns if c not in (text, vector)]
-    per_tag = F.array(
-        *[
-            F.struct(
-                F.lit(t.name).alias("tag"),
-                F.lit(float(t.threshold)).alias("threshold"),
-                F.col(f"_found{i}").alias("found"),
-                F.col(f"_block{i}").alias("blocked"),
-                F.get("_sim.base", F.lit(i)).alias("base"),
-                F.get("_sim.example", F.lit(i)).alias("example"),
-                F.get("_sim.negative", F.lit(i)).alias("negative"),
-            )
-            for i, t in enumerate(tags)
-        ]
-    )
-    cells = (
-        with_keyword_flags(entries, text, tags)
-        .withColumn("_sim", similarities(F.col(vector), vectors))
-        .select(*plain, F.explode_outer(per_tag).alias("s"))
-        .select(*plain, "s.*")
-    )
-    blocked = F.col("blocked")
-    hit = F.size("found") > 0
-    final = composite_score(F.col("base"), F.col("example"), F.col("negative"), hit, F.col("threshold"))
-    out = cells.select(
+    found = entries.withColumn("_hits", _hits_of(F.lower(text), tags)).select(*plain, vector, "_hits")
+    marked = found.withColumns({"_include": _owners(F.col("_hits"), False), "_exclude": _owners(F.col("_hits"), True)})
+    keep = [*plain, "_hits"]
+    parts = "_owner INT, final_score DOUBLE, base_embedding DOUBLE, example_similarity DOUBLE, _negative DOUBLE"
+    schema = T.StructType([*[marked.schema[c] for c in keep], *T.StructType.fromDDL(parts)])
+    thresholds = np.array([float(t.threshold) for t in tags])
+    file = arrow.TagVectorFile(*vectors)
+    scored = marked.mapInArrow(arrow.sparse_scores(file, thresholds, vector, keep, keep_all), schema)
+    owner = F.col("_owner")
+    blocked = F.exists("_hits", lambda h: (h["owner"] == owner) & h["excludes"])
+    return scored.select(
         *plain,
-        "tag",
-        "threshold",
-        F.when(blocked, F.lit(0.0)).otherwise(final).alias("final_score"),
-        F.when(~blocked, F.col("base")).alias("base_embedding"),
-        F.when(~blocked, F.col("example")).alias("example_similarity"),
-        F.when(blocked, F.array().cast("array<string>")).otherwise(F.col("found")).alias("keyword_match"),
-        F.when(blocked, F.lit(0.0))
-        .otherwise(F.coalesce(F.col("negative") * NEGATIVE_WEIGHT, F.lit(0.0)))
-        .alias("negative_penalty"),
+        F.get(_constant([t.name for t in tags], "string"), owner).alias("tag"),
+        F.get(_constant(thresholds.tolist(), "double"), owner).alias("threshold"),
+        "final_score",
+        "base_embedding",
+        "example_similarity",
+        F.when(blocked, F.array().cast("array<string>")).otherwise(_keywords_of(F.col("_hits"), owner)).alias("keyword_match"),
+        F.coalesce(F.col("_negative") * arrow.NEGATIVE_WEIGHT, F.lit(0.0)).alias("negative_penalty"),
     )
-    return out if keep_all else out.filter(F.col("final_score") >= F.col("threshold"))
 
 
 Embedder = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -334,7 +243,7 @@ def semantic_or_keyword_tags(entries: DataFrame, text: str, vector: str, vectors
 
     A vector is missing if it is null, has gaps or is not as long as the tags' vectors.
     """
-    size = int(vectors[1].shape[1])
+    size = vectors.size
     gap = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
     usable = F.coalesce((F.size(vector) == size) & ~gap, F.lit(False))
     semantic = score_entries(entries.filter(usable), text, vector, vectors, tags)

@@ -175,7 +175,7 @@ def tag_vector_table(t):
 def scored(t, keep_all):
     texts = t("documents").select(F.col("doc_id").alias("vec_id"), "text")
     entries = t("embeddings").select("vec_id", F.col("embedding").alias("vector")).join(texts, "vec_id")
-    vectors = G.collect_tag_vectors(tag_vector_table(t))
+    vectors = G.store_tag_vectors(tag_vector_table(t), VECTOR_TAGS)
     return G.score_entries(entries, "text", "vector", vectors, VECTOR_TAGS, keep_all)
 
 
@@ -217,8 +217,7 @@ def semantic_tags_fallback(t):
     f"WITH {VECTOR_CTE} SELECT vec_id, CAST(label AS VARCHAR) AS tag, round(best, 5) AS similarity FROM ex",
 )
 def example_max_similarity(t):
-    vectors = G.collect_tag_vectors(tag_vector_table(t))
-    names = F.array(*[F.lit(n) for n in vectors.names])
-    rows = t("embeddings").withColumn("sim", G.similarities(F.col("embedding"), vectors))
-    pairs = rows.select("vec_id", F.posexplode("sim.example").alias("no", "similarity"))
-    return pairs.select("vec_id", F.get(names, F.col("no")).alias("tag"), F.round("similarity", 5).alias("similarity"))
+    plain = [Tag(tag.name) for tag in VECTOR_TAGS]
+    entries = t("embeddings").select("vec_id", F.lit("").alias("text"), F.col("embedding").alias("vector"))
+    scores = G.score_entries(entries, "text", "vector", G.store_tag_vectors(tag_vector_table(t), plain), plain, True)
+    return scores.select("vec_id", "tag", F.round("example_similarity", 5).alias("similarity"))

@@ -3,13 +3,16 @@
 from collections import Counter
 from xml.etree import ElementTree
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from billstream.functions import arrow
 from billstream.operators import bills as B
 from billstream.operators import documents as D
+from billstream.operators import keywords as KW
 from billstream.operators import links as K
 from billstream.operators import logs as L
 from billstream.operators import quality as Q
@@ -330,7 +333,8 @@ def test_damaged_xml_is_an_error(spark, xml):
 )
 def test_keywords(spark, text, keyword, hit):
     df = spark.createDataFrame([(text.lower(),)], "t STRING")
-    assert df.select(G.keyword_hit(F.col("t"), keyword)).first()[0] is hit
+    assert df.select(KW.keyword_hit(F.col("t"), keyword)).first()[0] is hit
+    assert df.select(G.matched_keywords(F.col("t"), [keyword])).first()[0] == ([keyword] if hit else [])
 
 
 @pytest.mark.parametrize(
@@ -349,27 +353,52 @@ def test_composite_score(spark, base, example, negative, hit, threshold, want):
     assert got == pytest.approx(want)
 
 
-def test_many_tags_run_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(G, "TAG_BLOCK", 2)
-    rows = [(str(i), [1.0, float(i)], None, None) for i in range(5)]
-    table = spark.createDataFrame(rows, "tag STRING, vector ARRAY<DOUBLE>, examples ARRAY<ARRAY<DOUBLE>>, negatives ARRAY<ARRAY<DOUBLE>>")
-    entries = spark.createDataFrame([(1, "x", [1.0, 0.0])], "id INT, text STRING, vector ARRAY<DOUBLE>")
+VECTORS = "tag STRING, vector ARRAY<DOUBLE>, examples ARRAY<ARRAY<DOUBLE>>, negatives ARRAY<ARRAY<DOUBLE>>"
+
+
+@pytest.mark.parametrize("kept", [0, 1 << 20])
+def test_vectors_are_read_in_blocks(spark, monkeypatch, kept):
+    for name, value in (("KEPT_BYTES", kept), ("VECTORS_AT_ONCE", 2), ("CELLS", 7)):
+        monkeypatch.setattr(arrow, name, value)
+    rows = [(str(i), [1.0, float(i)], [[1.0, 1.0], [0.0, 1.0], [1.0, 0.0]] if i == 1 else None, [[-1.0, 0.0]] if i == 2 else []) for i in range(5)]
+    entries = spark.createDataFrame([(n, "x", [1.0, 0.0]) for n in range(9)], "id INT, text STRING, vector ARRAY<DOUBLE>")
     tags = [G.Tag(str(i), threshold=0.0) for i in range(5)]
-    got = G.score_entries(entries, "text", "vector", G.collect_tag_vectors(table), tags).collect()
-    assert {r.tag: round(r.final_score, 4) for r in got} == {str(i): round(1 / (1 + i * i) ** 0.5, 4) for i in range(5)}
+    table = spark.createDataFrame([*rows, ("unknown", [1.0, 0.0], None, None)], VECTORS)
+    got = G.score_entries(entries, "text", "vector", G.store_tag_vectors(table, tags), tags).collect()
+    assert len(got) == 45 and {r.id for r in got} == set(range(9))
+    want = {str(i): round(1 / (1 + i * i) ** 0.5, 4) for i in range(5)}
+    want["1"] = round((0.5 * want["1"] + 0.35) / 0.85, 4)
+    assert {r.tag: round(r.final_score, 4) for r in got} == pytest.approx(want, abs=2e-4)
+
+
+def test_scores_come_out_sparse(spark):
+    rows = [(str(i), [1.0, float(i)], None, None) for i in range(50)]
+    tags = [G.Tag(str(i), threshold=0.99) for i in range(50)]
+    vectors = G.store_tag_vectors(spark.createDataFrame(rows, VECTORS), tags)
+    entries = spark.createDataFrame([(n, "x", [1.0, 0.0]) for n in range(20)], "id INT, text STRING, vector ARRAY<DOUBLE>")
+    df = G.score_entries(entries, "text", "vector", vectors, tags)
+    assert df.count() == 20 and "Generate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_agree_with_the_column_form(spark):
+    grid = [(b, e, n, h, t) for b in (None, -0.4, 0.7) for e in (None, 0.0, 0.9) for n in (None, 0.0, 0.8) for h in (True, False) for t in (0.2, 0.9)]
+    df = spark.createDataFrame(grid, "b DOUBLE, e DOUBLE, n DOUBLE, h BOOLEAN, t DOUBLE").coalesce(1)
+    want = [r.s for r in df.select(G.composite_score(*(F.col(c) for c in "bent"[:3]), F.col("h"), F.col("t")).alias("s")).collect()]
+    columns = [np.array([np.nan if x is None else x for x in c], float) for c in list(zip(*grid))[:3]]
+    got = arrow.composite(*columns, np.array([g[3] for g in grid]), np.array([g[4] for g in grid]))
+    assert got.tolist() == pytest.approx(want)
 
 
 def test_missing_vectors_take_keywords(spark):
-    table = spark.createDataFrame([("a", [1.0, 0.0], None, None)], "tag STRING, vector ARRAY<DOUBLE>, examples ARRAY<ARRAY<DOUBLE>>, negatives ARRAY<ARRAY<DOUBLE>>")
-    vectors = G.collect_tag_vectors(table)
+    tags = [G.Tag("a", include_keywords=["water"], threshold=0.5)]
+    vectors = G.store_tag_vectors(spark.createDataFrame([("a", [1.0, 0.0], None, None)], VECTORS), tags)
     rows = [(1, "no word", [2.0, 0.0]), (2, "some water", None), (3, "dry", None), (4, "water", [1.0]), (5, "water", [1.0, None]), (6, "water", [0.0, 1.0])]
     entries = spark.createDataFrame(rows, "id INT, text STRING, vector ARRAY<DOUBLE>").coalesce(1)
-    tags = [G.Tag("a", include_keywords=["water"], threshold=0.5)]
     got = {r.id: r for r in G.semantic_or_keyword_tags(entries, "text", "vector", vectors, tags).collect()}
     assert set(got) == {1, 2, 4, 5, 6} and round(got[1].final_score, 4) == 1.0
     assert all(got[i].keyword_match == ["water"] and got[i].base_embedding is None for i in (2, 4, 5))
-    sims = entries.select("id", G.similarities(F.col("vector"), vectors).alias("s")).collect()
-    assert {r.id: r.s.base for r in sims} == {1: [1.0], 2: None, 3: None, 4: None, 5: None, 6: [0.0]}
+    bare = {r.id: r.base_embedding for r in G.score_entries(entries, "text", "vector", vectors, tags, keep_all=True).collect()}
+    assert bare == {1: 1.0, 2: None, 3: None, 4: None, 5: None, 6: 0.0}
 
 
 def test_embedder_hook(spark):
@@ -391,22 +420,52 @@ def test_overwrite_scores_tagged_bills_again(spark):
     assert {r.tag for r in G.tag_job(entries, stored, tags, only="wet").collect()} == {"old", "wet"}
 
 
-def test_word_lookup_agrees_with_the_patterns(spark, monkeypatch):
-    texts = ["the trans-act", "transport", "LGBTQ+ Rights", "ñtrans", "clean water; c++x", "", "trans_it a.b", "WATER water"]
+def literal_hits(df, tags):
+    """The form with one expression per keyword."""
+    low = F.lower("text")
+    rows = []
+    for tag in tags:
+        found = F.array_compact(F.array(*[F.when(KW.keyword_hit(low, k), F.lit(k)) for k in tag.include_keywords]))
+        blocked = F.exists(F.array(F.lit(False), *[KW.keyword_hit(low, k) for k in tag.exclude_keywords]), lambda x: x)
+        hits = df.select("id", found.alias("found")).filter((F.size("found") > 0) & ~blocked)
+        rows += [(r.id, tag.name, tuple(r.found)) for r in hits.collect()]
+    return sorted(rows)
+
+
+def index_hits(df, tags):
+    return sorted((r.id, r.tag, tuple(r.keyword_match)) for r in G.keyword_tags(df, "text", tags).collect())
+
+
+def test_the_index_agrees_with_the_patterns(spark):
+    texts = [
+        "the trans-act", "transport", "LGBTQ+ Rights", "ñtrans", "clean water; c++x", "", "trans_it a.b", "WATER water", None,
+        "musique dehors", "a b c", "x  y", " lead", "trail ", "r&d tax", "+-+", "a  b", "covid-19 and COVID-190", "Ärger über",
+    ]
     df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
     tags = [
-        G.Tag("a", include_keywords=["trans", "LGBTQ", "clean water", "c++", "Water"], exclude_keywords=["port"]),
+        G.Tag("a", include_keywords=["trans", "LGBTQ", "clean water", "c++", "Water", "water"], exclude_keywords=["port"]),
         G.Tag("b", include_keywords=["water", "a.b", "transport"], exclude_keywords=["rights", "clean"]),
+        G.Tag("c", include_keywords=["que de", "b c", "a b c", "a b", "x  y", " lead", "trail ", "  ", " ", "x "]),
+        G.Tag("d", include_keywords=["r&d", "+-", "covid-19", "ärger", "a  b"], exclude_keywords=["b c"]),
+        G.Tag("none"),
     ]
-
-    def run():
-        return sorted((r.id, r.tag, tuple(r.keyword_match)) for r in G.keyword_tags(df, "text", tags).collect())
-
-    by_pattern = run()
-    monkeypatch.setattr(G, "WORD_LOOKUP", 0)
-    assert run() == by_pattern
-    assert (4, "a", ("clean water", "c++", "Water")) in by_pattern and (7, "b", ("water",)) in by_pattern
-    assert (6, "b", ("a.b",)) in by_pattern and not [r for r in by_pattern if r[0] in (3, 5)]
+    got = index_hits(df, tags)
+    assert got == literal_hits(df, tags)
+    assert (4, "a", ("clean water", "c++", "Water", "water")) in got and (9, "c", ("que de", " ")) in got
+
+
+def test_five_thousand_tags_are_one_plan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    parts = ["th", "an", "er", "re", "en", "in", "on", "es", "ti", "ou", "ed", "or", "nd", "ha", "at", "de", "la", "que"]
+    words = [a + b + c for a in parts for b in parts for c in ["", *parts]][:5000]
+    few = [G.Tag(w, include_keywords=[w, f"{w} {v}"], exclude_keywords=[f"{v} the"]) for w, v in zip(words, reversed(words))]
+    assert len(few) == 5000
+    got = index_hits(docs, few)
+    some = few[::500] + [t for t in few if t.name in {r[1] for r in got[:5]}]
+    chosen = {t.name for t in some}
+    assert [r for r in got if r[1] in chosen] == literal_hits(docs, list({t.name: t for t in some}.values())) and len(got) > 1000
+    plans = [str(G.keyword_tags(docs, "text", few[:n])._jdf.queryExecution().analyzed().numberedTreeString()).count("lambda") for n in (10, 5000)]
+    assert plans[0] == plans[1]
 
 
 def test_extraction_prunes_contents_first(spark):
