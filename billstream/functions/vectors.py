@@ -16,13 +16,16 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.greatest(norms, F.lit(1e-9))
 
 
-def mean_pool(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Mean vector per key: averages per (key, dimension) combine map-side first."""
-    return (
-        df.select(key, F.posexplode(vector).alias("dim", "x"))
-        .groupBy(key, "dim")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("cells"))
-        .select(key, F.transform("cells", lambda c: c["x"]).alias(vector))
-    )
+def mean_pool(df: DataFrame, key: str, vector: str, size: int | None = None) -> DataFrame:
+    """Mean vector per key.
+
+    A key has one accumulator, a sum and a count for each dimension, combined in every task before
+    the shuffle, so one row per task and key moves however many vectors there are. ``size`` is the
+    longest length; without it one pass over the lengths finds it. Shorter vectors count in the
+    dimensions that they have.
+    """
+    if size is None:
+        size = df.agg(F.coalesce(F.max(F.size(vector)), F.lit(0))).first()[0]
+    means = [F.avg(F.get(F.col(vector), F.lit(i)).cast("double")).alias(f"_{i}") for i in range(size)]
+    pooled = df.filter(F.size(vector) > 0).groupBy(key).agg(F.max(F.size(vector)).alias("_size"), *means)
+    return pooled.select(key, F.slice(F.array(*[f"_{i}" for i in range(size)]), F.lit(1), F.col("_size")).alias(vector) if size else F.array().alias(vector))

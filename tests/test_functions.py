@@ -222,3 +222,16 @@ def test_entities_of_html_5(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r[0]: r[1] for r in df.select("t", decode_entities(F.col("t"))).collect()}
     assert len(names) > 2000 and got == {t: unescape(t) for t in texts} and got["&#150;&#x96;"] == "\u2013\u2013"
+
+
+def test_mean_pool_shuffles_one_row_per_task_and_key(spark):
+    from billstream.functions.vectors import mean_pool
+
+    rows = [(i % 3, [float(i), 1.0, -float(i)][: 2 + (i % 3 > 0)]) for i in range(300)] + [(1, []), (2, None), (7, [None, 2.0])]
+    df = spark.createDataFrame(rows, "k INT, v ARRAY<DOUBLE>").repartition(5)
+    got = {r.k: r.v for r in mean_pool(df, "k", "v").collect()}
+    assert got == {0: [148.5, 1.0], 1: [149.5, 1.0, -149.5], 2: [150.5, 1.0, -150.5], 7: [None, 2.0]}
+    plan = mean_pool(df, "k", "v", 3)._jdf.queryExecution().executedPlan().toString()
+    # Partial and final aggregate, nothing exploded in between.
+    assert "Generate" not in plan and plan.count("HashAggregate(keys=[k") == 2 and "partial_avg" in plan
+    assert mean_pool(df.limit(0), "k", "v").collect() == []
