@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -439,3 +441,87 @@ def scrape_summary(lines: DataFrame) -> DataFrame:
         .withColumn("error_count", F.coalesce("error_count", F.lit(0)))
         .withColumn("errors", F.coalesce("errors", F.array().cast("array<string>")))
     )
+
+
+# Lines that a summary takes after a traceback's head and after the head of the bills block.
+TRACEBACK_LINES, BILLS_LINES = 10, 2
+TRACEBACK_HEAD, BILLS_HEAD = "Traceback (most recent call last):", "bills scrape:"
+#: Line numbers that one task counts through; a longer run is counted in several.
+RUN_PART = 100_000
+
+
+def with_blocks(lines: DataFrame, heads: Mapping[str, Column], part: int = RUN_PART) -> DataFrame:
+    """Lines ``(run, line, content)`` with ``place`` (1 for the first of its run) and, for every name in
+    ``heads``, the place of the last head at or above the line.
+
+    Two levels, so that one long run is not one task: places are counted within parts of a run, and
+    the parts' totals and last heads, one row each, are added up along the run.
+    """
+    rows = lines.withColumn("_part", F.floor(F.col("line") / part)).withColumns({f"_is_{n}": c for n, c in heads.items()})
+    within = Window.partitionBy("run", "_part").orderBy("line", "content")
+    rows = rows.withColumn("_place", F.row_number().over(within))
+    here = {n: F.when(F.col(f"_is_{n}"), F.col("_place")) for n in heads}
+    rows = rows.withColumns({f"_last_{n}": F.max(c).over(within.rowsBetween(Window.unboundedPreceding, 0)) for n, c in here.items()})
+    parts = rows.groupBy("run", "_part").agg(F.max("_place").alias("_rows"), *[F.max(f"_last_{n}").alias(f"_top_{n}") for n in heads])
+    before = Window.partitionBy("run").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    parts = parts.withColumns({f"_before_{n}": F.max(F.col("_start") + F.col(f"_top_{n}")).over(before) for n in heads})
+    joined = rows.join(parts.select("run", "_part", "_start", *[f"_before_{n}" for n in heads]), ["run", "_part"])
+    return joined.select(
+        *lines.columns,
+        (F.col("_start") + F.col("_place")).alias("place"),
+        *[F.coalesce(F.col("_start") + F.col(f"_last_{n}"), F.col(f"_before_{n}")).alias(n) for n in heads],
+    )
+
+
+def _blocks(lines: DataFrame) -> DataFrame:
+    heads = {"traceback": F.col("content").startswith(TRACEBACK_HEAD), "bills": F.col("content").contains(BILLS_HEAD)}
+    return with_blocks(lines.select("run", "line", "content"), heads)
+
+
+def _traceback_blocks(placed: DataFrame) -> DataFrame:
+    inside = placed.filter(F.col("place") - F.col("traceback") <= TRACEBACK_LINES)
+    # At most a head and its fixed number of lines are collected.
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("place", "content"))), lambda x: x.content)
+    return inside.groupBy("run", F.col("traceback").alias("place")).agg(F.min("line").alias("line"), F.array_join(texts, "\n").alias("content"))
+
+
+def error_blocks(lines: DataFrame) -> DataFrame:
+    """Errors of the best class each run has, with ``priority``: whole tracebacks, else single lines.
+
+    A traceback is its head and the ten lines after it, up to the next head.
+    """
+    return _errors_of(lines, _blocks(lines))
+
+
+def _errors_of(lines: DataFrame, placed: DataFrame) -> DataFrame:
+    single = classify_errors(lines).filter("priority > 1").select("run", "priority", "line", "content")
+    blocks = _traceback_blocks(placed).select("run", F.lit(1).alias("priority"), "line", "content")
+    return blocks.unionByName(single)
+
+
+def run_summary(lines: DataFrame) -> DataFrame:
+    """``scrape_summary`` with errors as whole blocks and the duration of the bills block alone.
+
+    That is the last duration printed in the two lines after a head of that block.
+    """
+    placed = _blocks(lines)
+    counts = scrape_summary(lines).drop("duration", "errors", "error_count")
+    printed = F.nullif(F.regexp_extract("content", r"duration:\s*([\d:\.]+)", 1), F.lit(""))
+    timed = placed.filter(F.col("place") - F.col("bills") <= BILLS_LINES).withColumn("duration", printed).filter("duration IS NOT NULL")
+    durations = timed.groupBy("run").agg(F.max_by("duration", "place").alias("duration"))
+    errors = _errors_of(lines, placed)
+    totals = errors.groupBy("run").agg(F.count("*").alias("error_count"))
+    first = top_per_key(errors, ["run"], [F.asc("line"), F.asc("content")], FIRST_ERRORS)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x.content)
+    return (
+        counts.join(durations, "run", "left").join(totals, "run", "left")
+        .join(first.groupBy("run").agg(listed.alias("errors")), "run", "left")
+        .withColumns(
+            {
+                "duration": F.coalesce("duration", F.lit("unknown")),
+                "error_count": F.coalesce("error_count", F.lit(0)),
+                "errors": F.coalesce("errors", F.array().cast("array<string>")),
+            }
+        )
+    )

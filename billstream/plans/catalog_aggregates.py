@@ -165,6 +165,49 @@ def error_classify(t):
     return D.classify_errors(t("b_runlog")).select("run", "line", "content", F.col("priority").cast("bigint"))
 
 
+# The run log with heads of the bills block, durations near them, and more tracebacks.
+BLOCK_LINES = """(SELECT run, line, CASE WHEN line % 7 = 1 THEN 'bills scrape:' WHEN line % 7 = 3 THEN concat('  duration: 0:', lpad(CAST(line % 60 AS STRING), 2, '0'), ':07')
+  WHEN run % 2 = 0 AND line % 23 = 5 THEN 'Traceback (most recent call last):' ELSE content END AS content FROM b_runlog)"""
+BLOCK_SQL = f"""WITH r AS (SELECT run, line, content, row_number() OVER (PARTITION BY run ORDER BY line) AS place FROM {BLOCK_LINES} x),
+  h AS (SELECT *, max(CASE WHEN starts_with(content, 'Traceback (most recent call last):') THEN place END) OVER w AS head, max(CASE WHEN contains(content, 'bills scrape:') THEN place END) OVER w AS bills
+    FROM r WINDOW w AS (PARTITION BY run ORDER BY place ROWS UNBOUNDED PRECEDING)),
+  k AS (SELECT run, 1 AS priority, min(line) AS line, string_agg(content, chr(10) ORDER BY place) AS content FROM h WHERE place - head <= 10 GROUP BY run, head),
+  e AS (SELECT * FROM {{}} x WHERE priority > 1 AND run NOT IN (SELECT run FROM k)), m AS (SELECT run, min(priority) AS priority FROM e GROUP BY 1),
+  a AS (SELECT run, priority, line, content FROM k UNION ALL SELECT run, priority, line, content FROM e JOIN m USING (run, priority))"""
+
+
+def block_lines(t):
+    line, run = F.col("line"), F.col("run")
+    text = (
+        F.when(line % 7 == 1, "bills scrape:")
+        .when(line % 7 == 3, F.concat(F.lit("  duration: 0:"), F.lpad((line % 60).cast("string"), 2, "0"), F.lit(":07")))
+        .when((run % 2 == 0) & (line % 23 == 5), D.TRACEBACK_HEAD)
+        .otherwise(F.col("content"))
+    )
+    return t("b_runlog").withColumn("content", text)
+
+
+@query(
+    "error_blocks",
+    BLOCK_SQL.format(ERROR_LINES.replace("b_runlog", BLOCK_LINES)) + " SELECT run, line, content, CAST(priority AS BIGINT) AS priority FROM a",
+)
+def error_blocks(t):
+    return D.error_blocks(block_lines(t)).select("run", "line", "content", F.col("priority").cast("bigint"))
+
+
+@query(
+    "run_summary",
+    BLOCK_SQL.format(ERROR_LINES.replace("b_runlog", BLOCK_LINES))
+    + """, d AS (SELECT run, arg_max(trim(substring(trim(content), 10, 30)), place) AS duration FROM h WHERE place - bills <= 2 AND starts_with(trim(content), 'duration:') GROUP BY run),
+  n AS (SELECT run, count(*) AS n, list(content ORDER BY line)[1:5] AS first5 FROM a GROUP BY 1),
+  c AS (SELECT run, arg_max(TRY_CAST(split_part(trim(content), ':', 2) AS BIGINT), line) FILTER (starts_with(trim(content), 'bill:')) AS bills FROM r GROUP BY 1)
+  SELECT run, coalesce(c.bills, 0) AS bill_count, coalesce(duration, 'unknown') AS duration, coalesce(n, 0) AS error_count, coalesce(first5, []) AS errors
+  FROM c LEFT JOIN d USING (run) LEFT JOIN n USING (run)""",
+)
+def run_summary(t):
+    return D.run_summary(block_lines(t)).select("run", "bill_count", "duration", "error_count", "errors")
+
+
 @query(
     "mean_pool",
     """WITH x AS (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)

@@ -478,3 +478,25 @@ def test_extraction_prunes_contents_first(spark):
     assert row.document.startswith("Title: T\nOfficial Title: \nNumber of Sections: 1\nSource: versions - As passed\nMedia Type: text/xml\n")
     assert "LeftSemi" in done._jdf.queryExecution().optimizedPlan().toString() and after.first().status == "ok"
     assert D.extraction_failures(done).count() == 0
+
+
+@pytest.mark.parametrize("part", [1, 3, 1000])
+def test_blocks_do_not_depend_on_the_parts(spark, part):
+    lines = ["x", D.TRACEBACK_HEAD, *[f" l{i}" for i in range(12)], D.TRACEBACK_HEAD, "ValueError: a", D.TRACEBACK_HEAD, "KeyError: b"]
+    rows = [(1, 10 * i, c) for i, c in enumerate(lines)] + [(2, 5, "plain"), (3, 1, " l"), (3, 2, D.TRACEBACK_HEAD)]
+    df = spark.createDataFrame(rows, "run INT, line BIGINT, content STRING").repartition(4)
+    placed = D.with_blocks(df, {"head": F.col("content").startswith("Traceback")}, part)
+    got = {(r.run, r.line): (r.place, r.head) for r in placed.collect()}
+    assert got[1, 0] == (1, None) and got[1, 10] == (2, 2) and got[1, 130] == (14, 2) and got[1, 150] == (16, 15)
+    assert got[2, 5] == (1, None) and got[3, 2] == (2, 2) and len(got) == len(rows)
+
+
+def test_error_blocks_are_whole_tracebacks(spark):
+    lines = [D.TRACEBACK_HEAD, *[f" l{i}" for i in range(12)], D.TRACEBACK_HEAD, "ValueError: a"]
+    runs = {1: lines, 2: ["ValueError: z", "ERROR y"], 3: ["fine", "bills scrape:", "a", "duration: 0:01:02", "duration: 9"], 4: ["duration: 7"]}
+    rows = [(run, i, c) for run, content in runs.items() for i, c in enumerate(content)]
+    df = spark.createDataFrame(rows, "run INT, line BIGINT, content STRING")
+    got = {(r.run, r.line): r.content for r in D.error_blocks(df).collect()}
+    assert got == {(1, 0): "\n".join(lines[:11]), (1, 13): "\n".join(lines[13:]), (2, 0): "ValueError: z"}
+    summary = {r.run: (r.duration, r.error_count, len(r.errors)) for r in D.run_summary(df).collect()}
+    assert summary == {1: ("unknown", 2, 2), 2: ("unknown", 1, 1), 3: ("0:01:02", 0, 0), 4: ("unknown", 0, 0)}
