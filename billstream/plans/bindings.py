@@ -71,7 +71,7 @@ SELECT l_suppkey AS event_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY
   CASE WHEN l_linenumber = 1 THEN 'person' ELSE 'bill' END AS entity_type, concat(' HB ', CAST(l_orderkey AS STRING)) AS name
 FROM @lineitem@""",
     "b_tagged": """
-SELECT concat('HB', CAST(doc_id % 150 AS STRING)) AS bill_id, CASE WHEN toxic = 1 THEN 'flagged' WHEN quality = 1 THEN 'quality' ELSE 'other' END AS tag, max(doc_id) AS evidence
+SELECT concat('HB', CAST(doc_id AS STRING)) AS bill_id, CASE WHEN toxic = 1 THEN 'flagged' WHEN quality = 1 THEN 'quality' ELSE 'other' END AS tag, max(doc_id) AS evidence
 FROM @labels@ GROUP BY 1, 2""",
     "b_link": """
 SELECT page_id AS version_id, 0 AS pos, url, 'application/pdf' AS media_type FROM @pages@

@@ -1,13 +1,16 @@
 """Tagging by keywords and by vectors."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from billstream.functions.vectors import mean_pool
 from billstream.operators import tagging as G
 from billstream.operators.common import top_per_key
+from billstream.operators.tag_store import FILE, TagStore, tag_run
 from billstream.operators.tagging import Tag
 from billstream.plans.registry import query
-from billstream.session import saved
+from billstream.session import saved, state_dir
 
 KEYWORDS = ["then", "the", "que de", "der"]
 EDGE = "(^|[^\\p{L}\\p{N}_])"
@@ -103,6 +106,62 @@ def tag_job(t):
     return G.tag_job(entries, after_one, TAGS)
 
 
+# Two runs over entries of which every tenth bill id also stands in a second session, and some lines twice.
+STORE_SQL = f"""WITH k AS ({KEYWORD_TAGS_SQL}), n AS (SELECT doc_id, substring(state, 1, 2) AS state, session_id FROM documents JOIN b_bill ON bill_id = 'HB' || doc_id),
+  x AS (SELECT doc_id, state, session_id, FALSE AS extra FROM n UNION ALL SELECT doc_id, state, 'extra', TRUE FROM n WHERE doc_id % 10 = 0),
+  one AS (SELECT doc_id FROM k WHERE tag = 'water' AND doc_id % 3 <> 0),
+  s AS (SELECT x.*, tag, final_score, found, CASE WHEN NOT extra AND doc_id IN (SELECT doc_id FROM one) THEN 'run1' ELSE 'run2' END AS run FROM x JOIN k USING (doc_id)),
+  b AS (SELECT * FROM s WHERE run = 'run2' OR tag = 'water')"""
+
+
+def stored_runs(t):
+    """The store after two runs, and the lines that each run gave out."""
+    bills = t("b_bill").select("bill_id", F.substring("state", 1, 2).alias("state"), "session_id")
+    rows = t("b_text").select("bill_id", "text", "doc_id").join(bills, "bill_id").withColumn("line_no", F.col("doc_id"))
+    extra = rows.filter("doc_id % 10 = 0").withColumn("session_id", F.lit("extra"))
+    again = rows.filter("doc_id % 4 = 0").withColumns({"line_no": F.col("doc_id") + 1_000_000_000, "text": F.lit("nothing")})
+    store = TagStore(t.spark, state_dir(t.spark, f"tags-{uuid.uuid4().hex}"))
+    lines = [
+        tag_run(rows.filter("doc_id % 3 <> 0"), store, TAGS, "run1", only="water"),
+        tag_run(rows.unionByName(extra).unionByName(again), store, TAGS, "run2"),
+    ]
+    return store, lines
+
+
+@query("tag_store_bills", STORE_SQL + " SELECT state, session_id, tag, 'HB' || doc_id AS bill_id, sha256(text) AS text_hash, final_score, found FROM b JOIN documents USING (doc_id)")
+def tag_store_bills(t):
+    store, _ = stored_runs(t)
+    found = F.array_join("keyword_match", ",").alias("found")
+    return store.read("bills").select("state", "session_id", "tag", "bill_id", "text_hash", "final_score", found)
+
+
+@query(
+    "tag_store_files",
+    STORE_SQL
+    + """ SELECT state, session_id, tag, CASE WHEN bool_or(run = 'run2') THEN 'run2' ELSE 'run1' END AS last_run, 'keyword-fallback' AS model, count(DISTINCT sha256(text)) AS texts,
+  CASE tag WHEN 'water' THEN 0.8 WHEN 'road' THEN 0.55 ELSE 0.5 END AS threshold, TRUE AS hashed FROM b JOIN documents USING (doc_id) GROUP BY state, session_id, tag""",
+)
+def tag_store_files(t):
+    store, _ = stored_runs(t)
+    texts = store.read("texts").groupBy(*FILE).agg(F.count("*").alias("texts"))
+    threshold = F.get_json_object("tag_config", "$.threshold").cast("double").alias("threshold")
+    hashed = (F.sha2("tag_config", 256) == F.col("tag_config_hash")).alias("hashed")
+    return store.read("heads").join(texts, FILE).select(*FILE, "last_run", "model", "texts", threshold, hashed)
+
+
+@query(
+    "tag_store_lines",
+    STORE_SQL
+    + """, y AS (SELECT DISTINCT doc_id, session_id FROM s)
+  SELECT 1 AS run, doc_id AS line_no, session_id FROM n WHERE doc_id IN (SELECT doc_id FROM one)
+  UNION ALL SELECT 2, doc_id, session_id FROM y UNION ALL SELECT 2, doc_id + 1000000000, session_id FROM y WHERE doc_id % 4 = 0 AND session_id <> 'extra'""",
+)
+def tag_store_lines(t):
+    _, lines = stored_runs(t)
+    one, two = (df.select(F.lit(run).cast("bigint").alias("run"), "line_no", "session_id") for run, df in enumerate(lines, 1))
+    return one.unionByName(two)
+
+
 @query(
     "tag_vector_text",
     "SELECT item_id, CASE WHEN item_id % 3 = 0 THEN text ELSE text || ' Examples: ' || substring(text, 1, 10) || ' | ' || substring(text, 11, 10) END AS vector_text FROM benchmark",
@@ -212,6 +271,28 @@ def semantic_tags_fallback(t):
     return G.with_keyword_fallback(semantic, keyword, failed, "vec_id")
 
 
+@query(
+    "tag_job_semantic",
+    f"""WITH {SCORE_CTE}, f AS (SELECT vec_id, tag, final_score FROM s WHERE final_score >= threshold AND vec_id % 5 <> 0
+  UNION ALL SELECT vec_id, '0', 0.6 FROM txt WHERE k0 AND vec_id % 5 = 0 AND vec_id IN (SELECT vec_id FROM e)
+  UNION ALL SELECT vec_id, '1', 0.6 FROM txt WHERE k1 AND NOT x1 AND vec_id % 5 = 0 AND vec_id IN (SELECT vec_id FROM e)
+  UNION ALL SELECT vec_id, '2', 0.6 FROM txt WHERE k2 AND NOT x2 AND vec_id % 5 = 0 AND vec_id IN (SELECT vec_id FROM e))
+  SELECT tag, 'HB' || vec_id AS bill_id, round(final_score, 5) AS final_score, vec_id % 5 <> 0 AS by_vector FROM f""",
+)
+def tag_job_semantic(t):
+    # Every fifth entry has no vector; all of them go through one run with one plan.
+    vector = F.when(F.col("vec_id") % 5 != 0, F.col("embedding").cast("array<double>")).alias("vector")
+    texts = t("documents").select(F.col("doc_id").alias("vec_id"), "text")
+    entries = t("embeddings").select("vec_id", vector).join(texts, "vec_id").select(
+        F.lit("n00").alias("state"), F.lit("2024").alias("session_id"), F.concat(F.lit("HB"), F.col("vec_id").cast("string")).alias("bill_id"),
+        "text", "vector", F.col("vec_id").alias("line_no"),
+    )
+    store = TagStore(t.spark, state_dir(t.spark, f"tags-{uuid.uuid4().hex}"))
+    tag_run(entries, store, VECTOR_TAGS, "run1", vectors=G.store_tag_vectors(tag_vector_table(t), VECTOR_TAGS), model="given")
+    by_vector = F.col("base_embedding").isNotNull().alias("by_vector")
+    return store.read("bills").select("tag", "bill_id", F.round("final_score", 5).alias("final_score"), by_vector)
+
+
 @query(
     "example_max_similarity",
     f"WITH {VECTOR_CTE} SELECT vec_id, CAST(label AS VARCHAR) AS tag, round(best, 5) AS similarity FROM ex",
