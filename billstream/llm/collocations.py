@@ -13,9 +13,11 @@ which leaves out none that could be.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -168,24 +170,121 @@ def from_planes(raw: bytes) -> np.ndarray:
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 33
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+
+    def made(lang: str) -> Iterator[pa.RecordBatch]:
+        nonlocal number
+        raws = BREAK.join(held.pop(lang))
+        del sizes[lang]
+        for raw in _in_portions(raws):
+            coded = pa.array([BREAK, *tokens_of(raw), BREAK], pa.binary()).dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)  # 0: break, it comes first
+            codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
+            counts = np.bincount(codes, minlength=len(coded.dictionary))
+            # The usual words first: their codes have empty upper bytes.
+            order = np.concatenate([[0], 1 + np.argsort(-counts[1:], kind="stable")])
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            words = coded.dictionary.take(pa.array(order[1:]))
+            counts = counts[order[1:]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number]), pa.array([lang]), pa.array([int(counts.sum())], pa.int64()), pa.array([planes(rank[codes])], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([planes(counts)], pa.binary()),
+                ],
+                ["portion", "lang", "n", "codes", "words", "counts"],
+            )
+            number += 1
+
     for part in slices(batches, most=PORTION):
-        by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist()):
-            by_lang.setdefault(lang, []).append(text.encode())
-        for lang, texts in by_lang.items():
-            for raw in _in_portions(BREAK.join(texts)):
-                coded = pa.array([BREAK, *tokens_of(raw), BREAK], pa.binary()).dictionary_encode()
-                codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)  # 0: break, it comes first
-                codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-                counts = np.bincount(codes, minlength=len(coded.dictionary))[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number]), pa.array([lang]), pa.array([planes(codes)], pa.binary()),
-                        pa.array([coded.dictionary.to_pylist()[1:]], pa.list_(pa.binary())), pa.array([counts.tolist()], pa.list_(pa.int64())),
-                    ],
-                    ["portion", "lang", "codes", "words", "counts"],
-                )
-                number += 1
+            raw = text.encode()
+            held.setdefault(lang, []).append(raw)
+            sizes[lang] = sizes.get(lang, 0) + len(raw) + 1
+            if sizes[lang] >= PORTION:
+                yield from made(lang)
+        while sum(sizes.values()) > 2 * PORTION:
+            yield from made(max(sizes, key=sizes.__getitem__))
+    for lang in list(held):
+        yield from made(lang)
+
+
+# ---- words ------------------------------------------------------------------------------------
+
+
+def _word_pieces(shard_bits: int):
+    """The words of a portion, dealt out to shards by their checksum."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, counts = batch["words"][i].values, from_planes(batch["counts"][i].as_py())
+                shard = np.fromiter((crc32(w) for w in words.to_pylist()), np.int64, len(words)) & ((1 << shard_bits) - 1)
+                order = np.argsort(shard, kind="stable")
+                shards, first = np.unique(shard[order], return_index=True)
+                for s, places in zip(shards.tolist(), np.split(order, first[1:])):
+                    own = words.take(pa.array(places))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch["lang"].slice(i, 1), pa.array([s], pa.int32()), batch["portion"].slice(i, 1), pa.array([planes(places)], pa.binary()),
+                            pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([planes(counts[places])], pa.binary()),
+                        ],
+                        ["lang", "shard", "portion", "places", "words", "counts"],
+                    )
+
+    return deal
+
+
+WORDS = "lang string, shard int, portion long, places binary, ids binary, words array<binary>, counts binary"
+
+
+def _merged_words(shard_bits: int, least: int):
+    """Pieces sorted by language and shard: the frequent words with their ids, and those of each portion."""
+    schema = pa.schema(
+        [("lang", pa.string()), ("shard", pa.int32()), ("portion", pa.int64()), ("places", pa.binary()), ("ids", pa.binary()), ("words", pa.list_(pa.binary())), ("counts", pa.binary())]
+    )
+
+    def settled(lang: str, shard: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        words = pa.chunked_array([h[2] for h in held])
+        counts = np.concatenate([from_planes(h[3]) for h in held])
+        total = pa.table({"word": words, "count": counts}).group_by("word").aggregate([("count", "sum")])
+        total = total.filter(pc.greater_equal(total["count_sum"], least)).sort_by("word").combine_chunks()
+        if not len(total):
+            return
+        frequent, ids = total["word"], np.arange(len(total)) << shard_bits | shard
+        rows = [{"lang": lang, "shard": shard, "ids": planes(ids), "words": frequent.to_pylist(), "counts": planes(np.array(total["count_sum"]))}]
+        for portion, places, own, _ in held:
+            at = pc.index_in(own, value_set=frequent.chunk(0))
+            known = np.array(at.is_valid())
+            if known.any():
+                rank = at.drop_null().to_numpy()
+                rows.append({"lang": lang, "shard": shard, "portion": portion, "places": planes(from_planes(places)[known]), "ids": planes(ids[rank])})
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = (batch["lang"][i].as_py(), batch["shard"][i].as_py())
+                if key != at:
+                    if held:
+                        yield from settled(*at, held)
+                    at, held = key, []
+                own = pa.concat_arrays([batch["words"][i].values])
+                held.append((batch["portion"][i].as_py(), batch["places"][i].as_py(), own, batch["counts"][i].as_py()))
+        if held:
+            yield from settled(*at, held)
+
+    return merge
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = batch["words"][i].values
+            columns = [from_planes(batch[c][i].as_py()) for c in ("ids", "counts")]
+            yield pa.RecordBatch.from_arrays([pa.array(batch["lang"].slice(i, 1).to_pylist() * len(words), pa.string()), pa.array(columns[0]), words.cast(pa.string()), pa.array(columns[1])], ["lang", "id", "phrase", "f"])
 
 
 def _squeezed(tokens: np.ndarray, keep: np.ndarray) -> np.ndarray:
@@ -197,15 +296,15 @@ def _squeezed(tokens: np.ndarray, keep: np.ndarray) -> np.ndarray:
 def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Codes of a portion into ids of frequent words; -1 stands for all others and for breaks."""
     for batch in batches:
-        for portion, lang, codes, pairs in zip(*(batch[c] for c in ("portion", "lang", "codes", "pairs"))):
-            codes = from_planes(codes.as_py())
+        for i in range(batch.num_rows):
+            codes, found = from_planes(batch["codes"][i].as_py()), batch["found"][i].values
             ids = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
-            place, found = (pairs.values.field(c).to_numpy() for c in ("place", "id"))
-            ids[place + 1] = found
+            for places, own in zip(found.field("places").to_pylist(), found.field("ids").to_pylist()):
+                ids[from_planes(places) + 1] = from_planes(own)
             tokens = ids[codes]
             tokens = _squeezed(tokens, tokens >= 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([portion.as_py()]), pa.array([lang.as_py()]), pa.array([planes(tokens)], pa.binary()), pa.nulls(1, pa.binary())],
+                [batch["portion"].slice(i, 1), batch["lang"].slice(i, 1), pa.array([planes(tokens)], pa.binary()), pa.nulls(1, pa.binary())],
                 ["portion", "lang", "tokens", "grams"],
             )
 
@@ -342,30 +441,26 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     portions = stored(
-        in_arrow(rows, _portions, "portion long, lang string, codes binary, words array<binary>, counts array<long>"), "phrase-portions"
+        in_arrow(rows, _portions, "portion long, lang string, n long, codes binary, words array<binary>, counts binary"), "phrase-portions"
     )
-    own = portions.select("portion", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
-        "portion", "lang", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("count")
-    )
-    each = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)
-    totals = stored(portions.groupBy("lang").agg(F.sum(each).alias("n")), "phrase-totals")
-    frequent = own.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
+    totals = stored(portions.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    held = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shard_bits = max(1, (int(held) // shard).bit_length())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    # Partition and row number, packed: unique without a count on one task.
-    number, part_bits = F.monotonically_increasing_id(), max(1, (parts - 1).bit_length())
-    frequent = stored(frequent.repartition(parts, "lang", "word").withColumn("number", number), "phrase-words")
-    ident = F.shiftleft(F.col("number").bitwiseAND((1 << 33) - 1), part_bits).bitwiseOR(F.shiftright("number", 33))
-    words = stored(frequent.select("lang", ident.alias("id"), F.col("word").cast("string").alias("phrase"), "f"), "phrase-ids")
+    pieces = in_arrow(
+        portions.select("portion", "lang", "words", "counts"), _word_pieces(shard_bits),
+        "lang string, shard int, portion long, places binary, words array<binary>, counts binary",
+    )
+    dealt = pieces.repartition(parts, "lang", "shard").sortWithinPartitions("lang", "shard")
+    found = stored(in_arrow(dealt, _merged_words(shard_bits, least), WORDS), "phrase-words")
+    words = stored(in_arrow(found.where("portion is null").select("lang", "ids", "words", "counts"), _word_rows, "lang string, id long, phrase string, f long"), "phrase-ids")
     last = words.agg(F.max("id")).first()[0]
     levels = [words.select("lang", F.lit(1).alias("k"), "phrase", "f")]
     if last is None:
         return levels[0], totals
     word_bits = int(last).bit_length() or 1
-    back = own.join(words.select("lang", F.col("phrase").cast("binary").alias("word"), "id"), ["lang", "word"])
-    back = back.groupBy("portion").agg(F.collect_list(F.struct("place", "id")).alias("pairs"))
+    back = found.where("portion is not null").groupBy("portion").agg(F.collect_list(F.struct("places", "ids")).alias("found"))
     state = stored(in_arrow(portions.select("portion", "lang", "codes").join(back, "portion"), _with_ids, STATE), "phrase-tokens")
-    held = int(totals.agg(F.sum("n")).first()[0])
-    shard_bits = max(1, (held // shard).bit_length())
     prefix_bits, phrases = word_bits, words
     for k in range(2, longest + 1):
         bits = prefix_bits + word_bits
