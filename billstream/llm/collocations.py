@@ -153,21 +153,40 @@ def _in_portions(raw: bytes) -> Iterator[bytes]:
     yield raw[start:]
 
 
+def packed(raw: bytes) -> bytes:
+    """Entropy-coded, which Spark's own shuffle compression is not."""
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unpacked(raw: bytes) -> bytes:
+    size = int.from_bytes(raw[:8], "little")
+    return pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def planes(numbers: np.ndarray) -> bytes:
     """Integers from -1 on, byte place by byte place and with no more places than the largest needs."""
     up = (numbers + 1).astype("<u8")
     wide = max(1, -(-int(up.max(initial=0)).bit_length() // 8))
-    return bytes([wide]) + up.view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes()
+    return bytes([wide]) + packed(up.view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes())
 
 
 def from_planes(raw: bytes) -> np.ndarray:
     wide = raw[0]
-    places = np.frombuffer(raw, np.uint8, offset=1).reshape(wide, -1)
+    places = np.frombuffer(unpacked(raw[1:]), np.uint8).reshape(wide, -1)
     up = np.zeros((places.shape[1], 8), np.uint8)
     up[:, :wide] = places.T
     return up.view("<i8").ravel() - 1
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    return packed(BREAK.join(words))
+
+
+def unpack_words(raw: bytes) -> list[bytes]:
+    words = unpacked(raw)
+    return words.split(BREAK) if words else []
+
+
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 33
     held: dict[str, list[bytes]] = {}
@@ -186,12 +205,12 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.concatenate([[0], 1 + np.argsort(-counts[1:], kind="stable")])
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            words = coded.dictionary.take(pa.array(order[1:]))
+            words = coded.dictionary.take(pa.array(order[1:])).to_pylist()
             counts = counts[order[1:]]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number]), pa.array([lang]), pa.array([int(counts.sum())], pa.int64()), pa.array([planes(rank[codes])], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([planes(counts)], pa.binary()),
+                    pa.array([pack_words(words)], pa.binary()), pa.array([planes(counts)], pa.binary()),
                 ],
                 ["portion", "lang", "n", "codes", "words", "counts"],
             )
@@ -219,16 +238,18 @@ def _word_pieces(shard_bits: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words, counts = batch["words"][i].values, from_planes(batch["counts"][i].as_py())
-                shard = np.fromiter((crc32(w) for w in words.to_pylist()), np.int64, len(words)) & ((1 << shard_bits) - 1)
-                order = np.argsort(shard, kind="stable")
-                shards, first = np.unique(shard[order], return_index=True)
-                for s, places in zip(shards.tolist(), np.split(order, first[1:])):
-                    own = words.take(pa.array(places))
+                words, counts = unpack_words(batch["words"][i].as_py()), from_planes(batch["counts"][i].as_py())
+                dealt: dict[int, list[tuple[bytes, int]]] = {}
+                for place, word in enumerate(words):
+                    dealt.setdefault(crc32(word) & ((1 << shard_bits) - 1), []).append((word, place))
+                for s, both in dealt.items():
+                    # In order, neighbours are alike and take little room.
+                    both.sort()
+                    places = np.array([place for _, place in both])
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch["lang"].slice(i, 1), pa.array([s], pa.int32()), batch["portion"].slice(i, 1), pa.array([planes(places)], pa.binary()),
-                            pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([planes(counts[places])], pa.binary()),
+                            pa.array([pack_words([word for word, _ in both])], pa.binary()), pa.array([planes(counts[places])], pa.binary()),
                         ],
                         ["lang", "shard", "portion", "places", "words", "counts"],
                     )
@@ -236,25 +257,25 @@ def _word_pieces(shard_bits: int):
     return deal
 
 
-WORDS = "lang string, shard int, portion long, places binary, ids binary, words array<binary>, counts binary"
+WORDS = "lang string, shard int, portion long, places binary, ids binary, words binary, counts binary"
 
 
 def _merged_words(shard_bits: int, least: int):
     """Pieces sorted by language and shard: the frequent words with their ids, and those of each portion."""
     schema = pa.schema(
-        [("lang", pa.string()), ("shard", pa.int32()), ("portion", pa.int64()), ("places", pa.binary()), ("ids", pa.binary()), ("words", pa.list_(pa.binary())), ("counts", pa.binary())]
+        [("lang", pa.string()), ("shard", pa.int32()), ("portion", pa.int64()), ("places", pa.binary()), ("ids", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())]
     )
 
     def settled(lang: str, shard: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        words = pa.chunked_array([h[2] for h in held])
+        words = pa.chunked_array([pa.array(unpack_words(h[2]), pa.binary()) for h in held])
         counts = np.concatenate([from_planes(h[3]) for h in held])
         total = pa.table({"word": words, "count": counts}).group_by("word").aggregate([("count", "sum")])
         total = total.filter(pc.greater_equal(total["count_sum"], least)).sort_by("word").combine_chunks()
         if not len(total):
             return
         frequent, ids = total["word"], np.arange(len(total)) << shard_bits | shard
-        rows = [{"lang": lang, "shard": shard, "ids": planes(ids), "words": frequent.to_pylist(), "counts": planes(np.array(total["count_sum"]))}]
-        for portion, places, own, _ in held:
+        rows = [{"lang": lang, "shard": shard, "ids": planes(ids), "words": pack_words(frequent.to_pylist()), "counts": planes(np.array(total["count_sum"]))}]
+        for own, (portion, places, _, _) in zip(words.chunks, held):
             at = pc.index_in(own, value_set=frequent.chunk(0))
             known = np.array(at.is_valid())
             if known.any():
@@ -271,8 +292,7 @@ def _merged_words(shard_bits: int, least: int):
                     if held:
                         yield from settled(*at, held)
                     at, held = key, []
-                own = pa.concat_arrays([batch["words"][i].values])
-                held.append((batch["portion"][i].as_py(), batch["places"][i].as_py(), own, batch["counts"][i].as_py()))
+                held.append(tuple(batch[c][i].as_py() for c in ("portion", "places", "words", "counts")))
         if held:
             yield from settled(*at, held)
 
@@ -282,7 +302,7 @@ def _merged_words(shard_bits: int, least: int):
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            words = batch["words"][i].values
+            words = pa.array(unpack_words(batch["words"][i].as_py()), pa.binary())
             columns = [from_planes(batch[c][i].as_py()) for c in ("ids", "counts")]
             yield pa.RecordBatch.from_arrays([pa.array(batch["lang"].slice(i, 1).to_pylist() * len(words), pa.string()), pa.array(columns[0]), words.cast(pa.string()), pa.array(columns[1])], ["lang", "id", "phrase", "f"])
 
@@ -335,10 +355,10 @@ def _counted(k: int, word_bits: int, bits: int, shard_bits: int):
                 shards, first = np.unique((keys >> np.uint64(bits - shard_bits)).astype(np.int32), return_index=True)
                 low = keys & np.uint64((1 << (bits - shard_bits)) - 1)
                 ends = [*first[1:].tolist(), len(keys)]
-                packed = [pack_filter(low[a:b], counts[a:b], bits - shard_bits) for a, b in zip(first.tolist(), ends)]
-                n = len(packed)
+                filters = [pack_filter(low[a:b], counts[a:b], bits - shard_bits) for a, b in zip(first.tolist(), ends)]
+                n = len(filters)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(batch["lang"].slice(i, 1).to_pylist() * n, pa.string()), pa.array(shards), pa.array(batch["portion"].slice(i, 1).to_pylist() * n, pa.int64()), pa.array(packed, pa.binary())],
+                    [pa.array(batch["lang"].slice(i, 1).to_pylist() * n, pa.string()), pa.array(shards), pa.array(batch["portion"].slice(i, 1).to_pylist() * n, pa.int64()), pa.array(filters, pa.binary())],
                     ["lang", "shard", "portion", "filter"],
                 )
 
@@ -362,12 +382,12 @@ def _merged_shards(bits: int, shard_bits: int, least: int):
         keys, counts = merge_counts([unpack_filter(raw, own) for _, raw in held])
         frequent, counts = keys[counts >= least], counts[counts >= least]
         whole = restored(frequent | np.uint64(shard) << np.uint64(own), bits).tobytes()
-        rows = [{"lang": lang, "shard": shard, "keys": whole, "ranks": np.arange(len(frequent)).tobytes(), "counts": counts.tobytes()}]
+        rows = [{"lang": lang, "shard": shard, "keys": packed(whole), "ranks": planes(np.arange(len(frequent))), "counts": planes(counts)}]
         for portion, raw in held if len(frequent) else []:
             rank = np.nonzero(np.isin(frequent, unpack_filter(raw, own)[0], assume_unique=True))[0]
             if len(rank):
                 some = restored(frequent[rank] | np.uint64(shard) << np.uint64(own), bits)
-                rows.append({"lang": lang, "shard": shard, "portion": portion, "keys": some.tobytes(), "ranks": rank.tobytes()})
+                rows.append({"lang": lang, "shard": shard, "portion": portion, "keys": packed(some.tobytes()), "ranks": planes(rank)})
         return pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,14 +412,14 @@ def _lengthened(k: int, word_bits: int, shard_bits: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 found = batch["found"][i].values
-                keys = np.concatenate([np.frombuffer(x, np.uint64) for x in found.field("keys").to_pylist()])
-                ranks = [np.frombuffer(x, np.int64) << shard_bits | s for x, s in zip(found.field("ranks").to_pylist(), found.field("shard").to_pylist())]
+                keys = np.concatenate([np.frombuffer(unpacked(x), np.uint64) for x in found.field("keys").to_pylist()])
+                ranks = [from_planes(x) << shard_bits | s for x, s in zip(found.field("ranks").to_pylist(), found.field("shard").to_pylist())]
                 order = np.argsort(keys)
                 keys, ids = keys[order], np.concatenate(ranks)[order]
                 tokens, grams = _numbers(batch, i)
-                start, packed = _packed(tokens, grams, k, word_bits)
-                place = np.minimum(np.searchsorted(keys, packed), len(keys) - 1)
-                known = keys[place] == packed
+                start, grams_here = _packed(tokens, grams, k, word_bits)
+                place = np.minimum(np.searchsorted(keys, grams_here), len(keys) - 1)
+                known = keys[place] == grams_here
                 longer = np.full(len(tokens), -1, np.int64)
                 longer[start[known]] = ids[place[known]]
                 change = np.zeros(len(tokens) + 1, np.int64)
@@ -423,10 +443,10 @@ def _spread(word_bits: int, shard_bits: int):
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, shard, keys, ranks, counts in zip(*(batch[c].to_pylist() for c in ("lang", "shard", "keys", "ranks", "counts"))):
-                keys = np.frombuffer(keys, np.int64)
-                ids = np.frombuffer(ranks, np.int64) << shard_bits | shard
+                keys = np.frombuffer(unpacked(keys), np.int64)
+                ids = from_planes(ranks) << shard_bits | shard
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(ids), pa.array(keys >> word_bits), pa.array(keys & ((1 << word_bits) - 1)), pa.array(np.frombuffer(counts, np.int64))],
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(ids), pa.array(keys >> word_bits), pa.array(keys & ((1 << word_bits) - 1)), pa.array(from_planes(counts))],
                     ["lang", "id", "prefix", "word", "f"],
                 )
 
@@ -441,7 +461,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     portions = stored(
-        in_arrow(rows, _portions, "portion long, lang string, n long, codes binary, words array<binary>, counts binary"), "phrase-portions"
+        in_arrow(rows, _portions, "portion long, lang string, n long, codes binary, words binary, counts binary"), "phrase-portions"
     )
     totals = stored(portions.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     held = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -449,7 +469,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     pieces = in_arrow(
         portions.select("portion", "lang", "words", "counts"), _word_pieces(shard_bits),
-        "lang string, shard int, portion long, places binary, words array<binary>, counts binary",
+        "lang string, shard int, portion long, places binary, words binary, counts binary",
     )
     dealt = pieces.repartition(parts, "lang", "shard").sortWithinPartitions("lang", "shard")
     found = stored(in_arrow(dealt, _merged_words(shard_bits, least), WORDS), "phrase-words")
