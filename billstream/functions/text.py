@@ -115,11 +115,8 @@ def decode_entities(text: Column) -> Column:
     parts = F.split(F.regexp_replace(F.replace(text, F.lit(ENTITY_MARK), F.lit("")), ENTITY, f"{ENTITY_MARK}$1{ENTITY_MARK}"), ENTITY_MARK, -1)
 
     def decoded(name: Column) -> Column:
-        digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7))
-        code = digits.cast("int")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        number = F.when(code.between(128, 159), F.coalesce(F.try_element_at(_fixed_map(C1_CHARS), code.cast("string")), number)).otherwise(number)
+        code = _entity_number(name)
+        number = F.when(code.between(128, 159), F.coalesce(F.try_element_at(_fixed_map(C1_CHARS), code.cast("string")), _char(code))).otherwise(_char(code))
         found = F.when(F.startswith(name, F.lit("#")), number).otherwise(_named_entities(name))
         return F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";")))
 
@@ -127,6 +124,29 @@ def decode_entities(text: Column) -> Column:
     return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, decoded(x)).otherwise(x)), "")
 
 
+def _entity_number(name: Column) -> Column:
+    digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7))
+    return digits.cast("int")
+
+
+def _char(code: Column) -> Column:
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def decode_xml_entities(text: Column) -> Column:
+    """The five names and the numbers of XML, each once, in text of a well-formed document."""
+    parts = F.split(text, "&", -1)
+
+    def decoded(part: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        names = F.create_map(*[F.lit(x) for x in ("lt", "<", "gt", ">", "amp", "&", "quot", '"', "apos", "'")])
+        found = F.when(F.startswith(name, F.lit("#")), _char(_entity_number(name))).otherwise(F.try_element_at(names, name))
+        return F.concat(F.coalesce(found, F.concat(F.lit("&"), name, F.lit(";"))), F.substr(part, F.length(name) + 2))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(decoded(x))), "")).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
     """Readable text: scripts, styles, comments and tags out, blanks collapsed."""
     text = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>", "")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from billstream.functions.text import extracted_name, html_title, html_to_text, media_ext, safe_filename
+from billstream.functions.text import decode_xml_entities, extracted_name, html_title, html_to_text, media_ext, safe_filename
 from billstream.operators.common import top_per_key
 
 # Media types from best to worst.
@@ -163,11 +163,19 @@ def strike_text(chars: DataFrame) -> DataFrame:
 
 # -- mark-up ------------------------------------------------------------------------------
 
-#: Set within section elements, at their begin and end; cannot stand in XML.
-SECTION_OPEN, SECTION_CLOSE = "\ue000", "\ue001"
+#: Signs that stand for tags in a text; none of them can stand in XML.
+SECTION_OPEN, SECTION_CLOSE, TITLE_OPEN, OFFICIAL_OPEN, TAG = "\x01", "\x02", "\x03", "\x04", "\x05"
+MARKS = SECTION_OPEN + SECTION_CLOSE + TITLE_OPEN + OFFICIAL_OPEN + TAG
+NAMED_OPEN = {"section": SECTION_OPEN, "title": TITLE_OPEN, "official-title": OFFICIAL_OPEN}
 #: An element around a document, so that a parse sees what follows the document's own.
 OUTER = "outer-element-of-the-check"
-SECTION_TAG = r"""(<section(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?(?<!/)>)"""
+QUOTED = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+DOCTYPE = r"""<!DOCTYPE(?:[^\[>"']++|"[^"]*+"|'[^']*+'|\[(?:[^\]"'<]++|"[^"]*+"|'[^']*+'|<!--.*?-->|<(?!!--)(?:[^>"']++|"[^"]*+"|'[^']*+')*+>)*+\])*+>"""
+#: Comments, CDATA, instructions, the document type, tags and the text between them.
+TOKEN = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|{DOCTYPE}|</?[^\s<>/!?]{QUOTED}>|[^<]+|<"
+ENTITY_OF_TYPE = r"""<!ENTITY\s+([^\s%"']+)\s+(?:"([^"]*)"|'([^']*)')\s*>"""
+#: Characters that a document may grow to by its own entities, beyond ten times its size.
+MOST_GROWTH = 1_000_000
 
 
 def _bound(value: Column, use) -> Column:
@@ -175,9 +183,19 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _sections(text: Column, root_is_section: Column) -> Column:
-    """Texts of marked sections in document order; an outer section holds its inner ones."""
-    plain = lambda part: F.translate(part, SECTION_OPEN + SECTION_CLOSE, "")
+def _until_mark(text: Column) -> Column:
+    return F.regexp_extract(text, f"^[^{MARKS}]*", 0)
+
+
+def _sections(marked: Column) -> Column:
+    """Texts of sections in document order, each with the text that follows it up to the next tag; an
+    outer section holds its inner ones."""
+    plain = lambda part: F.trim(F.translate(part, MARKS, ""), F.lit(BLANKS))
+
+    def with_tail(part: Column, closes: Column) -> Column:
+        """A part up to its end mark of that number, and the text after it."""
+        own = F.call_function("substring_index", part, F.lit(SECTION_CLOSE), closes)
+        return F.concat(own, _until_mark(F.substr(part, F.length(own) + 2)))
 
     def of(parts: Column) -> Column:
         def section(part: Column, i: Column) -> Column:
@@ -188,50 +206,123 @@ def _sections(text: Column, root_is_section: Column) -> Column:
 
                 def add(seen: Column, x: Column) -> Column:
                     depth = seen.depth + 1 - closes(x)
-                    cut = F.call_function("substring_index", x, F.lit(SECTION_CLOSE), seen.depth + 1)
-                    return F.when(seen.ended, seen).otherwise(
-                        F.struct(depth.alias("depth"), F.concat(seen.text, F.when(depth <= 0, cut).otherwise(x)).alias("text"), (depth <= 0).alias("ended"))
-                    )
+                    text = F.concat(seen.text, F.when(depth <= 0, with_tail(x, seen.depth + 1)).otherwise(x))
+                    return F.when(seen.ended, seen).otherwise(F.struct(depth.alias("depth"), text.alias("text"), (depth <= 0).alias("ended")))
 
                 return F.aggregate(F.slice(parts, i + 1, F.size(parts)), first, add).text
 
-            own = F.when(F.contains(part, F.lit(SECTION_CLOSE)), F.substring_index(part, SECTION_CLOSE, 1)).otherwise(outer())
-            return F.when(i == 0, "").otherwise(F.trim(plain(own), F.lit(BLANKS)))
+            return F.when(F.contains(part, F.lit(SECTION_CLOSE)), with_tail(part, F.lit(1))).otherwise(outer())
 
-        every = F.transform(parts, section)
-        inner = F.slice(every, F.when(root_is_section, 3).otherwise(2), F.size(every))
-        return F.filter(inner, lambda x: x != "")
+        return F.filter(F.transform(F.slice(F.transform(parts, section), 2, F.size(parts)), plain), lambda x: x != "")
 
-    return _bound(F.split(text, SECTION_OPEN, -1), of)
+    return _bound(F.split(marked, SECTION_OPEN, -1), of)
 
 
 def _corrupt(xml: Column) -> Column:
-    """Whether a permissive parse, which ends with the first element, stumbles."""
+    """Whether a permissive parse stumbles; it never fails."""
     return F.from_xml(xml, "_none STRING, _corrupt_record STRING", {"mode": "PERMISSIVE"})["_corrupt_record"].isNotNull()
 
 
+def _is(token: Column, kind: str) -> Column:
+    return F.startswith(token, F.lit(kind))
+
+
+def _name(token: Column) -> Column:
+    return F.regexp_extract(token, r"^</?([^\s<>/]+)", 1)
+
+
+def _is_start(token: Column) -> Column:
+    return _is(token, "<") & ~_is(token, "<!") & ~_is(token, "<?") & ~_is(token, "</")
+
+
+def _read(token: Column) -> Column:
+    """The text of a token, or the mark that stands for a tag."""
+    name, ended = _name(token), F.endswith(token, F.lit("/>"))
+    closing = F.when(name == "section", SECTION_CLOSE).otherwise(TAG)
+    opening = F.lit(TAG)
+    for known, mark in NAMED_OPEN.items():
+        opening = F.when(name == known, mark).otherwise(opening)
+    return (
+        F.when(~_is(token, "<"), decode_xml_entities(token))
+        .when(_is(token, "<![CDATA["), F.substr(token, F.lit(10), F.length(token) - 12))
+        .when(_is(token, "<!") | _is(token, "<?"), "")
+        .when(_is(token, "</"), closing)
+        .otherwise(F.concat(opening, F.when(ended, closing).otherwise("")))
+    )
+
+
+def _one_root(tokens: Column) -> Column:
+    """Whether one element holds all text, and the document type stands before it."""
+
+    def add(seen: Column, token: Column) -> Column:
+        start = _is_start(token)
+        top = seen.depth == 0
+        change = F.when(_is(token, "</"), -1).when(start & ~F.endswith(token, F.lit("/>")), 1).otherwise(0)
+        text = ~_is(token, "<") & (F.trim(token, F.lit(" \t\r\n")) != "")
+        stray = (top & (text | _is(token, "<![CDATA["))) | (_is(token, "<!DOCTYPE") & (~top | (seen.roots > 0)))
+        return F.struct(
+            (seen.depth + change).alias("depth"), (seen.roots + (start & top).cast("int")).alias("roots"), (seen.stray | stray).alias("stray")
+        )
+
+    first = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("roots"), F.lit(False).alias("stray"))
+    return F.aggregate(tokens, first, add, lambda s: (s.roots == 1) & (s.depth == 0) & ~s.stray)
+
+
+def _prefixes_known(tokens: Column) -> Column:
+    """Whether every prefix of an element is declared by some element."""
+    starts = F.filter(tokens, lambda t: _is_start(t) & F.contains(t, F.lit(":")))
+    used = F.filter(F.transform(starts, lambda t: F.regexp_extract(t, r"^<([^\s<>/:]+):", 1)), lambda p: p != "")
+    declared = F.flatten(F.transform(starts, lambda t: F.regexp_extract_all(t, F.lit(r"\sxmlns:([^\s=]+)\s*="), F.lit(1))))
+    return F.size(F.array_except(used, F.concat(declared, F.array(F.lit("xml"))))) == 0
+
+
+def _with_own_entities(doc: Column) -> Column:
+    """The document with the entities put in that its type declares, the last one first."""
+
+    def put_in(kind: Column) -> Column:
+        names, one, two = (F.regexp_extract_all(kind, F.lit(ENTITY_OF_TYPE), F.lit(i)) for i in (1, 2, 3))
+        pairs = F.reverse(F.zip_with(names, F.zip_with(one, two, lambda a, b: F.concat(a, b)), lambda n, v: F.struct(F.concat(F.lit("&"), n, F.lit(";")).alias("ref"), v.alias("value"))))
+        most = F.length(doc) * 10 + MOST_GROWTH
+
+        def replaced(text: Column, pair: Column) -> Column:
+            uses = (F.length(text) - F.length(F.replace(text, pair["ref"], F.lit("")))) / F.length(pair["ref"])
+            fits = F.length(text) + uses * F.length(pair["value"]) <= most
+            # What does not fit stays a reference, which no parse knows.
+            return F.when(fits, F.replace(text, pair["ref"], pair["value"])).otherwise(text)
+
+        return F.aggregate(pairs, F.replace(doc, kind, F.lit("<!DOCTYPE x>")), replaced)
+
+    kind = F.regexp_extract(doc, rf"(?s){DOCTYPE}", 0)
+    return F.when(F.contains(doc, F.lit("<!ENTITY")), _bound(kind, lambda k: F.when(k != "", put_in(k)).otherwise(doc))).otherwise(doc)
+
+
 def xml_bill_text(xml: Column) -> Column:
     """Titles, sections and text of bill XML; ``error`` is set for damaged or missing input.
 
-    A permissive parse tells damaged documents apart, so that the paths below meet sound ones only.
+    Tags are told apart from text by one pass of a pattern, and one permissive parse tells whether
+    the document is sound, so that no document can fail a job. A section's text goes on to the tag
+    after its end; a title's ends with its first element. Elements in a default namespace of the root
+    have other names and are not found.
     """
-    given = F.translate(F.coalesce(xml, F.lit("")), SECTION_OPEN + SECTION_CLOSE, "")
-
-    def parsed(doc: Column) -> Column:
-        marked = F.regexp_replace(F.regexp_replace(doc, SECTION_TAG, f"$1{SECTION_OPEN}"), r"</section\s*>", f"{SECTION_CLOSE}$0")
-        whole = F.xpath_string(marked, F.lit("/*"))
-        head = lambda name: F.trim(F.xpath_string(doc, F.lit(f"(/*//{name})[1]/node()[1][self::text()]")), F.lit(BLANKS))
-        root = F.xpath_string(doc, F.lit("name(/*)")) == "section"
-        return _bound(
-            whole,
-            lambda text: F.struct(
-                head("title").alias("title"),
-                head("official-title").alias("official_title"),
-                _sections(text, root).alias("sections"),
-                F.trim(F.translate(text, SECTION_OPEN + SECTION_CLOSE, ""), F.lit(BLANKS)).alias("raw_text"),
+
+    def read(tokens: Column) -> Column:
+        # The root itself is neither a title nor a section.
+        joined = F.regexp_replace(F.array_join(F.transform(tokens, _read), ""), f"^([^{MARKS}]*)[{MARKS}]", f"$1{TAG}")
+        root = F.get(F.filter(tokens, _is_start), F.lit(0))
+        named = F.regexp_like(root, F.lit(r"""\sxmlns\s*=\s*(?:"[^"]|'[^'])"""))
+        marked = F.when(named, F.translate(joined, MARKS, TAG * len(MARKS))).otherwise(joined)
+
+        def parts(text: Column) -> Column:
+            first = lambda mark: F.trim(F.regexp_extract(text, f"{mark}([^{MARKS}]*)", 1), F.lit(BLANKS))
+            return F.struct(
+                first(TITLE_OPEN).alias("title"),
+                first(OFFICIAL_OPEN).alias("official_title"),
+                _sections(text).alias("sections"),
+                F.trim(F.translate(text, MARKS, ""), F.lit(BLANKS)).alias("raw_text"),
                 F.lit(None).cast("string").alias("error"),
-            ),
-        )
+            )
+
+        return _bound(marked, parts)
 
     nothing = F.struct(
         *[F.lit(None).cast("string").alias(n) for n in ("title", "official_title")],
@@ -240,19 +331,14 @@ def xml_bill_text(xml: Column) -> Column:
         F.lit("not well-formed").alias("error"),
     )
 
-    def checked(doc: Column) -> Column:
-        # Nothing but comments may follow the first element, which only a parse within another one tells.
-        wrapped = F.concat(F.lit(f"<{OUTER}>"), F.regexp_replace(doc, r"^\s*<\?xml[^>]*\?>", ""), F.lit(f"</{OUTER}>"))
-        alone = F.xpath_boolean(wrapped, F.lit(f"count(/{OUTER}/*) = 1 and not(/{OUTER}/text()[normalize-space()])"))
-        bad = (
-            F.when((F.trim(doc) == "") | F.contains(doc, F.lit(f"</{OUTER}")) | _corrupt(doc), True)
-            .when(F.contains(doc, F.lit("<!DOCTYPE")), False)
-            .when(_corrupt(wrapped), True)
-            .otherwise(~alone)
-        )
-        return F.when(bad, nothing).otherwise(parsed(doc))
+    def checked(tokens: Column) -> Column:
+        inner = F.array_join(F.filter(tokens, lambda t: ~_is(t, "<!DOCTYPE")), "")
+        wrapped = F.concat(F.lit(f"<{OUTER}>"), F.regexp_replace(inner, r"(?s)^<\?xml\s.*?\?>", ""), F.lit(f"</{OUTER}>"))
+        sound = ~F.exists(tokens, lambda t: _is(t, f"</{OUTER}")) & _one_root(tokens) & _prefixes_known(tokens)
+        return F.when(F.when(sound, ~_corrupt(wrapped)).otherwise(False), read(tokens)).otherwise(nothing)
 
-    return _bound(given, checked)
+    text = F.regexp_replace(F.coalesce(xml, F.lit("")), "\r\n?", "\n")
+    return _bound(_with_own_entities(text), lambda doc: _bound(F.regexp_extract_all(doc, F.lit(TOKEN), F.lit(0)), checked))
 
 
 def extract_texts(docs: DataFrame) -> DataFrame:

@@ -85,6 +85,28 @@ def xml_bill_text(t):
     )
 
 
+CLEAN_SQL = "regexp_replace(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\r\\x{fffe}\\x{ffff}]', ' ', 'g')"
+
+
+@query(
+    "xml_bill_parts",
+    f"""WITH c AS (SELECT doc_id, {CLEAN_SQL} AS clean, doc_id % 10 IN (0, 7) AS failed, CASE WHEN doc_id % 10 = 5 THEN ' by the house' ELSE '' END AS who FROM documents)
+  SELECT doc_id, failed, CASE WHEN NOT failed THEN array_to_string(list_filter([trim(clean, '{D.BLANKS}'), 'End of it' || who || ' tail'], lambda x: x <> ''), '@@') END AS sections,
+  CASE WHEN NOT failed THEN trim(' T' || doc_id || ' Act' || clean || ' End of it' || who || ' tail', '{D.BLANKS}') END AS raw_text FROM c""",
+)
+def xml_bill_parts(t):
+    # Every way of writing the same bill: a document type, CDATA with tags in comments, an own entity; two kinds are damaged.
+    kind = F.col("doc_id") % 10
+    made = bill_xml(t).select("doc_id", F.regexp_replace("xml", "</bil>|</bill>", "").alias("xml"), "clean")
+    made = made.withColumn("xml", F.when(kind == 3, F.concat(F.substring_index("xml", "<section>", 1), F.lit("<section><![CDATA["), "clean", F.lit("]]><!-- <section>no</section> --></section><section> </section><section><b>End</b> of it</section>"))).otherwise(F.col("xml")))
+    made = made.withColumn("xml", F.when(kind == 5, F.replace("xml", F.lit("</b> of it"), F.lit("</b> of it by &who;"))).otherwise(F.col("xml")))
+    head = F.when(kind == 5, "<!DOCTYPE bill [<!ENTITY who 'the house'>]>").when(kind % 4 == 3, "<!DOCTYPE bill>").otherwise("")
+    end = F.when(kind == 0, "</bil>").when(kind == 7, "</bill><junk").otherwise("</bill>")
+    whole = F.concat(head, F.col("xml"), F.lit(" tail"), end)
+    parsed = made.select("doc_id", D.xml_bill_text(whole).alias("x"))
+    return parsed.select("doc_id", F.col("x.error").isNotNull().alias("failed"), F.array_join("x.sections", "@@").alias("sections"), "x.raw_text")
+
+
 # Structure of whole texts: trimmed lines, the title line taken out, a running section number.
 BLANKS_SQL = D.BLANKS
 STRUCTURE_CTE = """l AS (SELECT doc_id, i, line FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i,

@@ -303,6 +303,12 @@ XML_CASES = [
     "<b><title/><official-title>O<i>x</i></official-title>&amp;&lt;sec&gt;<x><title>late</title></x></b>",
     "<b><sections>no</sections><section\n>\u00a0é\n</section ></b>", "<b/>", "<?xml version='1.0'?><b>t</b>",
     "<b><section>1<section>2<section>3</section></section>4</section><section>5</section></b>",
+    "<s><section>b</section>c<x/>d</s>", "<s><section>a<section>b</section>tail<i>x</i>y</section>z<!-- no --> w<i/>v</s>",
+    "<b><![CDATA[<section> x]]> &amp; <![CDATA[a]]>b<section>s<![CDATA[</section>]]>t</section></b>",
+    "<!DOCTYPE bill [<!ENTITY who 'the <i>house</i>'><!ENTITY all \"&who; and &#x53;enate\"> <!ELEMENT a (b)> <!-- > ] -->]><bill><section>&all;</section>&who;</bill>",
+    "<!DOCTYPE bill SYSTEM 'bill.dtd'>\n<bill><section>x</section></bill>\n<!-- end -->", "<?xml version='1.0'?>\n<?style a='<section>'?><b><!-- <section>no</section> --><section>y</section></b>",
+    "<b xmlns='urn:x'><title>t</title><section>z</section></b>", "<b xmlns:p='urn:x'><p:section>q</p:section><title>t<!-- c -->u</title></b>",
+    "<b>line\r\nbreak &#13; &#233;&#x1F600; &quot;&apos;</b>", "<b a='>' c=\"' > \"><section d='/>'>e</section></b>",
 ]
 
 
@@ -310,14 +316,18 @@ XML_CASES = [
 def test_xml_parts_equal_a_plain_parser(spark, xml):
     root = ElementTree.fromstring(xml)
     got = spark.createDataFrame([(xml,)], "x STRING").select(D.xml_bill_text(F.col("x")).alias("r")).first().r
-    texts = ["".join(s.itertext()).strip() for s in root.iterfind(".//section")]
+    # The plain way: a section's text goes on to the next tag.
+    texts = [ElementTree.tostring(s, encoding="unicode", method="text").strip() for s in root.iterfind(".//section")]
     assert got.sections == [t for t in texts if t]
     assert got.raw_text == "".join(root.itertext()).strip() and got.error is None
     assert got.title == (root.findtext(".//title") or "").strip()
     assert got.official_title == (root.findtext(".//official-title") or "").strip()
 
 
-@pytest.mark.parametrize("xml", ["", " ", "no xml", "<a><b></a>", "<a>", "<a/><b/>", "<a/><b>", f"<a/></{D.OUTER}><{D.OUTER}>", "<a/>x", "<a/>x<!-- y -->", "<a>&nosuch;</a>", "<a x=1/>", "<a>x</a", "<a>]]></a>x<"])
+@pytest.mark.parametrize("xml", ["", " ", "no xml", "<a><b></a>", "<a>", "<a/><b/>", "<a/><b>", f"<a/></{D.OUTER}><{D.OUTER}>", "<a/>x", "<a/>x<!-- y -->", "<a>&nosuch;</a>", "<a x=1/>", "<a>x</a", "<a>]]></a>x<",
+    "<!DOCTYPE bill><bill>x</bill><junk", "<!DOCTYPE bill><bill>x</bill><junk/>", "<!DOCTYPE b [<!ENTITY a 'x'><b>&a;</b>", "<a/><!DOCTYPE a>", "<a><!DOCTYPE a></a>",
+    "<!DOCTYPE b [<!ENTITY a 'x'>]><b>&c;</b>", "<a><![CDATA[x</a>", "<a><!-- x</a>", "<![CDATA[x]]><a/>", "<a>\x01</a>", "<a>&#1;</a>", "<p:a/>", "<a x='1' x='2'/>", "<a x='<'/>", " <?xml version='1.0'?><a/>",
+    "<!DOCTYPE b [<!ENTITY a '" + "x" * 1000 + "'>" + "".join(f"<!ENTITY {b} '{f'&{a};' * 100}'>" for a, b in zip("abcdef", "bcdefg")) + "]><b>&g;</b>"])
 def test_damaged_xml_is_an_error(spark, xml):
     got = spark.createDataFrame([(xml,), ("<a>good</a>",)], "x STRING").select(D.xml_bill_text(F.col("x")).alias("r")).collect()
     assert got[0].r.error and got[0].r.raw_text is None and got[1].r.raw_text == "good"
