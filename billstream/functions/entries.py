@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from billstream.functions.variants import bound, items, members
+
 
 def _labelled(label: str, value: Column) -> Column:
     return F.concat(F.lit(label), value)
@@ -52,21 +54,8 @@ DENIED_KEYS = (
 NODE = "struct<value:variant,text:string>"
 
 
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is evaluated once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def _members(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>")
-
-
-def _items(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
 def _holds_more(value: Column) -> Column:
-    return _members(value).isNotNull() | _items(value).isNotNull()
+    return members(value).isNotNull() | items(value).isNotNull()
 
 
 def _string(value: Column) -> Column:
@@ -90,23 +79,23 @@ def _leaf_if(text: Column) -> Column:
     return F.coalesce(F.when(text.isNotNull(), F.array(_leaf(text))), _no_nodes())
 
 
-def _text_at(members: Column, key: str) -> Column:
-    return _bound(_string(F.try_element_at(members, F.lit(key))), _leaf_if)
+def _text_at(own: Column, key: str) -> Column:
+    return bound(_string(F.try_element_at(own, F.lit(key))), _leaf_if)
 
 
-def _anything_at(members: Column, key: str) -> Column:
-    value = F.try_element_at(members, F.lit(key))
-    there = F.coalesce(F.map_contains_key(members, key), F.lit(False))
+def _anything_at(own: Column, key: str) -> Column:
+    value = F.try_element_at(own, F.lit(key))
+    there = F.coalesce(F.map_contains_key(own, key), F.lit(False))
     # A JSON null is there, but has no text.
     return F.when(there, F.array(F.when(value.isNull(), _leaf(F.lit(""))).otherwise(_node(value)))).otherwise(_no_nodes())
 
 
-def _action_at(members: Column) -> Column:
-    action = F.try_element_at(members, F.lit("action"))
-    return F.concat(_text_at(_members(action), "description"), _text_at(members, "action"))
+def _action_at(own: Column) -> Column:
+    action = F.try_element_at(own, F.lit("action"))
+    return F.concat(_text_at(members(action), "description"), _text_at(own, "action"))
 
 
-def _of_object(members: Column) -> Column:
+def _of_object(own: Column) -> Column:
     """What an object is made of, in reading order: bill, log, action, then all keys that are not denied."""
 
     def parts(m: Column, bill: Column, log: Column) -> Column:
@@ -116,17 +105,17 @@ def _of_object(members: Column) -> Column:
         )
         others = F.transform(
             open_keys,
-            lambda k: _bound(
+            lambda k: bound(
                 F.try_element_at(m, k),
-                lambda v: F.when(_holds_more(v), F.array(_node(v))).otherwise(_bound(_string(v), _leaf_if)),
+                lambda v: F.when(_holds_more(v), F.array(_node(v))).otherwise(bound(_string(v), _leaf_if)),
             ),
         )
         named = [_anything_at(bill, k) if whole else _text_at(bill, k) for k, whole in BILL_TEXTS]
         return F.concat(*named, _action_at(log), bill_id, _action_at(m), F.flatten(others))
 
-    sub = lambda key: _members(F.try_element_at(members, F.lit(key)))
-    whole = F.struct(members.alias("m"), sub("bill").alias("bill"), sub("log").alias("log"))
-    return _bound(whole, lambda x: parts(x["m"], x["bill"], x["log"]))
+    sub = lambda key: members(F.try_element_at(own, F.lit(key)))
+    whole = F.struct(own.alias("m"), sub("bill").alias("bill"), sub("log").alias("log"))
+    return bound(whole, lambda x: parts(x["m"], x["bill"], x["log"]))
 
 
 def _opened(node: Column) -> Column:
@@ -134,17 +123,17 @@ def _opened(node: Column) -> Column:
     value = node["value"]
 
     def filled(nodes: Column) -> Column:
-        return _bound(nodes, lambda n: F.when(F.size(n) > 0, n).otherwise(F.array(_leaf(F.lit("")))))
+        return bound(nodes, lambda n: F.when(F.size(n) > 0, n).otherwise(F.array(_leaf(F.lit("")))))
 
     def children(kinds: Column) -> Column:
         return (
             F.when(kinds["items"].isNotNull(), filled(F.transform(kinds["items"], lambda x: F.when(x.isNull(), _leaf(F.lit(""))).otherwise(_node(x)))))
-            .when(kinds["members"].isNotNull(), filled(_bound(kinds["members"], _of_object)))
+            .when(kinds["members"].isNotNull(), filled(bound(kinds["members"], _of_object)))
             .otherwise(F.array(_leaf(F.coalesce(_string(value), F.lit("")))))
         )
 
-    kinds = F.struct(_items(value).alias("items"), _members(value).alias("members"))
-    return F.when(node["text"].isNotNull(), F.array(node)).otherwise(_bound(kinds, children))
+    kinds = F.struct(items(value).alias("items"), members(value).alias("members"))
+    return F.when(node["text"].isNotNull(), F.array(node)).otherwise(bound(kinds, children))
 
 
 def select_text(value: Column) -> Column:
@@ -164,7 +153,7 @@ def select_text(value: Column) -> Column:
 
     def step(state: Column, _: Column) -> Column:
         opened = F.flatten(F.transform(state["nodes"], _opened))
-        after = _bound(opened, lambda n: F.struct(n.alias("nodes"), F.exists(n, lambda x: x["text"].isNull()).alias("open")))
+        after = bound(opened, lambda n: F.struct(n.alias("nodes"), F.exists(n, lambda x: x["text"].isNull()).alias("open")))
         return F.when(state["open"], after).otherwise(state)
 
     texts = F.aggregate(F.sequence(F.lit(1), rounds), start, step, lambda s: F.transform(s["nodes"], lambda n: n["text"]))

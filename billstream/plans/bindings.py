@@ -118,6 +118,19 @@ SELECT event_id, event_type, user_id, CASE event_id % 6
     WHEN 4 THEN concat('"just ', event_type, '"')
     ELSE '{"bill":' END AS body
 FROM @events@""",
+    # Records of five types; three of four have faults, some are no JSON.
+    "b_record": """
+SELECT event_id, kind, v, CASE WHEN event_id % 97 = 0 THEN substring(body, 1, 20) ELSE body END AS body FROM (
+SELECT event_id, v, 'vote_event' AS kind, CASE v WHEN 1 THEN replace(b, '"bill":"b",', '') WHEN 2 THEN replace(replace(b, '"pass"', '"Passed"'), '2025-01-22T15:00:00+00:00', '2025-01-22') WHEN 3 THEN replace(b, '"value":3', '"value":-3,"extra":1') ELSE b END AS body
+  FROM (SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) % 4 AS v, '{"motion_text":"m","start_date":"2025-01-22T15:00:00+00:00","result":"pass","organization":null,"legislative_session":"2025","bill":"b","bill_identifier":"HB1","votes":[{"option":"yes","voter_name":"A","voter_id":"","note":""}],"counts":[{"option":"yes","value":3}],"sources":[{"url":"https://x.gov/a"}],"extras":{},"_id":"e1"}' AS b FROM @events@ WHERE event_id % 5 = 0) e
+UNION ALL SELECT event_id, v, 'organization', CASE v WHEN 1 THEN replace(b, '"parent_id":null,', '') WHEN 2 THEN replace(b, '"upper"', '"chamber"') WHEN 3 THEN replace(b, '[{}]', '{}') ELSE b END
+  FROM (SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) % 4 AS v, '{"_id":"o","name":"n","classification":"upper","parent_id":null,"links":[{}],"sources":[],"extras":{}}' AS b FROM @events@ WHERE event_id % 5 = 1) e
+UNION ALL SELECT event_id, v, 'jurisdiction', CASE v WHEN 1 THEN replace(b, ',"end_date":"2025-12-31"', '') WHEN 2 THEN replace(replace(b, '2025-01-01', '2025-02-30'), 'https://x.gov', 'x gov') WHEN 3 THEN replace(b, '"primary"', '7') ELSE b END
+  FROM (SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) % 4 AS v, '{"_id":"j","id":"j","name":"n","url":"https://x.gov","division_id":"d","classification":"state","legislative_sessions":[{"_scraped_name":"s","classification":"primary","identifier":"1","name":"One","start_date":"2025-01-01","end_date":"2025-12-31"}],"extras":{}}' AS b FROM @events@ WHERE event_id % 5 = 2) e
+UNION ALL SELECT event_id, v, 'bill', CASE v WHEN 1 THEN replace(b, '"title":"t",', '') WHEN 2 THEN replace(b, '["bill"]', '[1]') WHEN 3 THEN replace(b, '"_id":"b"', '"_id":"b","more":1') ELSE b END
+  FROM (SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) % 4 AS v, '{"legislative_session":"2025","identifier":"HB1","title":"t","classification":["bill"],"jurisdiction":{},"scraped_at":"2025-01-22T15:00:00Z","_id":"b"}' AS b FROM @events@ WHERE event_id % 5 = 3) e
+UNION ALL SELECT event_id, v, 'action_log', CASE v WHEN 1 THEN replace(b, ',"bill_id":"HB1"', '') WHEN 2 THEN replace(b, '2025-01-22T15:00:00Z', 'soon') WHEN 3 THEN replace(b, '"related_entities":[]', '"related_entities":[],"z":0') ELSE b END
+  FROM (SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) % 4 AS v, '{"action":{"description":"d","date":"2025-01-22T15:00:00Z","organization_id":"o","classification":[],"related_entities":[]},"bill_id":"HB1"}' AS b FROM @events@ WHERE event_id % 5 = 4) e) x""",
     # Routine-filter input: real locales and real phrases spread over the action rows.
     "b_routine": """
 SELECT l_orderkey * 10 + l_linenumber AS action_no,

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from billstream.operators import quality as Q
+from billstream.operators.schema_checks import schema_violations
 from billstream.plans.catalog_filters import GATE_SQL, gated_bills
 from billstream.plans.registry import query
+from billstream.rules.record_schemas import SCHEMAS
 from billstream.sources.writers import with_bill_path
 
 
@@ -49,6 +51,26 @@ def q_format(t):
     return t("pages").select("page_id", Q.bad_url(url).alias("bad_url"), Q.bad_date(date).alias("bad_date"))
 
 
+SCHEMA_FAULTS = [
+    ("vote_event", 1, "bill", "required"), ("vote_event", 2, "result", "enum"), ("vote_event", 2, "start_date", "format"),
+    ("vote_event", 3, "counts[0].value", "minimum"), ("vote_event", 3, "counts[0].extra", "additional"),
+    ("organization", 1, "parent_id", "required"), ("organization", 2, "classification", "enum"), ("organization", 3, "links", "type"),
+    ("jurisdiction", 1, "legislative_sessions[0].end_date", "required"), ("jurisdiction", 2, "legislative_sessions[0].start_date", "format"),
+    ("jurisdiction", 2, "url", "format"), ("jurisdiction", 3, "legislative_sessions[0].classification", "type"),
+    ("bill", 1, "title", "required"), ("bill", 2, "classification[0]", "type"), ("bill", 3, "more", "additional"),
+    ("action_log", 1, "bill_id", "required"), ("action_log", 2, "action.date", "format"), ("action_log", 3, "action.z", "additional"),
+]
+
+
+@query(
+    "q_schema",
+    f"""SELECT event_id, r.kind, path, rule FROM b_record r JOIN (VALUES {', '.join(map(str, SCHEMA_FAULTS))}) f(kind, v, path, rule) ON f.kind = r.kind AND f.v = r.v WHERE event_id % 97 <> 0
+  UNION ALL SELECT event_id, kind, '', 'json' FROM b_record WHERE event_id % 97 = 0""",
+)
+def q_schema(t):
+    return schema_violations(t("b_record").drop("v"), SCHEMAS).select("event_id", "kind", "path", "rule")
+
+
 @query("q_unique_identifier", "SELECT bill_id, date, description, count(*) AS n FROM b_action GROUP BY 1, 2, 3 HAVING count(*) > 1")
 def q_unique_identifier(t):
     return Q.duplicate_keys(t("b_action"), ["bill_id", "date", "description"])
