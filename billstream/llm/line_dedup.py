@@ -26,8 +26,8 @@ from billstream.llm.common import in_arrow, scratch_path, slices, stored, texts_
 LEAST_POINTS = 10
 WHITE = b" \t\n\x0b\x0c\r"
 #: Keys of a shard on average before shards are split; its filter has twice as many slots.
-SHARD_KEYS = 1 << 16
-BUCKETS, SLOTS = 1 << 15, 4
+SHARD_KEYS = 1 << 14
+BUCKETS, SLOTS = 1 << 13, 4
 #: Rounds of eviction after which fingerprints are kept beside the filter.
 KICKS = 200
 #: Batches in which the registered query hands over the table.
