@@ -161,6 +161,54 @@ def strike_text(chars: DataFrame) -> DataFrame:
     )
 
 
+def _struck_runs(flags: Column) -> Column:
+    """Runs of struck characters as begin and end (exclusive), from 0."""
+    size = F.size(flags)
+    edges = lambda sign: F.filter(
+        F.transform(F.concat(flags, F.array(F.lit(False))), lambda f, i: F.when((f != (F.coalesce(F.get(flags, i - 1), F.lit(False)))) & (f if sign else ~f), i)),
+        lambda i: i.isNotNull(),
+    )
+    runs = F.zip_with(edges(True), edges(False), lambda a, b: F.struct(a.alias("begin"), b.alias("end")))
+    return F.when(size > 0, runs).otherwise(F.array().cast("array<struct<begin:int,end:int>>"))
+
+
+def _strung(parts: Column, between: str) -> Column:
+    """Texts joined, with their runs moved to where they stand in the whole; empty texts are left out."""
+    first = F.struct(F.lit("").alias("text"), F.array().cast("array<struct<begin:int,end:int>>").alias("runs"))
+
+    def add(seen: Column, part: Column) -> Column:
+        head = F.when(seen["text"] == "", "").otherwise(F.concat(seen["text"], F.lit(between)))
+        moved = F.transform(part["runs"], lambda r: F.struct((r["begin"] + F.length(head)).alias("begin"), (r["end"] + F.length(head)).alias("end")))
+        return F.when(part["text"] == "", seen).otherwise(F.struct(F.concat(head, part["text"]).alias("text"), F.concat(seen["runs"], moved).alias("runs")))
+
+    return F.aggregate(parts, first, add)
+
+
+def struck_documents(chars: DataFrame, key: str = "doc") -> DataFrame:
+    """One row per document: ``text`` with its deletions behind it, ``struck_pages``, and where they stand.
+
+    ``struck`` holds begin and end of every run of struck characters within the text. Characters of
+    a line, lines of a page and pages of a document are each joined in order, so that a task holds
+    one document at most.
+    """
+    by_line = F.array_sort(F.collect_list(F.struct("x0", "pos", "ch", "struck")))
+    lines = strike_flags(chars).groupBy(key, "page", "line").agg(by_line.alias("_c")).select(
+        key, "page", "line",
+        F.struct(F.array_join(F.transform("_c", lambda c: c["ch"]), "").alias("text"), _struck_runs(F.transform("_c", lambda c: c["struck"])).alias("runs")).alias("part"),
+    )
+    in_order = lambda column: F.transform(F.array_sort(F.collect_list(F.struct(column, "text", "runs"))), lambda x: F.struct(x["text"].alias("text"), x["runs"].alias("runs")))
+    pages = lines.select(key, "page", "line", "part.*").groupBy(key, "page").agg(_strung(in_order("line"), "\n").alias("_p")).select(key, "page", "_p.*")
+    whole = pages.groupBy(key).agg(_strung(in_order("page"), "\n\n").alias("_d"), F.array_sort(F.collect_list(F.struct("page", "text", "runs"))).alias("_pages"))
+    cut = lambda p: F.array_join(F.transform(p["runs"], lambda r: F.substr(p["text"], r["begin"] + 1, r["end"] - r["begin"])), "")
+    deleted = F.transform(F.filter("_pages", lambda p: F.size(p["runs"]) > 0), lambda p: F.concat(F.lit("[DELETED: "), cut(p), F.lit("]")))
+    return whole.withColumn("_deleted", deleted).select(
+        key,
+        F.concat(F.col("_d.text"), F.when(F.size("_deleted") > 0, F.concat(F.lit("\n\n"), F.array_join("_deleted", "\n"))).otherwise("")).alias("text"),
+        F.size("_deleted").alias("struck_pages"),
+        F.col("_d.runs").alias("struck"),
+    )
+
+
 # -- mark-up ------------------------------------------------------------------------------
 
 #: Signs that stand for tags in a text; none of them can stand in XML.

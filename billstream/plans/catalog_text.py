@@ -163,6 +163,22 @@ def strike_text(t):
     return D.strike_text(chars(t))
 
 
+@query(
+    "struck_documents",
+    f"""WITH {FLAG_SQL}, g AS (SELECT *, CAST(floor(page / 8) AS BIGINT) AS doc, struck AND NOT coalesce(lag(struck) OVER (PARTITION BY page, line ORDER BY x0, pos), FALSE) AS begins FROM f),
+  n AS (SELECT doc, page, line, string_agg(ch, '' ORDER BY x0, pos) AS text FROM g GROUP BY ALL), p AS (SELECT doc, page, string_agg(text, chr(10) ORDER BY line) AS text FROM n GROUP BY ALL),
+  s AS (SELECT doc, page, '[DELETED: ' || string_agg(ch, '' ORDER BY line, x0, pos) || ']' AS cut FROM g WHERE struck GROUP BY ALL),
+  r AS (SELECT doc, count(*) FILTER (begins) AS n_runs, count(*) FILTER (struck) AS n_struck FROM g GROUP BY 1),
+  w AS (SELECT doc, string_agg(text, chr(10) || chr(10) ORDER BY page) AS text FROM p GROUP BY 1), x AS (SELECT doc, string_agg(cut, chr(10) ORDER BY page) AS cuts, count(*) AS struck_pages FROM s GROUP BY 1)
+  SELECT doc, text || coalesce(chr(10) || chr(10) || cuts, '') AS text, coalesce(struck_pages, 0) AS struck_pages, n_runs, n_struck FROM w LEFT JOIN x USING (doc) JOIN r USING (doc)""",
+)
+def struck_documents(t):
+    found = D.struck_documents(chars(t).withColumn("doc", F.floor(F.col("page") / 8)))
+    lengths = F.transform("struck", lambda r: F.length(F.substr(F.col("text"), r["begin"] + 1, r["end"] - r["begin"])))
+    total = F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+    return found.select("doc", "text", F.col("struck_pages").cast("bigint"), F.size("struck").cast("bigint").alias("n_runs"), total.cast("bigint").alias("n_struck"))
+
+
 @query(
     "extract_dispatch",
     f"""WITH {STRUCTURE_CTE}, k AS (SELECT page_id, html, CASE WHEN page_id % 3 = 0 THEN 'xml' WHEN page_id % 4 <> 0 THEN 'html' ELSE 'pdf' END AS ext FROM pages)

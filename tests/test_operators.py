@@ -510,3 +510,16 @@ def test_error_blocks_are_whole_tracebacks(spark):
     assert got == {(1, 0): "\n".join(lines[:11]), (1, 13): "\n".join(lines[13:]), (2, 0): "ValueError: z"}
     summary = {r.run: (r.duration, r.error_count, len(r.errors)) for r in D.run_summary(df).collect()}
     assert summary == {1: ("unknown", 2, 2), 2: ("unknown", 1, 1), 3: ("0:01:02", 0, 0), 4: ("unknown", 0, 0)}
+
+
+def test_struck_documents(spark):
+    def line(doc, page, no, text):
+        """Capital letters are struck."""
+        return [(doc, page, no, i, float(i), i + 1.0, c, "Strike" if c.isupper() else "Times", 1.0) for i, c in enumerate(text)]
+
+    rows = line(1, 1, 1, "abC") + line(1, 1, 2, "DeFg") + line(1, 2, 1, "plain") + line(1, 3, 1, "XY") + line(2, 1, 1, "none")
+    df = spark.createDataFrame(rows, "doc INT, page INT, line INT, pos INT, x0 DOUBLE, x1 DOUBLE, ch STRING, font STRING, gray DOUBLE").repartition(3)
+    got = {r.doc: r for r in D.struck_documents(df).collect()}
+    assert got[1].text == "abC\nDeFg\n\nplain\n\nXY\n\n[DELETED: CDF]\n[DELETED: XY]" and got[1].struck_pages == 2
+    assert [got[1].text[r.begin : r.end] for r in got[1].struck] == ["C", "D", "F", "XY"]
+    assert (got[2].text, got[2].struck_pages, got[2].struck) == ("none", 0, [])
