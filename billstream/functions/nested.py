@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from billstream.functions.variants import bound
+
 
 def deep_prune(value: Column, dtype: T.DataType) -> Column:
     """Null, empty string, empty list and empty object go, at any depth."""
@@ -18,17 +20,18 @@ def deep_prune(value: Column, dtype: T.DataType) -> Column:
         kept = F.filter(
             F.transform(value, lambda x: deep_prune(x, dtype.elementType)), lambda x: x.isNotNull()
         )
-        return F.when(F.size(kept) > 0, kept)
+        return bound(kept, lambda k: F.when(F.size(k) > 0, k))
     if isinstance(dtype, T.MapType):
         kept = F.map_filter(
             F.transform_values(value, lambda _, v: deep_prune(v, dtype.valueType)),
             lambda _, v: v.isNotNull(),
         )
-        return F.when(F.size(kept) > 0, kept)
+        return bound(kept, lambda k: F.when(F.size(k) > 0, k))
     if isinstance(dtype, T.StructType):
         fields = [deep_prune(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        filled = reduce(lambda a, b: a | b, [f.isNotNull() for f in fields])
-        return F.when(filled, F.struct(*fields))
+        filled = lambda s: reduce(lambda a, b: a | b, [s[f.name].isNotNull() for f in dtype.fields])
+        # Named once: a test of the fields themselves would double the plan at every level.
+        return bound(F.struct(*fields), lambda s: F.when(filled(s), s))
     return value
 
 

@@ -235,3 +235,16 @@ def test_mean_pool_shuffles_one_row_per_task_and_key(spark):
     # Partial and final aggregate, nothing exploded in between.
     assert "Generate" not in plan and plan.count("HashAggregate(keys=[k") == 2 and "partial_avg" in plan
     assert mean_pool(df.limit(0), "k", "v").collect() == []
+
+
+def test_deep_prune_plan_grows_with_the_depth_alone(spark):
+    def size(depth):
+        kind = "STRING"
+        for _ in range(depth):
+            kind = f"STRUCT<a: {kind}, b: STRING>"
+        df = spark.createDataFrame([], f"d {kind}")
+        pruned = df.select(nested.deep_prune(F.col("d"), df.schema["d"].dataType).alias("d"))
+        return len(pruned._jdf.queryExecution().optimizedPlan().toString())
+
+    four, eight = size(4), size(8)
+    assert eight < 4 * four
