@@ -7,10 +7,11 @@ escaped with a backslash so that no control string can stand inside them, and co
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAD, SEP, END = "### ", ": ", "</turn>"
+SPANS = "array<struct<start:int,end:int>>"
 
 
 def escaped(text: Column) -> Column:
@@ -35,54 +36,32 @@ def format_conversations(turns: DataFrame, loss_roles: tuple[str, ...] = ("assis
     empty. Rows with a null ``conv_id`` form one conversation. An empty table gives no row.
     ``loss_spans`` covers the escaped text of each turn of a loss role, nothing between.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).select(
-        "conv_id",
-        "role",
-        escaped("text").alias("body"),
-        F.row_number().over(order).alias("rn"),
-        F.lag("role").over(order).alias("before"),
-    )
-    by_rn = Window.partitionBy("conv_id").orderBy("rn")
-    head = F.when(
-        F.col("before").isNull() | (F.col("before") != F.col("role")),
-        F.concat(F.when(F.col("rn") > 1, "\n").otherwise(""), F.lit(HEAD), escaped_role(F.col("role")), F.lit(SEP)),
-    ).otherwise("")
-    rows = rows.withColumn("head", head).withColumn(
-        "end", F.sum(F.length("head") + F.length("body") + len(END)).over(by_rn) - len(END)
+    text, role = F.coalesce("text", F.lit("")).alias("text"), F.coalesce("role", F.lit("")).alias("role")
+    collected = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", role, text))).alias("turns"))
+    first = F.struct(
+        F.lit(0).alias("at"), F.lit(None).cast("string").alias("role"), F.array().cast("array<string>").alias("pieces"), F.array().cast(SPANS).alias("spans")
     )
-    rows = rows.withColumn("message", F.sum(F.when(F.col("head") != "", 1).otherwise(0)).over(by_rn))
-    messages = rows.groupBy("conv_id", "message").agg(
-        F.max("head").alias("head"),
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "rn",
-                    "body",
-                    (F.col("end") - F.length("body")).alias("start"),
-                    "end",
-                    F.col("role").isin(*loss_roles).alias("loss"),
-                )
+
+    def add(seen: Column, turn: Column) -> Column:
+        joins = F.coalesce(seen["role"] == turn["role"], F.lit(False))
+        head = F.concat(F.when(seen["role"].isNull(), "").otherwise("\n"), F.lit(HEAD), escaped_role(turn["role"]), F.lit(SEP))
+
+        def put(piece: Column) -> Column:
+            start = seen["at"] + F.length(piece["head"])
+            end = start + F.length(piece["body"])
+            span = F.when(turn["role"].isin(*loss_roles), F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(F.array().cast(SPANS))
+            return F.struct(
+                (end + len(END)).alias("at"),
+                turn["role"].alias("role"),
+                F.concat(seen["pieces"], F.array(F.concat(piece["head"], piece["body"], F.lit(END)))).alias("pieces"),
+                F.concat(seen["spans"], span).alias("spans"),
             )
-        ).alias("turns"),
-    )
-    messages = messages.select(
-        "conv_id",
-        "message",
-        F.concat("head", F.array_join(F.transform("turns", lambda t: t.body), END), F.lit(END)).alias("piece"),
-        F.transform(F.filter("turns", lambda t: t.loss), lambda t: F.struct(t.start.alias("start"), t.end.alias("end"))).alias("spans"),
-    )
-    return (
-        messages.groupBy("conv_id")
-        .agg(F.sort_array(F.collect_list(F.struct("message", "piece", "spans"))).alias("parts"))
-        .select(
-            "conv_id",
-            F.array_join(F.transform("parts", lambda p: p.piece), "").alias("formatted"),
-            F.flatten(F.transform("parts", lambda p: p.spans)).alias("loss_spans"),
-        )
-    )
+
+        piece = F.struct(F.when(joins, "").otherwise(head).alias("head"), escaped(turn["text"]).alias("body"))
+        return F.element_at(F.transform(F.array(piece), put), 1)
+
+    merged = collected.select("conv_id", F.aggregate("turns", first, add).alias("all"))
+    return merged.select("conv_id", F.array_join("all.pieces", "").alias("formatted"), F.col("all.spans").alias("loss_spans"))
 
 
 def parsed_turns(formatted: Column) -> Column:
@@ -99,12 +78,15 @@ def parsed_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(messages, turns_of))
 
 
-def formatted_digests(formatted: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """Read formatted conversations back: counts and digests of turns and of the loss text."""
+def loss_text(formatted: Column, spans: Column) -> Column:
+    """All text under the loss mask, unescaped."""
+    return F.array_join(F.transform(spans, lambda s: unescaped(F.substr(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+
+
+def formatted_digests(formatted: DataFrame) -> DataFrame:
+    """Read formatted conversations back: counts and digests of turns, and of the text under the loss mask."""
     turns = formatted.withColumn("turns", parsed_turns(F.col("formatted")))
-    loss = F.array_join(
-        F.transform(F.filter("turns", lambda t: t.role.isin(*loss_roles)), lambda t: t.text), ""
-    )
+    loss = loss_text(F.col("formatted"), F.col("loss_spans"))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     return turns.withColumn("loss", loss).select(
         "conv_id",

@@ -53,6 +53,22 @@ def test_digests_spans_and_merging(spark):
         assert pieces == escaped
 
 
+def test_a_wrong_mask_shows(spark):
+    """The digests come from the mask, not from the roles."""
+    formatted = chat.format_conversations(chats(spark)).where("conv_id = 1")
+    moved = formatted.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s.start + 1).alias("start"), s.end.alias("end"))))
+    right, wrong = (chat.formatted_digests(df).first() for df in (formatted, moved))
+    assert wrong.loss_chars < right.loss_chars and wrong.loss_sha256 != right.loss_sha256
+    assert wrong.turns_sha256 == right.turns_sha256
+
+
+def test_many_turns(spark):
+    rows = [(1, i, "user" if i % 3 else "assistant", f"t{i}#") for i in range(3000)]
+    got = chat.formatted_digests(chat.format_conversations(chats(spark, rows))).first()
+    loss = "".join(x for _, _, r, x in rows if r == "assistant")
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (3000, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_empty_table(spark):
     assert chat.formatted_digests(chat.format_conversations(chats(spark, []))).count() == 0
 
