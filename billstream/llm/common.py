@@ -90,7 +90,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Every node of a link comes back once with the smallest id it can reach. Large-star and
     small-star steps alternate; each takes one minimum per node (combined before the shuffle)
-    and one join, so a node with very many links is never gathered in one task.
+    and one join. No list of links is built, but the links of one node pass through one task of
+    that join, row by row: its other side is an aggregate, which adaptive execution does not split.
     """
     now = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name
