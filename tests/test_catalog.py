@@ -16,7 +16,11 @@ PYTHON_ALLOWED = {
     "semantic_tags_fallback",
     "example_max_similarity",
 }
-STREAMS = {"log_stream", "stream_dedup_guid", "daily_activity", "stream_tagging"}
+#: Queries that run their streams and stores while they are built.
+STREAMS = {
+    "log_stream", "stream_dedup_guid", "daily_activity", "stream_tagging", "orphan_state_store", "event_pending_store",
+    "incremental_bills_table", "tag_store_bills", "tag_store_files", "tag_store_lines", "tag_job_semantic",
+}
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +31,7 @@ def con():
 @pytest.mark.parametrize("name", list(load_catalog()))
 def test_matches_sql(spark, con, name):
     ok, note = compare(spark, con, SMALL, name)
-    assert ok or "EMPTY" in note, note
+    assert ok, note
 
 
 def plan_of(df) -> str:
