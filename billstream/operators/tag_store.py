@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 from billstream.functions.text import entry_id, text_hash
 from billstream.operators.common import top_per_key
-from billstream.operators.tagging import Tag, TagVectors, config_hash, keyword_tags, semantic_or_keyword_tags
+from billstream.operators.tagging import PLACE, Tag, TagVectors, already_tagged, config_hash, keyword_tags, semantic_or_keyword_tags
 from billstream.session import saved
 
 FILE = ["state", "session_id", "tag"]
-#: A bill is known by its folder: the same id in another state or session is another bill.
-BILL = ["state", "session_id", "bill_id"]
+BILL = PLACE
 PARTS = ["final_score", "base_embedding", "example_similarity", "keyword_match", "negative_penalty"]
 CONFIG = ["name", "description", "examples", "include_keywords", "exclude_keywords", "negative_examples", "threshold"]
 #: Fixed value: model name of runs without vectors.
@@ -94,16 +93,6 @@ class TagStore:
         )
 
 
-def tag_gate(entries: DataFrame, bills: DataFrame, only: str | None = None, overwrite: bool = False) -> DataFrame:
-    """Entries with ``gate``: ``matched`` if their bill has a tag (or the tag asked for) in their own session."""
-    if overwrite:
-        return entries.withColumn("gate", F.lit("todo"))
-    known = bills.filter(F.col("tag") == only) if only else bills
-    known = known.select(BILL).distinct().withColumn("_known", F.lit(True))
-    gate = F.when(F.col("_known"), "matched").otherwise("todo")
-    return entries.join(known, BILL, "left").withColumn("gate", gate).drop("_known")
-
-
 def tag_run(
     entries: DataFrame,
     store: TagStore,
@@ -126,7 +115,7 @@ def tag_run(
         raise ValueError(f"tag {only!r} is not configured; there are {[t.name for t in tags]}")
     placed = entries.filter(F.col("state").isNotNull() & F.col("session_id").isNotNull())
     placed = placed.withColumn("bill_id", entry_id(F.col("bill_id"), F.col("text")))
-    gated = saved(tag_gate(placed, store.read("bills"), only, overwrite), "tag-gate")
+    gated = saved(already_tagged(placed, store.read("bills"), only, overwrite), "tag-gate")
     todo = gated.filter("gate = 'todo'").select(*BILL, "line_no", "text", text_hash(F.col("text")).alias("text_hash"), *(["vector"] if vectors else []))
     if vectors:
         scored = semantic_or_keyword_tags(todo, "text", "vector", vectors, tags)

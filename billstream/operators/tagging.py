@@ -262,14 +262,26 @@ def with_keyword_fallback(semantic: DataFrame, keyword: DataFrame, failed: DataF
 # -- job ---------------------------------------------------------------------------
 
 
+#: What tells bills apart: one id may stand in several sessions and states.
+PLACE = ["state", "session_id", "bill_id"]
+
+
+def _shared(one: DataFrame, other: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if c in one.columns and c in other.columns]
+
+
 def already_tagged(entries: DataFrame, bill_tags: DataFrame, tag: str | None = None, overwrite: bool = False) -> DataFrame:
-    """Entries with a ``gate``: ``matched`` bills are not scored again."""
+    """Entries with a ``gate``: ``matched`` bills are not scored again.
+
+    A bill is known by its id and by those of state and session that both tables have.
+    """
     if overwrite:
         return entries.withColumn("gate", F.lit("todo"))
     known = bill_tags.filter(F.col("tag") == tag) if tag else bill_tags
-    known = known.select("bill_id").distinct().withColumn("_known", F.lit(True))
+    keys = _shared(entries, bill_tags, PLACE)
+    known = known.select(keys).distinct().withColumn("_known", F.lit(True))
     return (
-        entries.join(known, "bill_id", "left")
+        entries.join(known, keys, "left")
         .withColumn("gate", F.when(F.col("_known"), "matched").otherwise("todo"))
         .drop("_known")
     )
@@ -280,21 +292,19 @@ def text_cache(entries: DataFrame, text: str = "text") -> DataFrame:
     return entries.select(text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text")).distinct()
 
 
-BILL_TAG_KEY = ["session_id", "tag", "bill_id"]
-
-
 def merge_bill_tags(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Stored rows with the rows of this run on top, one per (session, tag, bill)."""
+    """Stored rows with the rows of this run on top, one per place, tag and bill."""
     both = stored.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
     order = [F.desc("_new"), F.desc("final_score"), F.desc("text_hash")]
-    return top_per_key(both, BILL_TAG_KEY, order, 1).drop("_new")
+    return top_per_key(both, [*_shared(stored, fresh, PLACE), "tag"], order, 1).drop("_new")
 
 
 def tag_job(entries: DataFrame, stored: DataFrame, tags: Sequence[Tag], only: str | None = None, overwrite: bool = False) -> DataFrame:
-    """Stored tag table after one run over ``entries(session_id, bill_id, text)``."""
+    """Stored tag table after one keyword run over ``entries(session_id, bill_id, text)``, by state if both
+    tables have it. ``tag_store.tag_run`` is the run with vectors, lines out and tag files."""
     wanted = [t for t in tags if only is None or t.name == only]
     todo = already_tagged(entries, stored, only, overwrite).filter(F.col("gate") == "todo").drop("gate")
     fresh = keyword_tags(todo, "text", wanted).select(
-        "session_id", "tag", "bill_id", text_hash(F.col("text")).alias("text_hash"), "final_score"
+        *_shared(entries, stored, PLACE), "tag", text_hash(F.col("text")).alias("text_hash"), "final_score"
     )
     return merge_bill_tags(stored, fresh)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billstream import schemas
 from billstream.operators.common import first_non_empty
-from billstream.operators.tagging import tag_rows
+from billstream.operators.tagging import TAG_SCHEMA, tag_rows, with_tag_defaults
 
 CORRUPT = "_corrupt_record"
 
@@ -113,16 +111,20 @@ def sessions_dim(fresh: DataFrame, cached: DataFrame) -> DataFrame:
 
 
 def read_tag_config(spark: SparkSession, path: str) -> DataFrame:
-    """Tag definitions from a configuration file (JSON, or YAML where a parser is installed)."""
-    with open(path, encoding="utf-8") as handle:
-        text = handle.read()
+    """Tag definitions from a configuration file (JSON, or YAML where a parser is installed).
+
+    Spark reads the file, so it may lie wherever tables do. JSON stays with it; a file that is none
+    fails the read.
+    """
+    whole = spark.read.text(path, wholetext=True)
     if path.endswith((".yml", ".yaml")):
         import yaml
 
-        config = yaml.safe_load(text)
-    else:
-        config = json.loads(text)
-    return tag_rows(spark, config["tags"])
+        return tag_rows(spark, yaml.safe_load(whole.first()["value"])["tags"])
+    fields = TAG_SCHEMA.split(", ", 1)[1]
+    config = F.from_json("value", f"tags map<string,struct<{fields}>>", {"mode": "FAILFAST"})
+    tags = whole.select(F.explode(config["tags"]).alias("name", "tag"))
+    return with_tag_defaults(tags.select("name", "tag.*"))
 
 
 def feed_config(config: dict) -> dict:
