@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billstream.functions.text import decode_xml_entities, extracted_name, html_title, html_to_text, media_ext, safe_filename
+from billstream.functions.variants import bound
 from billstream.operators.common import top_per_key
 
 # Media types from best to worst.
@@ -226,11 +227,6 @@ ENTITY_OF_TYPE = r"""<!ENTITY\s+([^\s%"']+)\s+(?:"([^"]*)"|'([^']*)')\s*>"""
 MOST_GROWTH = 1_000_000
 
 
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is evaluated once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _until_mark(text: Column) -> Column:
     return F.regexp_extract(text, f"^[^{MARKS}]*", 0)
 
@@ -263,7 +259,7 @@ def _sections(marked: Column) -> Column:
 
         return F.filter(F.transform(F.slice(F.transform(parts, section), 2, F.size(parts)), plain), lambda x: x != "")
 
-    return _bound(F.split(marked, SECTION_OPEN, -1), of)
+    return bound(F.split(marked, SECTION_OPEN, -1), of)
 
 
 def _corrupt(xml: Column) -> Column:
@@ -341,7 +337,7 @@ def _with_own_entities(doc: Column) -> Column:
         return F.aggregate(pairs, F.replace(doc, kind, F.lit("<!DOCTYPE x>")), replaced)
 
     kind = F.regexp_extract(doc, rf"(?s){DOCTYPE}", 0)
-    return F.when(F.contains(doc, F.lit("<!ENTITY")), _bound(kind, lambda k: F.when(k != "", put_in(k)).otherwise(doc))).otherwise(doc)
+    return F.when(F.contains(doc, F.lit("<!ENTITY")), bound(kind, lambda k: F.when(k != "", put_in(k)).otherwise(doc))).otherwise(doc)
 
 
 def xml_bill_text(xml: Column) -> Column:
@@ -370,7 +366,7 @@ def xml_bill_text(xml: Column) -> Column:
                 F.lit(None).cast("string").alias("error"),
             )
 
-        return _bound(marked, parts)
+        return bound(marked, parts)
 
     nothing = F.struct(
         *[F.lit(None).cast("string").alias(n) for n in ("title", "official_title")],
@@ -386,7 +382,7 @@ def xml_bill_text(xml: Column) -> Column:
         return F.when(F.when(sound, ~_corrupt(wrapped)).otherwise(False), read(tokens)).otherwise(nothing)
 
     text = F.regexp_replace(F.coalesce(xml, F.lit("")), "\r\n?", "\n")
-    return _bound(_with_own_entities(text), lambda doc: _bound(F.regexp_extract_all(doc, F.lit(TOKEN), F.lit(0)), checked))
+    return bound(_with_own_entities(text), lambda doc: bound(F.regexp_extract_all(doc, F.lit(TOKEN), F.lit(0)), checked))
 
 
 def extract_texts(docs: DataFrame) -> DataFrame:

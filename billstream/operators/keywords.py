@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from billstream.functions.text import WORD
+from billstream.functions.variants import bound
 
 PLAIN_WORD = re.compile(r"^\w+$")
 WORD_RUN = re.compile(r"\w+")
@@ -67,11 +68,6 @@ def _entry(owner: int, place: int, excludes: bool, keyword: str) -> dict:
     return {"head": head, "owner": owner, "place": place, "excludes": excludes, "shown": keyword, "lowered": lowered, "check": check}
 
 
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is evaluated once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def keyword_hits(lowered: Column, lists: Sequence[tuple[Sequence[str], Sequence[str]]]) -> Column:
     """Entries of type ``KEYWORD`` found in a lower-case text, in no order.
 
@@ -95,7 +91,7 @@ def keyword_hits(lowered: Column, lists: Sequence[tuple[Sequence[str], Sequence[
     heads = [F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"[{WORD}]+"), F.lit(0)))]
     kinds = sorted({e["head"][:2] for e in entries if e["check"] == "phrase"})
     if kinds:
-        heads.append(_bound(F.split(lowered, " ", -1), lambda words: _blanks(words, kinds)))
+        heads.append(bound(F.split(lowered, " ", -1), lambda words: _blanks(words, kinds)))
     if any(e["head"] == "" for e in entries):
         heads.append(F.array(F.lit("")))
 

@@ -36,10 +36,6 @@ def session_gate(items: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def split_gate(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return gated.filter("gate = 'pass'").drop("gate"), gated.filter("gate <> 'pass'").withColumnRenamed("gate", "category")
-
-
 def dedup_name_quarantine(errors: DataFrame, filed: DataFrame | None = None) -> DataFrame:
     """One error record per (category, name); records without a name all stay.
 
@@ -59,7 +55,6 @@ def missing_fields(required: Sequence[str]) -> Column:
 
 # Enum domains of the record types.
 VOTE_RESULTS = ["pass", "fail", "tie", "other"]
-VOTE_OPTIONS = ["yes", "no", "abstain", "absent", "excused", "other"]
 
 
 def outside_domain(value: Column, domain: Sequence[str]) -> Column:

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from billstream.functions import arrow
 from billstream.functions.text import text_hash
+from billstream.functions.variants import bound
 from billstream.operators.common import top_per_key
-from billstream.operators.keywords import _bound, keyword_hits, matched_keywords  # noqa: F401
+from billstream.operators.keywords import keyword_hits, matched_keywords  # noqa: F401
 from billstream.session import state_dir
 
 # Score of a keyword tag, threshold of a tag that names none.
@@ -124,7 +125,7 @@ def keyword_tags(entries: DataFrame, text: str, tags: Sequence[Tag]) -> DataFram
     return (
         entries.withColumn("_low", F.lower(text))
         .withColumn("_hits", _hits_of(F.col("_low"), tags))
-        .withColumn("_hit", F.explode_outer(_bound(F.col("_hits"), lambda hits: tag_hits(hits, tags))))
+        .withColumn("_hit", F.explode_outer(bound(F.col("_hits"), lambda hits: tag_hits(hits, tags))))
         .filter(F.col("_hit").isNotNull())
         .select(*entries.columns, "_hit.tag", "_hit.final_score", "_hit.keyword_match")
     )
