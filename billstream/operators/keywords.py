@@ -51,10 +51,10 @@ def keyword_hit(lowered: Column, keyword: str) -> Column:
     return lowered.contains(keyword) & lowered.rlike(keyword_pattern(keyword))
 
 
-def _blank_head(before: str, after: str) -> tuple[str, str]:
+def _blank_head(before: str, after: str) -> tuple[str, tuple[int, int]]:
     """Head of a phrase and the numbers of letters it takes before and after its first blank."""
     b, a = before[-AROUND:], after[:AROUND]
-    return f"{len(b)}{len(a)}|{b} {a}", f"{len(b)}{len(a)}"
+    return f"{b} {a}", (len(b), len(a))
 
 
 def _entry(owner: int, place: int, excludes: bool, keyword: str) -> dict:
@@ -88,12 +88,14 @@ def keyword_hits(lowered: Column, lists: Sequence[tuple[Sequence[str], Sequence[
     # A constant: folded once per plan, whatever its size.
     index = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{KEYWORD}>>")
 
-    heads = [F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"[{WORD}]+"), F.lit(0)))]
-    kinds = sorted({e["head"][:2] for e in entries if e["check"] == "phrase"})
-    if kinds:
-        heads.append(bound(F.split(lowered, " ", -1), lambda words: _blanks(words, kinds)))
+    heads = [F.regexp_extract_all(lowered, F.lit(f"[{WORD}]+"), F.lit(0))]
+    kinds = sorted({_blank_head(*e["lowered"].split(" ")[:2])[1] for e in entries if e["check"] == "phrase"})
+    # Looking ahead alone, so that neighbouring blanks may share letters.
+    heads += [F.regexp_extract_all(lowered, F.lit(f"(?=([^ ]{{{b}}} [^ ]{{{a}}}))"), F.lit(1)) for b, a in kinds]
     if any(e["head"] == "" for e in entries):
         heads.append(F.array(F.lit("")))
+    # Only heads that the index has are looked up.
+    known = F.from_json(F.lit(json.dumps(sorted({e["head"] for e in entries}))), "array<string>")
 
     def met(head: Column) -> Column:
         return F.filter(F.get(index, F.pmod(F.crc32(head), F.lit(size)).cast("int")), lambda e: e["head"] == head)
@@ -105,21 +107,10 @@ def keyword_hits(lowered: Column, lists: Sequence[tuple[Sequence[str], Sequence[
             .otherwise(lowered.contains(entry["lowered"]) & F.regexp_like(lowered, entry["check"]))
         )
 
-    found = F.filter(F.flatten(F.transform(F.concat(*heads), met)), holds)
+    found = F.filter(F.flatten(F.transform(F.array_intersect(F.concat(*heads), known), met)), holds)
     return F.coalesce(F.when(lowered.isNotNull(), found), F.array().cast(f"array<{KEYWORD}>"))
 
 
-def _blanks(words: Column, kinds: Sequence[str]) -> Column:
-    """Heads of all blanks of a text, for those numbers of letters that the index has."""
-
-    def at(i: Column, kind: str) -> Column:
-        before, after = (int(n) for n in kind)
-        return F.concat(F.lit(f"{kind}|"), F.right(F.get(words, i - 1), F.lit(before)), F.lit(" "), F.left(F.get(words, i), F.lit(after)))
-
-    places = F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(*[at(i, kind) for kind in kinds]))))
-
-
 def matched_keywords(lowered: Column, keywords: Sequence[str]) -> Column:
     """Keywords found in the lower-case text, in configuration order."""
     found = F.array_sort(F.transform(keyword_hits(lowered, [(keywords, ())]), lambda h: F.struct(h["place"].alias("place"), h["shown"].alias("shown"))))
