@@ -123,3 +123,40 @@ def test_hearings(spark, tmp_path):
     }
     assert waits == [{2, 3}, {3}, {3}]
     assert keyed._state(spark, checkpoint, "waiting").count() == 1
+
+
+def test_calls_to_the_state_store_follow_buckets(spark, tmp_path, monkeypatch):
+    """Bills share a key of the state; with one bucket all of them do, and the runs give the same."""
+    monkeypatch.setattr(keyed, "BUCKETS", 1)
+    check = str(tmp_path / "check")
+    agenda, bills = Source(spark, tmp_path / "agenda", AGENDA), Source(spark, tmp_path / "bills", BILLS)
+    # HB1 comes at once, HB2 later; hearing 3 is named twice, and HB2's first row comes again.
+    runs = [
+        ([(1, 1, "bill", "HB 1"), (2, 1, "bill", "HB 2"), (3, 1, "bill", "HB 3"), (3, 2, "bill", "HB 3")], [("HB1", "s1", "f")]),
+        ([(2, 1, "bill", "HB 2"), (4, 1, "bill", "HB 4"), (5, 1, None, "HB 4")], []),
+        ([], [("HB2", "s2", "f")]),
+    ]
+    known = []
+    for n, (rows, arrived) in enumerate(runs, 1):
+        agenda.add(rows)
+        bills.add(arrived)
+        keyed.link_hearings(agenda.stream(), bills.stream(), spark.createDataFrame(known, BILLS), n, str(tmp_path / "links"), check)
+        known += arrived
+        # One element for each append, not one for each row that waits.
+        assert keyed._state(spark, check, "waiting").count() == (1, 2, 1)[n - 1]
+    got = {r.event_id: (r.run, r.bill_id, r.cleared) for r in keyed.linked_hearings(spark, str(tmp_path / "links")).collect()}
+    assert got == {1: (1, "HB1", False), 2: (3, "HB2", True)}
+    assert {(r.event_id, r.since) for r in keyed.missing_sessions(spark, str(tmp_path / "links"), check).collect()} == {(3, 1), (4, 2)}
+
+
+def test_orphans_share_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKETS", 1)
+    check = str(tmp_path / "check")
+    source = Source(spark, tmp_path / "in", ROWS)
+    for n, rows in enumerate(RUNS, 1):
+        source.add(rows)
+        known = spark.createDataFrame([(b,) for r in RUNS[: n - 1] for k, b in r if k == "bill"], "bill_id STRING")
+        keyed.track_orphans(source.stream(), known, n, str(tmp_path / "changes"), check)
+        got = keyed.open_orphans(spark, check, n, label)
+        assert sorted(map(tuple, got.collect())) == batch_state(spark, RUNS[:n]), n
+    assert keyed._state(spark, check, "orphan").select("key").distinct().count() == 1
