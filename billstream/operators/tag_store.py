@@ -35,6 +35,8 @@ class TagStore:
         "heads": "last_run STRING, model STRING, tag_config STRING, tag_config_hash STRING",
     }
 
+    UNIQUE = {"texts": ["text_hash"]}
+
     def __init__(self, spark: SparkSession, path: str, files: int = 1):
         #: ``files`` are the tasks that write one partition.
         self.spark, self.path, self.files = spark, path, files
@@ -49,16 +51,16 @@ class TagStore:
         """Put rows ``FILE, bill_id, text_hash, text, PARTS`` on top of what is stored.
 
         Bills are written last: after a run that died half way they are still due, and merging them
-        again gives the same tables.
+        again gives the same tables. ``fresh`` is read twice, once for its texts alone, which go to
+        their table without a copy in between.
         """
-        fresh = saved(fresh, "tag-rows")
+        texts, fresh = fresh.select(*FILE, "text_hash", "text"), saved(fresh.drop("text"), "tag-rows")
         touched = fresh.select(FILE).distinct()
 
         def kept(name: str) -> DataFrame:
             return self.read(name).join(touched, FILE, "left_semi")
 
-        texts = fresh.select(*FILE, "text_hash", "text").unionByName(kept("texts"))
-        self._replace("texts", texts.dropDuplicates([*FILE, "text_hash"]))
+        self._replace("texts", texts.unionByName(kept("texts")))
         self._replace("heads", self._heads(touched, kept("heads"), tags, run, model))
         key = [*FILE, "bill_id"]
         bills = kept("bills").join(fresh.select(key), key, "left_anti").unionByName(fresh.select(*key, "text_hash", *PARTS))
@@ -85,10 +87,15 @@ class TagStore:
         return ", ".join([self.TABLES[name], *(f"{c} STRING" for c in FILE)])
 
     def _replace(self, name: str, rows: DataFrame) -> None:
+        """Rows move once, to the task that writes them; of equal ``UNIQUE`` columns in a file one stays."""
         key = next((c for c in ("bill_id", "text_hash") if c in rows.columns), "tag")
         spread = F.pmod(F.xxhash64(key), F.lit(self.files))
+        dealt = rows.withColumn("_spread", spread).repartition(*FILE, "_spread")
+        if name in self.UNIQUE:
+            # The key holds what the rows are dealt by, so this needs no shuffle of its own.
+            dealt = dealt.dropDuplicates([*FILE, "_spread", *self.UNIQUE[name]])
         (
-            rows.repartition(*FILE, spread).write.mode("overwrite")
+            dealt.drop("_spread").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(*FILE).parquet(f"{self.path}/{name}")
         )
 

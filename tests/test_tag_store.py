@@ -91,3 +91,18 @@ def test_a_run_that_died_is_done_again(spark, tmp_path):
     store._replace = write
     assert run(spark, store, rows, name="r2") == [("wy", "1", "A", 1)]
     assert set(bills(store)) == {("wy", "1", "wet", "A")} and store.read("texts").count() == 1
+
+
+def test_texts_move_once(spark, tmp_path, monkeypatch):
+    """Texts lie in no copy besides the gate's, and the task that writes a file drops its repeats."""
+    from billstream.operators import tag_store
+
+    copies, saved = {}, tag_store.saved
+    monkeypatch.setattr(tag_store, "saved", lambda df, name="run": copies.setdefault(name, df.columns) and saved(df, name))
+    store = TagStore(spark, str(tmp_path / "tags"), files=3)
+    rows = [("wy", "2024", "HB1", "water", 1), ("wy", "2024", "HB2", "water", 2), ("wy", "2024", "HB3", "water road", 3)]
+    run(spark, store, rows)
+    run(spark, store, [("wy", "2024", "HB4", "water", 4), ("wy", "2024", "HB5", "wet water", 5)], name="r2")
+    assert "text" not in copies["tag-rows"]
+    got = sorted((r.tag, r.text) for r in store.read("texts").collect())
+    assert got == [("road", "water road"), ("wet", "water"), ("wet", "water road"), ("wet", "wet water")]
