@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from billstream.functions.names import action_key
@@ -95,6 +96,10 @@ def incremental_bills(stored: DataFrame, incoming: DataFrame, run: Column) -> Da
     return untouched.select(STORED_COLUMNS).unionByName(merged_bills(stored, incoming, run, changed))
 
 
+#: Kinds of rows that a run of ``BillTable`` deals out together.
+HELD, ARRIVED, DUE = 0, 1, 2
+
+
 class BillTable:
     """Stored bills in buckets of their id, next to the action count of every bill.
 
@@ -124,25 +129,56 @@ class BillTable:
         touched = sorted(r.bucket for r in due.select("bucket").distinct().collect())
         if not touched:
             return []
-        changed = due.select("bill_id")
-        for name, fresh in (
-            ("rows", lambda kept: merged_bills(kept.drop("bucket"), incoming, run, changed).withColumn("bucket", self._bucket())),
-            ("gate", lambda kept: due),
-        ):
-            kept = self._read(name).filter(F.col("bucket").isin(touched))
-            self._replace(name, kept.join(changed, "bill_id", "left_anti").unionByName(fresh(kept)))
+        held = {name: self._read(name).filter(F.col("bucket").isin(touched)) for name in ("rows", "gate")}
+        arrived = incoming.filter("bill_id IS NOT NULL").select(*ACTION_KEY, "ord", self._bucket().alias("bucket"))
+        arrived = arrived.filter(F.col("bucket").isin(touched))
+        self._replace("rows", self._merged(held["rows"], arrived, due.filter("bill_id IS NOT NULL"), run))
+        counts = self._dealt(held["gate"].withColumn("_side", F.lit(HELD)).unionByName(due.withColumn("_side", F.lit(DUE))))
+        self._replace("gate", counts.groupBy("bucket", "_file", "bill_id").agg(F.max_by("actions", "_side").alias("actions")))
         return touched
 
+    def _merged(self, held: DataFrame, arrived: DataFrame, due: DataFrame, run: Column) -> DataFrame:
+        """Rows of the touched buckets after ``merge_actions`` of the due bills, in one shuffle.
+
+        Held, arrived and due rows are dealt out together as they are written; what they have to know
+        of each other lies in one task. Rows stay rows: a bill's are never gathered in a list.
+        """
+        sides = [held.withColumn("_side", F.lit(HELD)), arrived.withColumn("_side", F.lit(ARRIVED))]
+        sides.append(due.select("bill_id", "bucket", F.lit(DUE).alias("_side")))
+        rows = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), sides)
+        rows = self._dealt(rows.select(*STORED_COLUMNS, "bucket", "_side"))
+        side = F.col("_side")
+        filled = {c: F.coalesce(F.col(c), F.lit("")) for c in ("description", "date")}
+        bill = Window.partitionBy("bucket", "_file", "bill_id")
+        action = Window.partitionBy("bucket", "_file", "bill_id", *filled.values())
+        # Among stored duplicates the last one counts.
+        last = F.max(F.when(side == HELD, F.struct("ord", "created"))).over(action)
+        rows = rows.withColumn("_last", last).withColumn("_due", F.max(side == DUE).over(bill))
+        new = side == ARRIVED
+        kept = rows.filter((side != DUE) & (new == F.col("_due")))
+        created = F.when(new, F.when(F.col("_last").isNull(), run).otherwise(F.col("_last.created"))).otherwise(F.col("created"))
+        texts = {c: F.when(new, value).otherwise(F.col(c)) for c, value in filled.items()}
+        return kept.withColumns({"created": created, **texts}).select(*STORED_COLUMNS, "bucket", "_file")
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("bill_id"), F.lit(self.buckets)).cast("int")
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(getattr(self, name.upper())).parquet(f"{self.path}/{name}")
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows by the file of a bucket they go to.
+
+        The number of partitions is stated, so that a share does not grow where a session has few, and is a
+        multiple of the files, so that few of them meet in one task; partitions without a file end at once.
+        """
+        spread = F.pmod(F.xxhash64("bill_id", F.lit("file")), F.lit(self.files)).cast("int")
+        return rows.withColumn("_file", spread).repartition(4 * self.buckets * self.files, "bucket", "_file")
+
     def _replace(self, name: str, rows: DataFrame) -> None:
-        spread = F.pmod(F.xxhash64("bill_id", F.lit("file")), F.lit(self.files))
+        dealt = rows if "_file" in rows.columns else self._dealt(rows)
         (
-            rows.repartition("bucket", spread).write.mode("overwrite")
+            dealt.drop("_file").write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.path}/{name}")
         )
 

@@ -73,3 +73,37 @@ def test_stored_is_cut_before_it_is_ranked(spark, tmp_path):
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     window = plan[plan.index("Window") :]
     assert "LeftSemi" in window and window.index("LeftSemi") < window.index("parquet")
+
+
+def test_a_run_moves_its_rows_once(spark, tmp_path):
+    table = B.BillTable(spark, str(tmp_path / "bills"), buckets=2)
+    table.update(bills(spark, "A", "B"), F.lit("r0"))
+    write, plans = table._replace, {}
+
+    def seen(name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        write(name, df)
+
+    table._replace = seen
+    table.update(bills(spark, "A", "C", actions=2), F.lit("r1"))
+    assert {name: plan.count("Exchange") for name, plan in plans.items()} == {"rows": 1, "gate": 1}
+    assert all("REPARTITION_BY_NUM" in plan for plan in plans.values())
+
+
+def test_odd_rows_are_merged_as_over_whole_tables(spark, tmp_path):
+    runs = [
+        [("A", 1, None, "1"), ("A", 2, "x", None), ("A", 3, "x", None), ("B", 1, "y", "2"), (None, 1, "z", "3"), ("D", 1, "", "")],
+        [("A", 1, "x", ""), ("A", 2, "", "1"), ("A", 3, "new", None), ("A", 4, "x", ""), ("B", 1, "edited", "2"), (None, 1, "z", "3")],
+        [("B", 1, "y", "2"), ("B", 2, "y", "2"), ("C", None, "c", None), ("D", 1, None, None), ("D", 2, None, "")],
+    ]
+    table = B.BillTable(spark, str(tmp_path / "bills"), buckets=3, files=2)
+    want = spark.createDataFrame([], B.BillTable.ROWS).drop("bucket")
+    for n, incoming in enumerate(spark.createDataFrame(r, BILLS) for r in runs):
+        run = F.lit(f"r{n}") if n else F.lit(None).cast("string")
+        want = B.incremental_bills(want, incoming, run)
+        table.update(incoming.withColumn("created", F.lit(7)), run)
+        assert sorted(rows_of(table.rows()), key=repr) == sorted(rows_of(want), key=repr), n
+
+
+def rows_of(df):
+    return list(map(tuple, df.collect()))
